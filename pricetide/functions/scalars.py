@@ -75,15 +75,19 @@ def dish_type(item: Column, rules: tuple[tuple[str, str], ...] = DISH_TYPES) ->
 # ---------------------------------------------------------------- time
 
 
-def epoch_micros(at: Column) -> Column:
-    """Microseconds since 1970 of a zone-less timestamp, in any session zone."""
-    seconds = (
-        F.unix_date(at.cast("date")).cast("long") * 86400
-        + F.hour(at) * 3600
-        + F.minute(at) * 60
+def epoch_micros_sql(at: str) -> str:
+    """SQL text: microseconds since 1970 of a zone-less timestamp column.
+
+    Put together from its fields, so it does not depend on the session's zone.
+    """
+    return (
+        f"(unix_date(cast({at} AS date)) * 86400000000L + hour({at}) * 3600000000L"
+        f" + minute({at}) * 60000000L + cast(extract(SECOND FROM {at}) * 1000000 AS bigint))"
     )
-    # extract(SECOND) keeps the fraction as decimal(8, 6)
-    return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), at) * 1_000_000).cast("long")
+
+
+def epoch_micros(at: str) -> Column:
+    return F.expr(epoch_micros_sql(at))
 
 
 def session_id(at: Column) -> Column:
@@ -114,11 +118,11 @@ def time_window(hour: Column, numbered: bool = True) -> Column:
 # ---------------------------------------------------------------- labels
 
 
-def temperature_band(celsius: Column, rules: BandRules = BandRules()) -> Column:
-    return (
-        F.when(celsius < rules.cool_below, "Cool")
-        .when(celsius < rules.hot_from, "Normal")
-        .when(celsius >= rules.hot_from, "Hot")
+def temperature_band(celsius: str, rules: BandRules = BandRules()) -> Column:
+    return F.expr(
+        f"CASE WHEN {celsius} < {rules.cool_below}D THEN 'Cool'"
+        f" WHEN {celsius} < {rules.hot_from}D THEN 'Normal'"
+        f" WHEN {celsius} >= {rules.hot_from}D THEN 'Hot' END"
     )
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricetide.config import BandRules, ChangeRules, SkewRules
@@ -24,12 +24,11 @@ ENTITY_KEYS = ("entity", "category")
 
 def one_reading_per_session(conditions: DataFrame) -> DataFrame:
     """The latest reading of each session, so that joining it adds no rows."""
-    rest = [c for c in conditions.columns if c not in ("session_id", "recorded_at")]
-    latest = F.max(F.struct("recorded_at", *rest)).alias("_reading")
+    rest = ", ".join(c for c in conditions.columns if c not in ("session_id", "recorded_at"))
     return (
-        conditions.where(F.col("session_id").isNotNull())
+        conditions.where("session_id IS NOT NULL")
         .groupBy("session_id")
-        .agg(latest)
+        .agg(F.expr(f"max(struct(recorded_at, {rest})) AS _reading"))
         .select("session_id", "_reading.*")
     )
 
@@ -38,11 +37,10 @@ def with_dimensions(observations: DataFrame) -> DataFrame:
     """Add what follows from the observation alone: hour, weekend, dish type."""
     if "dish_type" not in observations.columns:
         observations = observations.withColumn("dish_type", S.dish_type(F.col("item")))
-    return observations.withColumns(
-        {
-            "hour_of_day": F.hour("observed_at"),
-            "is_weekend": S.is_weekend(F.col("observed_at")),
-        }
+    return observations.selectExpr(
+        "*",
+        "hour(observed_at) AS hour_of_day",
+        "dayofweek(cast(observed_at AS date)) IN (1, 7) AS is_weekend",
     )
 
 
@@ -57,7 +55,7 @@ def with_conditions(
     """
     readings = one_reading_per_session(conditions).select("session_id", "is_rainy", "temperature")
     return rows.join(readings, "session_id", "left").withColumn(
-        "temperature_band", S.temperature_band(F.col("temperature"), bands)
+        "temperature_band", S.temperature_band("temperature", bands)
     )
 
 
@@ -78,38 +76,39 @@ def with_previous(
     One shuffle on the item key.  Items holding very many rows are cut into time
     slices, each starting with the last row of the slice before.
     """
-    timed = observations.withColumn("_at", S.epoch_micros(F.col("observed_at")))
+    timed = observations.selectExpr("*", f"{S.epoch_micros_sql('observed_at')} AS _at")
     sliced = skew.add_slices(timed, keys, "_at", rules)
     rows = skew.with_last_row_of_previous_slice(
         sliced, keys, ("_at", "ordinal"), ("price", "observed_at")
     )
-    in_time = Window.partitionBy(*keys, skew.SLICE).orderBy("_at", "ordinal")
+    in_time = f"PARTITION BY {', '.join(keys)}, {skew.SLICE} ORDER BY _at, ordinal"
     return (
-        rows.select(
+        rows.selectExpr(
             "*",
-            F.lag("price").over(in_time).alias("prev_price"),
-            F.lag("observed_at").over(in_time).alias("prev_at"),
-            (F.col("_at") - F.lag("_at").over(in_time)).alias("gap_micros"),
+            f"lag(price) OVER ({in_time}) AS prev_price",
+            f"lag(observed_at) OVER ({in_time}) AS prev_at",
+            f"_at - lag(_at) OVER ({in_time}) AS gap_micros",
         )
-        .where(F.col(skew.CARRY).isNull())
+        .where(f"{skew.CARRY} IS NULL")
         .drop("_at", skew.SLICE, skew.CARRY)
     )
 
 
-def is_valid_change(rules: ChangeRules):
-    """The change filter over ``price``, ``prev_price`` and ``gap_micros``."""
-    price, prev = F.col("price"), F.col("prev_price")
-    diff = F.abs(price - prev)
-    valid = prev.isNotNull() & price.isNotNull() & (diff != 0) & (prev != 0)
+def is_valid_change(rules: ChangeRules) -> str:
+    """The change filter over ``price``, ``prev_price`` and ``gap_micros``, as SQL."""
+    conditions = ["price <> prev_price", "prev_price <> 0"]
     if rules.min_price is not None:
-        valid = valid & (price > rules.min_price) & (prev > rules.min_price)
+        conditions += [f"price > {rules.min_price}D", f"prev_price > {rules.min_price}D"]
     if rules.max_abs_diff is not None:
-        valid = valid & (diff <= rules.max_abs_diff)
+        conditions.append(f"abs(price - prev_price) <= {rules.max_abs_diff}D")
     if rules.max_rel_diff is not None:
-        valid = valid & (F.abs((price - prev) / F.nullif(prev, F.lit(0))) <= rules.max_rel_diff)
+        # nullif: the order in which conjuncts are evaluated is not fixed
+        conditions.append(
+            f"abs((price - prev_price) / nullif(prev_price, 0)) <= {rules.max_rel_diff}D"
+        )
     if rules.max_gap_seconds is not None:
-        valid = valid & (F.col("gap_micros") <= rules.max_gap_seconds * 1_000_000)
-    return valid
+        conditions.append(f"gap_micros <= {rules.max_gap_seconds}L * 1000000L")
+    return " AND ".join(conditions)
 
 
 def change_events(
@@ -118,14 +117,16 @@ def change_events(
     skew_rules: SkewRules = SkewRules(),
 ) -> DataFrame:
     """Valid price changes without the session's conditions."""
-    price, prev = F.col("price").cast("double"), F.col("prev_price").cast("double")
     moved = with_previous(observations, rules=skew_rules).where(is_valid_change(rules))
-    return with_dimensions(moved).withColumns(
-        {
-            "prev_price": prev,
-            "new_price": price,
-            "pct_change": (price - prev) / prev * 100,
-        }
+    return (
+        with_dimensions(moved)
+        .withColumns(
+            {
+                "prev_price": F.expr("cast(prev_price AS double)"),
+                "new_price": F.expr("cast(price AS double)"),
+            }
+        )
+        .withColumn("pct_change", F.expr("(new_price - prev_price) / nullif(prev_price, 0) * 100"))
     )
 
 
@@ -172,10 +173,7 @@ def events_and_spine(base: DataFrame, changes: DataFrame, *columns: str) -> Data
     TRUE on events.  As in a join on equality, an event with a NULL in
     ``columns`` belongs to no group.
     """
-    complete = None
-    for c in columns:
-        present = F.col(c).isNotNull()
-        complete = present if complete is None else complete & present
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in columns)
     return (
         changes.where(complete)
         .withColumn("is_event", F.lit(True))

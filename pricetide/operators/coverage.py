@@ -81,10 +81,10 @@ def min_gap_thinning(runs: DataFrame, rules: SlotRules = SlotRules()) -> DataFra
     """
     minutes = (
         runs.withColumn(
-            "start_minute", F.floor(S.epoch_micros(F.col("started_at")) / 60_000_000).cast("long")
+            "start_minute", F.floor(S.epoch_micros("started_at") / 60_000_000).cast("long")
         )
         .withColumn(
-            "end_minute", F.floor(S.epoch_micros(F.col("ended_at")) / 60_000_000).cast("long")
+            "end_minute", F.floor(S.epoch_micros("ended_at") / 60_000_000).cast("long")
         )
         .groupBy("entity", "start_minute")
         .agg(F.max("end_minute").alias("end_minute"))

@@ -3,7 +3,9 @@
 ``base`` supplies the entities, hours and dish types to report on (observations
 with dimensions); ``changes`` are the price-change events.  The four measures of
 an entity come from one aggregate, :func:`entity_profile`; each measure selects
-its columns from it, and Spark prunes the rest.
+its columns from it, and Spark prunes the rest.  Where a profile is needed more
+than once (to scale by its maximum, to rank), it is written out first: one pass
+over the observations, then work on one row per entity.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from pricetide.config import VerdictRules
 from pricetide.functions import scalars as S
 from pricetide.operators.changes import ENTITY_KEYS, events_and_spine
+from pricetide.session import materialise
 
 
 def _mean_if(condition: Column) -> Column:
@@ -22,34 +25,32 @@ def _mean_if(condition: Column) -> Column:
 
 def entity_profile(base: DataFrame, changes: DataFrame) -> DataFrame:
     """All aggregates of one entity's change events, unrounded, in one pass."""
-    rainy = F.col("is_rainy")
-    weekend = F.col("is_weekend")
-    band = F.col("temperature_band")
+    count_and_mean = {
+        "rain": "is_rainy",
+        "clear": "NOT is_rainy",
+        "weekend": "is_weekend",
+        "weekday": "NOT is_weekend",
+        "cool": "temperature_band = 'Cool'",
+        "normal": "temperature_band = 'Normal'",
+        "hot": "temperature_band = 'Hot'",
+    }
     return (
         events_and_spine(base, changes, *ENTITY_KEYS)
         .groupBy(*ENTITY_KEYS)
         .agg(
-            F.count("is_event").alias("events"),
-            F.stddev_samp("pct_change").alias("pct_stddev"),
-            F.avg("new_price").alias("mean_new_price"),
-            F.count_if(rainy).alias("rainy_records"),
-            F.count_if(~rainy).alias("clear_records"),
-            _mean_if(rainy).alias("mean_rain"),
-            _mean_if(~rainy).alias("mean_clear"),
-            F.count_if(weekend).alias("weekend_records"),
-            F.count_if(~weekend).alias("weekday_records"),
-            _mean_if(weekend).alias("mean_weekend"),
-            _mean_if(~weekend).alias("mean_weekday"),
-            F.count_if(band == "Cool").alias("cool_records"),
-            F.count_if(band == "Normal").alias("normal_records"),
-            F.count_if(band == "Hot").alias("hot_records"),
-            _mean_if(band == "Hot").alias("mean_hot"),
-            _mean_if(band == "Normal").alias("mean_normal"),
+            F.expr("count(is_event) AS events"),
+            F.expr("stddev_samp(pct_change) AS pct_stddev"),
+            F.expr("avg(new_price) AS mean_new_price"),
+            *[F.expr(f"count_if({when}) AS n_{name}") for name, when in count_and_mean.items()],
+            *[
+                F.expr(f"avg(pct_change) FILTER (WHERE {when}) AS mean_{name}")
+                for name, when in count_and_mean.items()
+            ],
         )
     )
 
 
-def _volatility(profile: DataFrame) -> Column:
+def volatility(profile: DataFrame) -> Column:
     """Events as a percent of the busiest entity's events."""
     busiest = profile.agg(F.max("events")).scalar()
     return S.rounded_or_zero(S.max_scale(F.col("events"), busiest), 2)
@@ -63,7 +64,7 @@ def stability_from(profile: DataFrame) -> DataFrame:
         F.col("events").alias("price_change_events"),
         S.rounded_or_zero(F.col("pct_stddev"), 4).alias("cv_pct"),
         S.rounded_or_zero(F.col("mean_new_price"), 2).alias("avg_price"),
-        _volatility(profile).alias("pvs_normalized"),
+        volatility(profile).alias("pvs_normalized"),
     )
 
 
@@ -72,14 +73,14 @@ def rain_from(
 ) -> DataFrame:
     result = profile.select(
         *ENTITY_KEYS,
-        "rainy_records",
-        "clear_records",
+        F.col("n_rain").alias("rainy_records"),
+        F.col("n_clear").alias("clear_records"),
         S.rounded_or_zero(F.col("mean_rain"), 2).alias("avg_change_rain"),
         S.rounded_or_zero(F.col("mean_clear"), 2).alias("avg_change_clear"),
         S.rounded_or_zero(F.col("mean_rain"), 2).alias("rpi"),
-        (F.col("rainy_records") >= rules.rain).alias("significant"),
+        (F.col("n_rain") >= rules.rain).alias("significant"),
         S.verdict(
-            F.col("rainy_records"), F.col("mean_rain"), rules.rain,
+            F.col("n_rain"), F.col("mean_rain"), rules.rain,
             "Surge confirmed", "Drop during rain",
         ).alias("verdict"),
     )
@@ -91,14 +92,14 @@ def weekend_from(
 ) -> DataFrame:
     result = profile.select(
         *ENTITY_KEYS,
-        "weekend_records",
-        "weekday_records",
+        F.col("n_weekend").alias("weekend_records"),
+        F.col("n_weekday").alias("weekday_records"),
         S.rounded_or_zero(F.col("mean_weekend"), 2).alias("avg_change_weekend"),
         S.rounded_or_zero(F.col("mean_weekday"), 2).alias("avg_change_weekday"),
         S.rounded_or_zero(F.col("mean_weekend"), 2).alias("wpi"),
-        (F.col("weekend_records") >= rules.weekend).alias("significant"),
+        (F.col("n_weekend") >= rules.weekend).alias("significant"),
         S.verdict(
-            F.col("weekend_records"), F.col("mean_weekend"), rules.weekend,
+            F.col("n_weekend"), F.col("mean_weekend"), rules.weekend,
             "Weekend premium confirmed", "Cheaper on weekends",
         ).alias("verdict"),
     )
@@ -109,12 +110,12 @@ def temperature_from(
     profile: DataFrame, rules: VerdictRules = VerdictRules(), uplift: bool = False
 ) -> DataFrame:
     """``avg_price_hot`` and ``avg_price_normal`` are mean changes in percent."""
-    extreme = F.col("hot_records") + F.col("cool_records")
+    extreme = F.col("n_hot") + F.col("n_cool")
     result = profile.select(
         *ENTITY_KEYS,
-        "cool_records",
-        "normal_records",
-        "hot_records",
+        F.col("n_cool").alias("cool_records"),
+        F.col("n_normal").alias("normal_records"),
+        F.col("n_hot").alias("hot_records"),
         S.rounded_or_zero(F.col("mean_hot"), 2).alias("avg_price_hot"),
         S.rounded_or_zero(F.col("mean_normal"), 2).alias("avg_price_normal"),
         S.rounded_or_zero(F.col("mean_hot"), 2).alias("temp_effect_score"),
@@ -139,7 +140,10 @@ def _with_uplift(
 
 
 def stability_score(base: DataFrame, changes: DataFrame) -> DataFrame:
-    return stability_from(entity_profile(base, changes))
+    needed = entity_profile(base, changes).select(
+        *ENTITY_KEYS, "events", "pct_stddev", "mean_new_price"
+    )
+    return stability_from(materialise(needed, "stability"))
 
 
 def rain_premium(base: DataFrame, changes: DataFrame, **options) -> DataFrame:

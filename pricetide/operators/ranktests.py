@@ -14,27 +14,53 @@ from pyspark.sql import functions as F
 from pricetide.config import SkewRules
 from pricetide.functions import scalars as S
 from pricetide.operators.skew import running_total_before
+from pricetide.session import materialise
 
 
-def rank_sums(base: DataFrame, groups: dict[str, Column], rules: SkewRules = SkewRules()):
-    """Per entity: ``n_<g>`` and ``r_<g>`` (rank sum) of each group, ``n`` and the
-    tie term ``ties``.  Observations in no group do not take part."""
-    counts = [F.count_if(condition).cast("double").alias(f"n_{g}") for g, condition in groups.items()]
-    frequency = (
-        base.where(F.col("price").isNotNull())
-        .groupBy("entity", F.col("price").cast("double").alias("price"))
+# The compared groups of observations and their conditions.
+RAIN_GROUPS = {"rain": "is_rainy", "dry": "NOT is_rainy"}
+BAND_GROUPS = {
+    "cool": "temperature_band = 'Cool'",
+    "normal": "temperature_band = 'Normal'",
+    "hot": "temperature_band = 'Hot'",
+}
+
+
+def price_frequencies(base: DataFrame, groups: dict[str, str]) -> DataFrame:
+    """Per (entity, price): how many observations each group holds, written out.
+
+    Everything after this reads the table, so the observations are read once.
+    """
+    counts = [
+        F.expr(f"cast(count_if({condition}) AS double) AS n_{g}")
+        for g, condition in groups.items()
+    ]
+    table = (
+        base.where("price IS NOT NULL")
+        .selectExpr("*", "cast(price AS double) AS _price")
+        .groupBy("entity", F.col("_price").alias("price"))
         .agg(*counts)
-        .withColumn("t", sum(F.col(f"n_{g}") for g in groups))
-        .where(F.col("t") > 0)
     )
-    ranked = running_total_before(
-        frequency, ["entity"], "price", F.col("t"), "before", rules
-    ).withColumn("mid_rank", F.col("before") + (F.col("t") + 1) / 2)
-    return ranked.groupBy("entity").agg(
-        F.sum("t").alias("n"),
-        F.sum(F.col("t") * F.col("t") * F.col("t") - F.col("t")).alias("ties"),
-        *[F.sum(f"n_{g}").alias(f"n_{g}") for g in groups],
-        *[F.sum(F.col(f"n_{g}") * F.col("mid_rank")).alias(f"r_{g}") for g in groups],
+    return materialise(table, "frequencies")
+
+
+def rank_sums(frequencies: DataFrame, groups, rules: SkewRules = SkewRules()) -> DataFrame:
+    """Per entity: ``n_<g>`` and ``r_<g>`` (rank sum) of each group, ``n`` and the
+    tie term ``ties``.  Observations in no group do not take part."""
+    total = " + ".join(f"n_{g}" for g in groups)
+    tied = frequencies.selectExpr(
+        "entity", "price", *[f"n_{g}" for g in groups], f"{total} AS t"
+    ).where("t > 0")
+    ranked = running_total_before(tied, ["entity"], "price", F.col("t"), "before", rules)
+    return (
+        ranked.withColumn("mid_rank", F.expr("before + (t + 1) / 2"))
+        .groupBy("entity")
+        .agg(
+            F.expr("sum(t) AS n"),
+            F.expr("sum(t * t * t - t) AS ties"),
+            *[F.expr(f"sum(n_{g}) AS n_{g}") for g in groups],
+            *[F.expr(f"sum(n_{g} * mid_rank) AS r_{g}") for g in groups],
+        )
     )
 
 
@@ -43,9 +69,11 @@ def mann_whitney(base: DataFrame, rules: SkewRules = SkewRules()) -> DataFrame:
 
     Statistics are NULL when a side is empty or all prices are tied.
     """
-    sums = rank_sums(
-        base, {"rain": F.col("is_rainy"), "dry": ~F.col("is_rainy")}, rules
-    )
+    return mann_whitney_of(price_frequencies(base, RAIN_GROUPS), rules)
+
+
+def mann_whitney_of(frequencies: DataFrame, rules: SkewRules = SkewRules()) -> DataFrame:
+    sums = rank_sums(frequencies, RAIN_GROUPS, rules)
     n, n1, n2 = F.col("n"), F.col("n_rain"), F.col("n_dry")
     both = (n1 > 0) & (n2 > 0)
     u = F.when(both, F.col("r_rain") - n1 * (n1 + 1) / 2)
@@ -72,10 +100,12 @@ def kruskal_wallis(base: DataFrame, rules: SkewRules = SkewRules()) -> DataFrame
 
     Empty bands drop out; fewer than two bands or all prices tied give NULL.
     """
-    bands = {"cool": "Cool", "normal": "Normal", "hot": "Hot"}
-    sums = rank_sums(
-        base, {g: F.col("temperature_band") == name for g, name in bands.items()}, rules
-    )
+    return kruskal_wallis_of(price_frequencies(base, BAND_GROUPS), rules)
+
+
+def kruskal_wallis_of(frequencies: DataFrame, rules: SkewRules = SkewRules()) -> DataFrame:
+    bands = BAND_GROUPS
+    sums = rank_sums(frequencies, bands, rules)
     n = F.col("n")
     used = sum(F.when(F.col(f"n_{g}") > 0, 1).otherwise(0) for g in bands)
     terms = sum(
@@ -106,10 +136,11 @@ def rank_test_report(
     base: DataFrame, level: float = 0.05, rules: SkewRules = SkewRules()
 ) -> DataFrame:
     """Both tests side by side with their pass marks."""
-    rain = mann_whitney(base, rules).select(
+    frequencies = price_frequencies(base, RAIN_GROUPS | BAND_GROUPS)
+    rain = mann_whitney_of(frequencies, rules).select(
         "entity", F.col("u").alias("rain_u"), F.col("p").alias("rain_p")
     )
-    bands = kruskal_wallis(base, rules).select(
+    bands = kruskal_wallis_of(frequencies, rules).select(
         "entity", F.col("h").alias("temperature_h"), F.col("p").alias("temperature_p")
     )
 

@@ -27,8 +27,8 @@ def hot_keys(rows: DataFrame, keys: Sequence[str], order: str, rules: SkewRules)
     """
     return (
         rows.groupBy(*keys)
-        .agg(F.count("*").alias("_n"), F.min(order).alias("_low"), F.max(order).alias("_high"))
-        .where(F.col("_n") >= rules.hot_rows)
+        .agg(F.expr("count(*) AS _n"), F.expr(f"min({order}) AS _low"), F.expr(f"max({order}) AS _high"))
+        .where(f"_n >= {rules.hot_rows}")
         .orderBy(F.col("_n").desc(), *keys)
         .limit(rules.max_hot_keys)
     )
@@ -41,28 +41,20 @@ def add_slices(
 
     Rows with equal ``order`` always share a slice.
     """
-    hot = hot_keys(rows, keys, order, rules).select(
-        *[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)],
-        F.col("_low").cast("double").alias("_low"),
-        (F.col("_high").cast("double") - F.col("_low").cast("double")).alias("_span"),
-        F.least(
-            F.lit(rules.max_slices), F.ceil(F.col("_n") / F.lit(rules.rows_per_slice))
-        ).alias("_slices"),
+    hot = hot_keys(rows, keys, order, rules).selectExpr(
+        *[f"{k} AS _hot_{i}" for i, k in enumerate(keys)],
+        "cast(_low AS double) AS _low",
+        "cast(_high AS double) - cast(_low AS double) AS _span",
+        f"least({rules.max_slices}L, ceil(_n / {rules.rows_per_slice})) AS _slices",
     )
-    same_key = None
-    for i, k in enumerate(keys):
-        here = rows[k].eqNullSafe(hot[f"_hot_{i}"])
-        same_key = here if same_key is None else same_key & here
+    same_key = " AND ".join(f"{k} <=> _hot_{i}" for i, k in enumerate(keys))
     # hot has at most max_hot_keys rows, whatever the size of the input
-    joined = rows.join(F.broadcast(hot), same_key, "left")
-    position = (F.col(order).cast("double") - F.col("_low")) / F.col("_span")
-    number = (
-        F.when(F.col("_slices").isNull(), F.lit(None))
-        .when(F.col("_span") > 0, F.floor(position * F.col("_slices")))
-        .otherwise(F.lit(0))
-        .cast("long")
+    return rows.join(F.broadcast(hot), F.expr(same_key), "left").selectExpr(
+        *rows.columns,
+        f"""CASE WHEN _slices IS NULL THEN cast(NULL AS bigint)
+                 WHEN _span > 0 THEN floor((cast({order} AS double) - _low) / _span * _slices)
+                 ELSE 0L END AS {SLICE}""",
     )
-    return joined.select(*[rows[c] for c in rows.columns], number.alias(SLICE))
 
 
 def with_last_row_of_previous_slice(

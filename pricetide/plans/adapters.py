@@ -27,24 +27,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _bucket(at):
-    seconds = F.floor(S.epoch_micros(at) / 1_000_000)
-    return F.floor((seconds - FIRST_SECOND) / SESSION_SECONDS)
+def _bucket(at: str) -> str:
+    seconds = f"floor({S.epoch_micros_sql(at)} / 1000000)"
+    return f"floor(({seconds} - {FIRST_SECOND}) / {SESSION_SECONDS})"
 
 
 def event_observations(events: DataFrame) -> DataFrame:
     """``events`` as observations: users are entities, event types are items."""
-    return events.select(
-        F.col("user_id").alias("entity"),
-        F.concat(F.lit("cat_"), (F.col("user_id") % 5).cast("string")).alias("category"),
-        F.col("event_type").alias("item"),
-        F.when(F.col("event_type") == "signup", "Other")
-        .otherwise(F.col("event_type"))
-        .alias("dish_type"),
-        F.col("value").alias("price"),
-        F.col("ts").alias("observed_at"),
-        _bucket(F.col("ts")).cast("string").alias("session_id"),
-        F.col("event_id").alias("ordinal"),
+    return events.selectExpr(
+        "user_id AS entity",
+        "concat('cat_', cast(user_id % 5 AS string)) AS category",
+        "event_type AS item",
+        "CASE WHEN event_type = 'signup' THEN 'Other' ELSE event_type END AS dish_type",
+        "value AS price",
+        "ts AS observed_at",
+        f"cast({_bucket('ts')} AS string) AS session_id",
+        "event_id AS ordinal",
     )
 
 
@@ -54,32 +52,29 @@ def event_conditions(events: DataFrame) -> DataFrame:
     Only the time range of the events is aggregated, so the number of readings
     follows the calendar.  Some sessions have no reading.
     """
-    bucket = F.col("bucket")
     return (
-        events.agg(F.min("ts").alias("first"), F.max("ts").alias("last"))
-        .select(
-            F.explode(F.sequence(_bucket(F.col("first")), _bucket(F.col("last")))).alias("bucket")
-        )
-        .where(bucket % 11 != 3)
-        .select(
-            bucket.cast("string").alias("session_id"),
-            (bucket % 5 == 0).alias("is_rainy"),
-            (20 + (bucket * 7) % 25).cast("double").alias("temperature"),
-            bucket.alias("recorded_at"),
+        events.agg(F.expr("min(ts) AS first_at"), F.expr("max(ts) AS last_at"))
+        .selectExpr(f"explode(sequence({_bucket('first_at')}, {_bucket('last_at')})) AS bucket")
+        .where("bucket % 11 <> 3")
+        .selectExpr(
+            "cast(bucket AS string) AS session_id",
+            "bucket % 5 = 0 AS is_rainy",
+            "cast(20 + (bucket * 7) % 25 AS double) AS temperature",
+            "bucket AS recorded_at",
         )
     )
 
 
 def lineitem_observations(lineitem: DataFrame) -> DataFrame:
     """``lineitem`` as observations: suppliers are entities, parts are items."""
-    return lineitem.select(
-        F.col("l_suppkey").alias("entity"),
-        F.col("l_returnflag").alias("category"),
-        F.col("l_partkey").alias("item"),
-        (F.col("l_extendedprice") / F.nullif(F.col("l_quantity"), F.lit(0.0))).alias("price"),
-        F.col("l_shipdate").alias("observed_at"),
-        F.date_format("l_shipdate", "yyyyMMdd").alias("session_id"),
-        (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("ordinal"),
+    return lineitem.selectExpr(
+        "l_suppkey AS entity",
+        "l_returnflag AS category",
+        "l_partkey AS item",
+        "l_extendedprice / nullif(l_quantity, 0D) AS price",
+        "l_shipdate AS observed_at",
+        "date_format(l_shipdate, 'yyyyMMdd') AS session_id",
+        "l_orderkey * 100 + l_linenumber AS ordinal",
     )
 
 

@@ -22,6 +22,7 @@ from pricetide.operators import (
 )
 from pricetide.plans import adapters as A
 from pricetide.plans import reads
+from pricetide.session import materialise
 from pricetide.sources import captures, readers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -376,10 +377,9 @@ def leaders(spark, sf_dir):
 @query
 def market_summary(spark, sf_dir):
     m = market(spark, sf_dir)
-    return reads.market_summary(
-        pricing_index.dynamic_pricing_index(m.base, m.changes),
-        metrics.weekend_premium(m.base, m.changes),
-    )
+    profile = materialise(metrics.entity_profile(m.base, m.changes), "summary")
+    index = pricing_index.score_components(pricing_index.index_components(profile))
+    return reads.market_summary(materialise(index, "summary"), metrics.weekend_from(profile))
 
 
 # ------------------------------------------------------------ rank tests
