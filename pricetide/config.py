@@ -86,6 +86,13 @@ class IndexRules:
             raise ValueError("index caps must be positive")
 
 
+@dataclass(frozen=True)
+class AlertRules:
+    """Smallest change, in percent of the earlier price, that is reported."""
+
+    min_abs_pct: float = 25.0
+
+
 @dataclass(frozen=True)
 class SkewRules:
     """How keys that hold very many rows are cut into slices.

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pricetide.config import ChangeRules, IndexRules
 from pricetide.functions import scalars as S
@@ -22,8 +23,12 @@ from pricetide.operators import (
 )
 from pricetide.plans import adapters as A
 from pricetide.plans import reads
-from pricetide.session import materialise
-from pricetide.sources import captures, readers
+from pricetide.plans.refresh import refresh
+from pricetide.session import materialise, scratch_dir
+from pricetide.sources import captures, publish, readers, writers
+from pricetide.streaming import operators as stream_ops
+from pricetide.streaming import sinks
+from pricetide.streaming import sources as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -308,7 +313,7 @@ def latest_prices(spark, sf_dir):
 
 @query
 def price_history(spark, sf_dir):
-    """The last 30 days of every supplier, with the supplier's name and nation."""
+    """Daily prices of every supplier over the last 30 days."""
     observations = A.lineitem_observations(A.table(spark, sf_dir, "lineitem"))
     history = prices.price_history(observations, days=30)
     return history.withColumns(
@@ -525,3 +530,158 @@ def props_json(spark, sf_dir):
 @query
 def nested_price_extract(spark, sf_dir):
     return captures.extract_prices(A.embedded_pages(A.table(spark, sf_dir, "pages")))
+
+
+# ------------------------------------------------------------ files and tables
+
+
+@query
+def csv_roundtrip(spark, sf_dir):
+    """Observations written as captured price files and read back."""
+    path = scratch_dir(spark, "prices-csv")
+    raw = A.table(spark, sf_dir, "events").selectExpr(
+        "concat('user ', user_id) AS restaurant",
+        "cast(NULL AS string) AS category",
+        "event_type AS item_name",
+        "concat('₹', cast(floor(value) AS bigint)) AS price",
+        "date_format(ts, 'yyyy-MM-dd HH:mm') AS scraped_at",
+        "date_format(ts, 'yyyyMMdd_HHmm') AS scrape_session_id",
+    )
+    raw.write.option("header", True).csv(path)
+    return readers.accepted_prices(
+        readers.clean_prices(readers.read_prices_csv(spark, path))
+    ).drop("ordinal")
+
+
+@query
+def conditions_roundtrip(spark, sf_dir):
+    """Readings written as a condition file without header and read back."""
+    path = scratch_dir(spark, "conditions-csv")
+    conditions = market(spark, sf_dir).conditions
+    conditions.selectExpr(
+        "'town' AS city",
+        "temperature",
+        "40 AS humidity",
+        "CASE WHEN is_rainy THEN 'Rain' ELSE 'Clear' END AS condition",
+        "'sky, mostly' AS description",
+        "2.5D AS wind_speed",
+        "CASE WHEN is_rainy THEN 'True' ELSE 'False' END AS is_rainy",
+        f"date_format(timestampadd(SECOND, recorded_at * {A.SESSION_SECONDS},"
+        " timestamp_ntz'2024-01-01 00:00:00'), 'yyyy-MM-dd HH:mm') AS recorded_at",
+        "session_id",
+    ).write.csv(path)
+    return readers.read_conditions_csv(spark, path)
+
+
+@query
+def append_by_day(spark, sf_dir):
+    """Observations appended below one folder per day, counted per day."""
+    path = scratch_dir(spark, "by-day")
+    writers.append_batch(market(spark, sf_dir).observations, path)
+    return (
+        spark.read.parquet(path)
+        .groupBy("obs_date")
+        .agg(F.count("*").alias("n"), S.half_up(F.sum("price"), 2).alias("total"))
+    )
+
+
+@query
+def schema_backfill(spark, sf_dir):
+    """Older rows written before a column existed, read together with newer ones."""
+    observations = market(spark, sf_dir).observations
+    older = observations.where("observed_at < timestamp_ntz'2024-01-15'").drop("session_id")
+    newer = observations.where("observed_at >= timestamp_ntz'2024-01-15'")
+    both = readers.with_missing_columns(older, observations.schema).unionByName(newer)
+    return both.select("ordinal", "entity", "price", "session_id")
+
+
+def _published(spark, sf_dir, name: str) -> DataFrame:
+    m = market(spark, sf_dir)
+    root = scratch_dir(spark, "published")
+    refresh(spark, m.observations, m.conditions, root, A.RELAXED)
+    return publish.read_published(spark, root, name)
+
+
+@query
+def publish_set(spark, sf_dir):
+    """All metric tables computed and published as one set; the index read back."""
+    return _published(spark, sf_dir, "dynamic_pricing_index")
+
+
+# ------------------------------------------------------------ streams
+
+
+def _stream(spark, sf_dir) -> DataFrame:
+    # as a pattern, the path may be one file or a folder of files
+    path = f"{sf_dir.rstrip('/')}/events.[p]arquet"
+    return A.event_observations(streams.stream_table(spark, path, A.EVENTS_SCHEMA))
+
+
+def _ran(spark, stream: DataFrame, mode: str = "append") -> str:
+    path = scratch_dir(spark, "stream")
+    sinks.run_available(stream, path, f"{path}-checkpoint", mode)
+    return path
+
+
+def _streamed_changes(spark, sf_dir) -> tuple[str, T.StructType]:
+    changes = stream_ops.stream_changes(_stream(spark, sf_dir), A.RELAXED)
+    return _ran(spark, changes), changes.schema
+
+
+@query
+def stream_changes(spark, sf_dir):
+    path, schema = _streamed_changes(spark, sf_dir)
+    return sinks.read_batches(spark, path, schema).withColumn(
+        "pct_change", S.half_up(F.col("pct_change"), 6)
+    )
+
+
+@query
+def stream_hourly(spark, sf_dir):
+    """Windows over the table that the change stream fills."""
+    path, schema = _streamed_changes(spark, sf_dir)
+    windows = stream_ops.stream_hourly(streams.stream_table(spark, path, schema))
+    latest = sinks.read_latest(
+        spark, _ran(spark, windows, "update"), windows.schema, ["window_start"]
+    )
+    return latest.withColumn("mean_change", S.half_up(F.col("mean_change"), 4))
+
+
+@query
+def stream_alerts(spark, sf_dir):
+    path, schema = _streamed_changes(spark, sf_dir)
+    reported = stream_ops.alerts(streams.stream_table(spark, path, schema))
+    return sinks.read_batches(spark, _ran(spark, reported), reported.schema).select(
+        "entity", "item", "ordinal", "direction", S.half_up(F.col("pct_change"), 6).alias("pct_change")
+    )
+
+
+@query
+def stream_join(spark, sf_dir):
+    """Observations and readings, both as streams, joined on the session."""
+    readings = market(spark, sf_dir).conditions.withColumn(
+        "recorded_at",
+        F.expr(
+            f"timestampadd(SECOND, recorded_at * {A.SESSION_SECONDS},"
+            " timestamp_ntz'2024-01-01 00:00:00')"
+        ),
+    )
+    stored = scratch_dir(spark, "conditions")
+    readings.write.parquet(stored)
+    joined = stream_ops.stream_join(
+        _stream(spark, sf_dir),
+        streams.stream_table(spark, stored, readings.schema),
+        before="0 hours",
+        after="2 hours",
+    )
+    return sinks.read_batches(spark, _ran(spark, joined), joined.schema).select(
+        "ordinal", "entity", "observed_at", "session_id", "is_rainy", "temperature"
+    )
+
+
+@query
+def stream_dedupe(spark, sf_dir):
+    first = stream_ops.stream_dedupe(_stream(spark, sf_dir))
+    return sinks.read_batches(spark, _ran(spark, first), first.schema).select(
+        "session_id", "entity", "item"
+    )

@@ -7,9 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from pricetide.functions import scalars as S
+from pricetide.session import path_exists
 
 RAW_PRICES = T.StructType(
     [
@@ -123,11 +123,9 @@ def rejected_prices(cleaned: DataFrame) -> DataFrame:
 
 def read_run_log(spark: SparkSession, path) -> DataFrame:
     """Run logs, one row per log entry; a missing or broken file gives no rows."""
-    try:
+    if path_exists(spark, path):
         logs = spark.read.schema(RUN_LOG).option("multiLine", True).json(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    else:
         logs = spark.createDataFrame([], RUN_LOG)
     return logs.select("*", F.explode("recent_logs").alias("entry")).select(
         "restaurants_scraped", "last_error_type", "entry.*"
