@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pricetide.config import SlotRules
 from pricetide.functions import scalars as S
@@ -75,37 +74,42 @@ def min_gap_thinning(runs: DataFrame, rules: SlotRules = SlotRules()) -> DataFra
 
     ``runs`` has ``entity, started_at, ended_at``.  A run is identified by its
     minute (as its session id is), so runs are first combined per entity and
-    minute.  That bounds a group by the calendar, 1,440 rows per entity and day
-    whatever the input size; the greedy choice within a group is sequential by
-    nature and jumps from kept run to kept run.
+    minute: 1,440 rows per entity and day at most, whatever the input size.  The
+    greedy choice is sequential by nature.  It goes over the sorted rows of a
+    partition batch by batch, holding one number, and jumps from kept run to kept
+    run.
     """
     minutes = (
-        runs.withColumn(
-            "start_minute", F.floor(S.epoch_micros("started_at") / 60_000_000).cast("long")
-        )
-        .withColumn(
-            "end_minute", F.floor(S.epoch_micros("ended_at") / 60_000_000).cast("long")
+        runs.select(
+            "entity",
+            F.expr(f"floor({S.epoch_micros_sql('started_at')} / 60000000)").alias("start_minute"),
+            F.expr(f"floor({S.epoch_micros_sql('ended_at')} / 60000000)").alias("end_minute"),
         )
         .groupBy("entity", "start_minute")
         .agg(F.max("end_minute").alias("end_minute"))
     )
-    schema = T.StructType(
-        [
-            T.StructField("entity", runs.schema["entity"].dataType),
-            T.StructField("start_minute", T.LongType()),
-            T.StructField("end_minute", T.LongType()),
-        ]
-    )
     gap = rules.min_gap_minutes
 
-    def thin(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("start_minute", ignore_index=True)
-        start, end = rows["start_minute"].to_numpy(), rows["end_minute"].to_numpy()
-        kept, i = [], 0
-        while i < len(rows):
-            kept.append(i)
-            i = max(i + 1, int(np.searchsorted(start, end[i] + gap, side="left")))
-        return rows.iloc[kept]
+    def thin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, free = None, None
+        for batch in batches:
+            if batch.empty:
+                continue
+            entity, known = batch["entity"].to_numpy(), batch["entity"].notna().to_numpy()
+            start, end = batch["start_minute"].to_numpy(), batch["end_minute"].to_numpy()
+            changes = (entity[1:] != entity[:-1]) & (known[1:] | known[:-1])
+            edges = [0, *(np.flatnonzero(changes) + 1), len(batch)]
+            keep = np.zeros(len(batch), dtype=bool)
+            for low, high in zip(edges, edges[1:]):
+                here = (known[low], entity[low] if known[low] else None)
+                if here != current:
+                    current, free = here, start[low]
+                i = low + int(np.searchsorted(start[low:high], free))
+                while i < high:
+                    keep[i] = True
+                    free = max(end[i] + gap, start[i] + 1)
+                    i = low + int(np.searchsorted(start[low:high], free))
+            yield batch[keep]
 
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
@@ -113,8 +117,9 @@ def min_gap_thinning(runs: DataFrame, rules: SlotRules = SlotRules()) -> DataFra
         return epoch + F.make_dt_interval(mins=F.col(minute).cast("int"))
 
     return (
-        minutes.groupBy("entity")
-        .applyInPandas(thin, schema)
+        minutes.repartition("entity")
+        .sortWithinPartitions("entity", "start_minute")
+        .mapInPandas(thin, minutes.schema)
         .select("entity", at("start_minute").alias("started_at"), at("end_minute").alias("ended_at"))
     )
 

@@ -20,6 +20,15 @@ SLICE = "_slice"
 CARRY = "_carry"
 
 
+def worth_cutting(rows: DataFrame, rules: SkewRules) -> bool:
+    """Whether Spark's size estimate leaves room for a key too large for one task.
+
+    Only speed depends on the answer; an unknown size counts as large.
+    """
+    estimate = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(estimate)) >= rules.min_input_bytes
+
+
 def hot_keys(rows: DataFrame, keys: Sequence[str], order: str, rules: SkewRules) -> DataFrame:
     """The largest keys with their range of ``order``; at most ``max_hot_keys`` rows.
 
@@ -41,6 +50,8 @@ def add_slices(
 
     Rows with equal ``order`` always share a slice.
     """
+    if not worth_cutting(rows, rules):
+        return rows.withColumn(SLICE, F.lit(None).cast("long"))
     hot = hot_keys(rows, keys, order, rules).selectExpr(
         *[f"{k} AS _hot_{i}" for i, k in enumerate(keys)],
         "cast(_low AS double) AS _low",

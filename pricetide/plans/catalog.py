@@ -26,8 +26,8 @@ from pricetide.plans import reads
 from pricetide.plans.refresh import refresh
 from pricetide.session import materialise, scratch_dir
 from pricetide.sources import captures, publish, readers, writers
+from pricetide.streaming import changes_table, sinks
 from pricetide.streaming import operators as stream_ops
-from pricetide.streaming import sinks
 from pricetide.streaming import sources as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -624,8 +624,10 @@ def _ran(spark, stream: DataFrame, mode: str = "append") -> str:
 
 
 def _streamed_changes(spark, sf_dir) -> tuple[str, T.StructType]:
-    changes = stream_ops.stream_changes(_stream(spark, sf_dir), A.RELAXED)
-    return _ran(spark, changes), changes.schema
+    observations = _stream(spark, sf_dir)
+    path = scratch_dir(spark, "changes")
+    events = changes_table.run_changes(observations, path, f"{path}-checkpoint", A.RELAXED)
+    return events, changes_table.changes_schema(observations, A.RELAXED)
 
 
 @query
@@ -636,6 +638,15 @@ def stream_changes(spark, sf_dir):
     )
 
 
+@query
+def stream_changes_keyed_state(spark, sf_dir):
+    """The same events from Structured Streaming's keyed state."""
+    changes = stream_ops.stream_changes(_stream(spark, sf_dir), A.RELAXED)
+    return sinks.read_batches(spark, _ran(spark, changes), changes.schema).withColumn(
+        "pct_change", S.half_up(F.col("pct_change"), 6)
+    )
+
+
 @query
 def stream_hourly(spark, sf_dir):
     """Windows over the table that the change stream fills."""

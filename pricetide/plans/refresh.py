@@ -34,6 +34,7 @@ def metric_tables(
         "spine",
     )
     profile = materialise(metrics.entity_profile(spine, changes), "profile")
+    grid = hourly.entity_hour_grid(spine, changes)
     index = pricing_index.score_components(pricing_index.index_components(profile), index_rules)
     return {
         "stability_score": metrics.stability_from(profile),
@@ -42,9 +43,9 @@ def metric_tables(
         "temperature_effect": metrics.temperature_from(profile),
         "category_sensitivity": metrics.category_sensitivity(spine, changes),
         "hourly_overall": hourly.hourly_overall(spine, changes),
-        "hourly_per_entity": hourly.hourly_per_entity(spine, changes),
-        "hourly_peak": hourly.hourly_peak(spine, changes),
-        "peak_offpeak": hourly.peak_offpeak(spine, changes),
+        "hourly_per_entity": hourly.per_entity_from(grid),
+        "hourly_peak": hourly.peak_from(grid),
+        "peak_offpeak": hourly.windows_from(grid),
         "sync_pairs_all": comovement.sync_pairs_all(changes, pair_rules),
         "sync_pairs_rain": comovement.sync_pairs_rain(changes, pair_rules),
         "dynamic_pricing_index": index,

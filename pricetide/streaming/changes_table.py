@@ -1,0 +1,120 @@
+"""Change events of a stream, with the last price of each item kept as a table.
+
+The keyed state of :func:`pricetide.streaming.operators.stream_changes` calls
+Python once per item and micro-batch and sorts an item's rows in one task.  Here a
+micro-batch is joined to a table of last prices instead and goes through the same
+Spark window as a batch, including the cutting of very large items.  So it suits
+many items and large micro-batches.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pricetide.config import ChangeRules, SkewRules
+from pricetide.functions import scalars as S
+from pricetide.operators.changes import ITEM_KEYS, change_events
+from pricetide.session import path_exists
+
+LAST = "entity", "category", "item", "price", "observed_at", "ordinal"
+KEPT = (*ITEM_KEYS, "session_id", "ordinal", "observed_at", "prev_price", "new_price", "pct_change")
+
+
+def _complete(spark: SparkSession, folder: str) -> bool:
+    return path_exists(spark, f"{folder}/_SUCCESS")
+
+
+def changes_writer(
+    path: str,
+    rules: ChangeRules = ChangeRules(),
+    delay_seconds: int = 6 * 3600,
+    skew_rules: SkewRules = SkewRules(),
+) -> Callable[[DataFrame, int], None]:
+    """For ``foreachBatch``: events to ``<path>/changes``, last prices to ``<path>/last``.
+
+    Both are written below ``batch_id=<n>``, events before last prices, and a
+    repeated batch keeps what it finished.  Batch n reads only the last prices of
+    batch n-1, so a repeat gives the same rows.  As in the keyed state, a row later
+    than ``delay_seconds`` or older than the last one of its item is ignored, and
+    last prices no later price can follow within the gap are left out.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        events, last = (f"{path}/{part}/batch_id={batch_id}" for part in ("changes", "last"))
+        before = f"{path}/last/batch_id={batch_id - 1}"
+        if _complete(spark, events) and _complete(spark, last):
+            return
+        rows = batch.withColumn("_known", F.lit(False))
+        if batch_id > 0:
+            known = spark.read.parquet(before)
+            rows = _on_time(batch, known, delay_seconds).unionByName(
+                known.withColumn("_known", F.lit(True)), allowMissingColumns=True
+            )
+        if not _complete(spark, events):
+            change_events(rows, rules, skew_rules).where(~F.col("_known")).select(*KEPT).write.mode(
+                "overwrite"
+            ).parquet(events)
+        _last_prices(rows, rules).write.mode("overwrite").parquet(last)
+
+    return write
+
+
+def _on_time(batch: DataFrame, known: DataFrame, delay_seconds: int) -> DataFrame:
+    """Rows newer than their item's last price and not too late overall."""
+    newest = known.agg(F.max("observed_at")).scalar()
+    limit = newest - F.make_dt_interval(secs=F.lit(delay_seconds))
+    items = known.select(
+        *[F.col(k).alias(f"_{k}") for k in ITEM_KEYS],
+        F.struct("observed_at", "ordinal").alias("_last"),
+    )
+    same = " AND ".join(f"{k} <=> _{k}" for k in ITEM_KEYS)
+    return (
+        batch.where(F.coalesce(F.col("observed_at") >= limit, F.lit(True)))
+        .join(items, F.expr(same), "left")
+        .where(F.col("_last").isNull() | (F.struct("observed_at", "ordinal") > F.col("_last")))
+        .select(*batch.columns, F.lit(False).alias("_known"))
+    )
+
+
+def _last_prices(rows: DataFrame, rules: ChangeRules) -> DataFrame:
+    latest = (
+        rows.groupBy(*ITEM_KEYS)
+        .agg(F.max(F.struct("observed_at", "ordinal", "price")).alias("_last"))
+        .select(*ITEM_KEYS, "_last.price", "_last.observed_at", "_last.ordinal")
+    )
+    if rules.max_gap_seconds is None:
+        return latest
+    newest = rows.agg(F.max(S.epoch_micros("observed_at"))).scalar()
+    return latest.where(
+        S.epoch_micros("observed_at") >= newest - F.lit(rules.max_gap_seconds * 1_000_000)
+    )
+
+
+def run_changes(
+    observations: DataFrame,
+    path: str,
+    checkpoint: str,
+    rules: ChangeRules = ChangeRules(),
+    delay_seconds: int = 6 * 3600,
+    skew_rules: SkewRules = SkewRules(),
+) -> str:
+    """Process the observations that are there now; returns the folder of events."""
+    columns = observations.select(*ITEM_KEYS, "price", "observed_at", "ordinal", "session_id")
+    query = (
+        columns.writeStream.option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .foreachBatch(changes_writer(path, rules, delay_seconds, skew_rules))
+        .start()
+    )
+    query.awaitTermination()
+    return f"{path}/changes"
+
+
+def changes_schema(observations: DataFrame, rules: ChangeRules = ChangeRules()):
+    """Schema of the written events, for reading them back or on as a stream."""
+    empty = observations.sparkSession.createDataFrame([], observations.schema)
+    return change_events(empty, rules).select(*KEPT).schema

@@ -7,7 +7,8 @@ from pricetide.config import ChangeRules, SkewRules
 from pricetide.operators import changes as C
 from tests.frames import conditions, observations, rows
 
-CUT = SkewRules(hot_rows=20, rows_per_slice=5, max_slices=64, max_hot_keys=2)
+CUT = SkewRules(hot_rows=20, rows_per_slice=5, max_slices=64, max_hot_keys=2,
+                min_input_bytes=0)
 
 
 def prices(spark, *steps):

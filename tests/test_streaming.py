@@ -1,15 +1,17 @@
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from pricetide.config import ChangeRules
+from pricetide.config import ChangeRules, SkewRules
 from pricetide.operators import changes as C
 from pricetide.streaming import operators as ops
-from pricetide.streaming import sinks, sources
+from pricetide.streaming import changes_table, sinks, sources
 from tests.frames import conditions, observations, rows
 
 RULES = ChangeRules(None, None, None, 6 * 3600)
+CUT = SkewRules(hot_rows=5, rows_per_slice=2, min_input_bytes=0)
 
 
 def write_parts(frame, folder, column="ordinal", parts=4, size=50):
@@ -25,6 +27,23 @@ def stream_of(spark, frame, folder):
     )
 
 
+def keyed_state(spark, frame, folder):
+    changes = ops.stream_changes(stream_of(spark, frame, f"{folder}/in"), RULES)
+    sinks.run_available(changes, f"{folder}/out", f"{folder}/check")
+    return f"{folder}/out", changes.schema
+
+
+def last_price_table(spark, frame, folder):
+    stream = stream_of(spark, frame, f"{folder}/in")
+    path = changes_table.run_changes(
+        stream, f"{folder}/table", f"{folder}/check", RULES, skew_rules=CUT
+    )
+    return path, changes_table.changes_schema(stream, RULES)
+
+
+WAYS = pytest.mark.parametrize("way", [keyed_state, last_price_table])
+
+
 @pytest.fixture(scope="module")
 def day(spark):
     chance = random.Random(2)
@@ -40,20 +59,20 @@ def day(spark):
     )
 
 
-def test_changes_over_several_batches_equal_the_batch(spark, day, folder):
+@WAYS
+def test_changes_over_several_batches_equal_the_batch(spark, day, folder, way):
     write_parts(day, f"{folder}/in")
-    changes = ops.stream_changes(stream_of(spark, day, f"{folder}/in"), RULES)
-    sinks.run_available(changes, f"{folder}/out", f"{folder}/check")
-    got = sinks.read_batches(spark, f"{folder}/out", changes.schema)
+    path, schema = way(spark, day, folder)
+    got = sinks.read_batches(spark, path, schema)
     want = C.change_events(day, RULES)
     columns = ("ordinal", "entity", "category", "item", "prev_price", "new_price", "observed_at")
     assert rows(got, *columns) == rows(want, *columns)
     assert len(rows(got)) > 50
     # nothing new: nothing is processed again
-    sinks.run_available(changes, f"{folder}/out", f"{folder}/check")
-    assert len(rows(got)) == len(rows(want))
+    way(spark, day, folder)
+    assert len(rows(sinks.read_batches(spark, path, schema))) == len(rows(want))
 
-    windows = ops.stream_hourly(sources.stream_table(spark, f"{folder}/out", changes.schema))
+    windows = ops.stream_hourly(sources.stream_table(spark, path, schema))
     sinks.run_available(windows, f"{folder}/hours", f"{folder}/check-hours", "update")
     latest = sinks.read_latest(spark, f"{folder}/hours", windows.schema, ["window_start"])
     by_hour = want.groupBy(F.date_trunc("hour", "observed_at").cast("timestamp_ntz").alias("w")).agg(
@@ -62,7 +81,8 @@ def test_changes_over_several_batches_equal_the_batch(spark, day, folder):
     assert rows(latest, "window_start", "events") == rows(by_hour)
 
 
-def test_rows_older_than_the_last_of_an_item_are_ignored(spark, folder):
+@WAYS
+def test_rows_older_than_the_last_of_an_item_are_ignored(spark, folder, way):
     frame = observations(
         spark,
         [
@@ -73,13 +93,12 @@ def test_rows_older_than_the_last_of_an_item_are_ignored(spark, folder):
         ],
     )
     write_parts(frame, f"{folder}/in", parts=2, size=2)
-    changes = ops.stream_changes(stream_of(spark, frame, f"{folder}/in"), RULES)
-    sinks.run_available(changes, f"{folder}/out", f"{folder}/check")
-    got = sinks.read_batches(spark, f"{folder}/out", changes.schema)
+    got = sinks.read_batches(spark, *way(spark, frame, folder))
     assert rows(got, "prev_price", "new_price") == [(100.0, 110.0), (110.0, 120.0)]
 
 
-def test_state_expires_after_the_gap(spark, folder):
+@WAYS
+def test_state_expires_after_the_gap(spark, folder, way):
     frame = observations(
         spark,
         [
@@ -90,9 +109,7 @@ def test_state_expires_after_the_gap(spark, folder):
         ],
     )
     write_parts(frame, f"{folder}/in", parts=4, size=1)
-    changes = ops.stream_changes(stream_of(spark, frame, f"{folder}/in"), RULES)
-    sinks.run_available(changes, f"{folder}/out", f"{folder}/check")
-    got = sinks.read_batches(spark, f"{folder}/out", changes.schema)
+    got = sinks.read_batches(spark, *way(spark, frame, folder))
     assert rows(got, "item", "new_price") == [("y", 110.0)]
 
 
@@ -172,3 +189,17 @@ def test_a_repeated_batch_is_written_once(spark, folder):
     before = spark.read.parquet(f"{folder}/out").inputFiles()
     write(spark.range(2), 0)
     assert spark.read.parquet(f"{folder}/out").inputFiles() == before
+
+
+def test_a_half_finished_batch_is_completed(spark, folder, day):
+    write = changes_table.changes_writer(f"{folder}/t", RULES)
+    write(day.where("ordinal < 100"), 0)
+    late = day.where("ordinal >= 100")
+    write(late, 1)
+    events = spark.read.parquet(f"{folder}/t/changes").inputFiles()
+    # the last prices of batch 1 were lost before they were complete
+    os.remove(f"{folder}/t/last/batch_id=1/_SUCCESS")
+    write(late, 1)
+    assert sorted(spark.read.parquet(f"{folder}/t/changes").inputFiles()) == sorted(events)
+    got = spark.read.parquet(f"{folder}/t/changes")
+    assert rows(got, "ordinal") == rows(C.change_events(day, RULES), "ordinal")
