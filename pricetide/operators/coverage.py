@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pricetide.config import SlotRules
 from pricetide.functions import scalars as S
+from pricetide.session import materialise
 
 
 def nearest_slot(at, rules: SlotRules = SlotRules()):
@@ -32,15 +33,19 @@ def slot_coverage(
 ) -> DataFrame:
     """Scheduled slots without an observation, per key and day.
 
-    Days run from the first to the last day of the whole table.
+    Days run from the first to the last day of the whole table.  The slots seen, a
+    table bounded by keys and calendar, are written out, so the observations are
+    read once.
     """
-    day = F.col("observed_at").cast("date")
-    seen = observations.select(
-        *keys, day.alias("obs_date"), nearest_slot(F.col("observed_at"), rules).alias("slot_minute")
-    ).distinct()
-    days = observations.agg(
-        F.sequence(F.min(day), F.max(day))
-    ).scalar()
+    seen = materialise(
+        observations.select(
+            *keys,
+            F.col("observed_at").cast("date").alias("obs_date"),
+            nearest_slot(F.col("observed_at"), rules).alias("slot_minute"),
+        ).distinct(),
+        "slots",
+    )
+    days = seen.agg(F.sequence(F.min("obs_date"), F.max("obs_date"))).scalar()
     slots = F.array(*[F.lit(s) for s in rules.slot_minutes])
     expected = (
         seen.select(*keys)

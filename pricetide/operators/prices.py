@@ -60,18 +60,33 @@ def category_hour_heatmap(
 def band_summary(
     observations: DataFrame, conditions: DataFrame, bands: BandRules = BandRules()
 ) -> DataFrame:
-    """Count, temperature range, mean and deviation of the price per band."""
-    narrow = observations.select("session_id", F.col("price").cast("double").alias("price"))
+    """Count, temperature range, mean and deviation of the price per band.
+
+    Prices are summed up per session before the join; the deviation is put together
+    from the sessions' own.
+    """
+    sessions = observations.groupBy("session_id").agg(
+        F.expr("count(*) AS n"),
+        F.expr("count(price) AS priced"),
+        F.expr("coalesce(sum(cast(price AS double)), 0D) AS total"),
+        F.expr("coalesce(count(price) * var_pop(cast(price AS double)), 0D) AS inner_squares"),
+    )
+    squares = (
+        "sum(inner_squares + coalesce(total * total / nullif(priced, 0), 0D))"
+        " - sum(total) * sum(total) / nullif(sum(priced), 0)"
+    )
     return (
-        with_conditions(narrow, conditions, bands)
+        with_conditions(sessions, conditions, bands)
         .where(F.col("temperature_band").isNotNull())
         .groupBy("temperature_band")
         .agg(
-            F.count("*").alias("total_records"),
+            F.expr("sum(n) AS total_records"),
             F.min("temperature").alias("temp_min"),
             F.max("temperature").alias("temp_max"),
-            _mean_price(2),
-            S.rounded_or_zero(F.stddev_samp("price"), 2).alias("price_stddev"),
+            S.half_up(F.expr("sum(total) / nullif(sum(priced), 0)"), 2).alias("avg_price"),
+            S.rounded_or_zero(
+                F.expr(f"sqrt(greatest({squares}, 0D) / nullif(sum(priced) - 1, 0))"), 2
+            ).alias("price_stddev"),
         )
     )
 

@@ -45,10 +45,21 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists, on whatever file system it names."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    target, files = _file_system(spark, path)
+    return files.exists(target)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder with its contents; nothing happens if there is none."""
+    target, files = _file_system(spark, path)
+    files.delete(target, True)
 
 
 def materialise(frame, purpose: str):

@@ -17,9 +17,8 @@ from pyspark.sql import functions as F
 from pricetide.config import ChangeRules, SkewRules
 from pricetide.functions import scalars as S
 from pricetide.operators.changes import ITEM_KEYS, change_events
-from pricetide.session import path_exists
+from pricetide.session import path_exists, remove_path
 
-LAST = "entity", "category", "item", "price", "observed_at", "ordinal"
 KEPT = (*ITEM_KEYS, "session_id", "ordinal", "observed_at", "prev_price", "new_price", "pct_change")
 
 
@@ -59,6 +58,8 @@ def changes_writer(
                 "overwrite"
             ).parquet(events)
         _last_prices(rows, rules).write.mode("overwrite").parquet(last)
+        # batch n-1 can no longer be repeated, and only it would read these
+        remove_path(spark, f"{path}/last/batch_id={batch_id - 2}")
 
     return write
 
