@@ -1,5 +1,9 @@
 """pricetide: price-movement analytics written as Spark DataFrame operators."""
 
+import sys
+
+from pyspark import cloudpickle
+
 from pricetide.config import (
     BandRules,
     ChangeRules,
@@ -17,3 +21,7 @@ __all__ = [
     "SkewRules",
     "VerdictRules",
 ]
+
+# The few Python functions that run on executors travel with their tasks, so the
+# package has to be importable on the driver only.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

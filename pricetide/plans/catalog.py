@@ -573,6 +573,19 @@ def conditions_roundtrip(spark, sf_dir):
     return readers.read_conditions_csv(spark, path)
 
 
+@query
+def csv_export(spark, sf_dir):
+    """Metric tables exported as CSV folders; one of them read back."""
+    m = market(spark, sf_dir)
+    tables = {
+        "hourly_overall": hourly.hourly_overall(m.base, m.changes),
+        "category_sensitivity": metrics.category_sensitivity(m.base, m.changes),
+    }
+    written = writers.export_csv(tables, scratch_dir(spark, "export"))
+    name = "category_sensitivity"
+    return spark.read.schema(tables[name].schema).option("header", True).csv(written[name])
+
+
 @query
 def append_by_day(spark, sf_dir):
     """Observations appended below one folder per day, counted per day."""
