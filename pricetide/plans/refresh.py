@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pricetide.config import BandRules, ChangeRules, IndexRules, PairRules, SkewRules
 from pricetide.operators import changes as C
 from pricetide.operators import comovement, hourly, metrics, prices, pricing_index
-from pricetide.session import materialise
+from pricetide.session import materialise, scratch_space
 from pricetide.sources.publish import publish_set
 
 
@@ -64,6 +64,10 @@ def refresh(
     run_id: str | None = None,
     **options,
 ) -> str:
-    """Compute all tables and publish them as one set below ``root``."""
-    tables = metric_tables(observations, conditions, rules, **options)
-    return publish_set(spark, tables, root, run_id)
+    """Compute all tables and publish them as one set below ``root``.
+
+    What is written on the way is removed at the end.
+    """
+    with scratch_space(spark):
+        tables = metric_tables(observations, conditions, rules, **options)
+        return publish_set(spark, tables, root, run_id)

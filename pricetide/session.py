@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_SPACE: ContextVar[str | None] = ContextVar("scratch space", default=None)
 
 
 def build_session(name: str = "pricetide", master: str | None = None, **settings) -> SparkSession:
@@ -34,9 +38,10 @@ def build_session(name: str = "pricetide", master: str | None = None, **settings
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own.
+    Only a local session without that setting gets a folder of its own.  Within a
+    :func:`scratch_space` the folder belongs to that space.
     """
-    root = spark.conf.get(CHECKPOINT_DIR, None)
+    root = _SPACE.get() or spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
@@ -62,6 +67,18 @@ def remove_path(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
+@contextmanager
+def scratch_space(spark: SparkSession) -> Iterator[str]:
+    """Scratch folders made within are removed at the end."""
+    space = scratch_dir(spark, "space")
+    token = _SPACE.set(space)
+    try:
+        yield space
+    finally:
+        _SPACE.reset(token)
+        remove_path(spark, space)
+
+
 def materialise(frame, purpose: str):
     """Write a frame to the shared folder and read it back, cutting its lineage.
 

@@ -123,16 +123,24 @@ def stream_join(
     after: str = "1 hour",
     delay: str = "1 hour",
     how: str = "inner",
+    salts: int = 32,
 ) -> DataFrame:
     """Observations with the reading of their session, both arriving as streams.
 
+    At any time nearly all arriving prices belong to the session just captured, so
+    a session is spread over ``salts`` groups by item and each reading is repeated
+    for all of them.
+
     A reading matches prices taken from ``before`` it to ``after`` it.  That bound
     lets Spark forget both sides in time; with ``how="leftOuter"`` an observation
     appears without a reading once none can come any more.
     """
-    left = with_event_time(observations, delay)
+    left = with_event_time(
+        observations.withColumn("_salt", F.expr(f"pmod(xxhash64(entity, item), {salts}L)")), delay
+    )
     right = with_event_time(
         conditions.select(
+            F.expr(f"explode(sequence(0L, {salts - 1}L)) AS _group"),
             F.col("session_id").alias("_session"),
             F.col("recorded_at").alias("_recorded_at"),
             "is_rainy",
@@ -142,12 +150,12 @@ def stream_join(
         "_recorded_at",
     )
     matching = F.expr(
-        f"session_id = _session AND observed_at >= _recorded_at - INTERVAL {before}"
+        f"session_id = _session AND _salt = _group AND observed_at >= _recorded_at - INTERVAL {before}"
         f" AND observed_at <= _recorded_at + INTERVAL {after}"
     )
     return (
         left.join(right, matching, how)
-        .drop("_session", "_recorded_at")
+        .drop("_session", "_recorded_at", "_salt", "_group")
         .withColumn("observed_at", F.col("observed_at").cast("timestamp_ntz"))
     )
 

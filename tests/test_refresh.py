@@ -1,3 +1,5 @@
+import os
+
 from pricetide.operators import metrics
 from pricetide.plans import catalog, reads
 from pricetide.plans.adapters import RELAXED
@@ -10,7 +12,10 @@ SF_DIR = "/root/testdata/sf0.001"
 
 def test_all_fifteen_tables_equal_the_single_queries(spark, folder):
     m = catalog.market(spark, SF_DIR)
+    root = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(root))
     refresh(spark, m.observations, m.conditions, folder, RELAXED)
+    assert set(os.listdir(root)) == before
     names = current_run(spark, folder)["tables"]
     assert len(names) == 15
     for name in names:
