@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pricetide.llm import packing, records
+from pricetide.llm import packing, records, simhash
 from pricetide.llm.common import documents
 from pricetide.session import scratch_dir
 
@@ -41,3 +41,11 @@ def op9_binary_records(spark, sf_dir):
     return records.read_records(spark, folder).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )
+
+
+@query
+def op7_simhash_near_dedup(spark, sf_dir):
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(documents(spark, sf_dir)).select(
+        "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id"
+    )
