@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pricetide.llm import packing, records, simhash
-from pricetide.llm.common import documents
+from pricetide.llm import langid, packing, records, simhash
+from pricetide.llm.common import documents, held_out
 from pricetide.session import scratch_dir
 
 QUERIES: dict = {}
@@ -49,3 +49,13 @@ def op7_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(documents(spark, sf_dir)).select(
         "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+@query
+def op5_language_id(spark, sf_dir):
+    """Language of every document, learned from those not held out."""
+    docs = documents(spark, sf_dir)
+    model = langid.train(docs)
+    return langid.predict(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous"
+    )
