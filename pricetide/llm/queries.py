@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pricetide.llm import langid, packing, records, simhash
+from pricetide.llm import langid, packing, quality, records, simhash
 from pricetide.llm.common import documents, held_out
 from pricetide.session import scratch_dir
 
@@ -59,3 +59,11 @@ def op5_language_id(spark, sf_dir):
     return langid.predict(docs, model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous"
     )
+
+
+@query
+def op3_quality(spark, sf_dir):
+    """Quality of every document, learned from labels of those not held out."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    found = quality.classify(documents(spark, sf_dir), labels)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
