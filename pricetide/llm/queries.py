@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pricetide.llm import langid, packing, quality, records, simhash
+from pricetide.llm import editprints, langid, packing, quality, records, simhash
 from pricetide.llm.common import documents, held_out
 from pricetide.session import scratch_dir
 
@@ -67,3 +67,17 @@ def op3_quality(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     found = quality.classify(documents(spark, sf_dir), labels)
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query
+def op10_edit_fingerprints(spark, sf_dir):
+    """Fingerprints of every document and of its text mixed with the next one's."""
+    return editprints.edited(documents(spark, sf_dir)).select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
