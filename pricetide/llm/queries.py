@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pricetide.llm import editprints, langid, packing, quality, records, simhash
+from pricetide.llm import (
+    editprints,
+    langid,
+    mixing,
+    packing,
+    quality,
+    records,
+    secrets,
+    simhash,
+)
 from pricetide.llm.common import documents, held_out
 from pricetide.session import scratch_dir
 
@@ -81,3 +90,83 @@ def op10_edit_fingerprints(spark, sf_dir):
         "near_edited",
         "near_next",
     )
+
+
+@query
+def op8_mixing(spark, sf_dir):
+    """How many words the mix takes of every document."""
+    return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op1_secret_scan(spark, sf_dir):
+    """Secrets in every document."""
+    return secrets.digest(secrets.scan(documents(spark, sf_dir)))
+
+
+TWINS["op8_mixing"] = r"""
+WITH sized AS (
+  SELECT doc_id, source,
+         len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''))::BIGINT
+           AS size,
+         md5('mix/' || coalesce(doc_id::VARCHAR, '-')) AS mark,
+         ('0x' || substr(md5('mix/' || coalesce(doc_id::VARCHAR, '-')), 1, 8))::BIGINT % 64 AS shard
+  FROM documents
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
+), weighted AS (
+  SELECT *, 2 * source_size AS cap,
+         [3, 1, 2][1 + (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3] AS weight
+  FROM sources
+), filled AS (
+  SELECT *, 1.5::DOUBLE * (sum(source_size) OVER ())::DOUBLE AS mix,
+         coalesce(sum(cap) OVER before, 0)::DOUBLE AS filled,
+         (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0))::DOUBLE AS open,
+         row_number() OVER (ORDER BY cap::DOUBLE / weight, source IS NULL, source) AS place
+  FROM weighted
+  WINDOW before AS (ORDER BY cap::DOUBLE / weight, source IS NULL, source
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), levels AS (
+  SELECT arg_min(greatest((mix - filled) / open, 0), place) AS level FROM filled
+  WHERE greatest((mix - filled) / open, 0) <= cap::DOUBLE / weight
+), aimed AS (
+  SELECT source, source_size, least(cap::DOUBLE, coalesce(level * weight, cap::DOUBLE)) AS target
+  FROM filled, levels
+), house AS (
+  SELECT greatest(1, ceil(sum(target) / 1000000))::BIGINT AS block,
+         round(sum(target) / greatest(1, ceil(sum(target) / 1000000)))::BIGINT AS blocks,
+         sum(target) AS votes, count(*) AS parties
+  FROM aimed
+), offers AS (
+  SELECT source, seat, row_number() OVER (ORDER BY target / (2 * seat + 1) DESC, source IS NULL, source, seat) AS place
+  FROM (SELECT source, target, unnest(range(0, (floor(target / nullif(votes, 0) * blocks) + parties + 1)::BIGINT)) AS seat
+        FROM aimed, house WHERE target > 0)
+), quotas AS (
+  SELECT source, count(*) AS quota FROM offers, house WHERE place <= blocks GROUP BY source
+), shards AS (
+  SELECT source, shard, sum(size)::BIGINT AS shard_size FROM sized GROUP BY source, shard
+), shard_offers AS (
+  SELECT source, shard, seat,
+         row_number() OVER (PARTITION BY source ORDER BY shard_size::DOUBLE / (2 * seat + 1) DESC, shard, seat) AS place
+  FROM (SELECT h.source, shard, shard_size,
+               unnest(range(0, (floor(shard_size * quota::DOUBLE / source_size) + 66)::BIGINT)) AS seat
+        FROM shards h JOIN quotas q ON h.source IS NOT DISTINCT FROM q.source
+        JOIN aimed a ON h.source IS NOT DISTINCT FROM a.source WHERE shard_size > 0)
+), seats AS (
+  SELECT o.source, shard, count(*) AS seats FROM shard_offers o JOIN quotas q ON o.source IS NOT DISTINCT FROM q.source
+  WHERE place <= quota GROUP BY o.source, shard
+), due AS (
+  SELECT h.source, h.shard, shard_size, least(coalesce(seats, 0) * block, 2 * shard_size) AS due
+  FROM shards h LEFT JOIN seats s ON h.source IS NOT DISTINCT FROM s.source AND h.shard = s.shard, house
+), placed AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source, shard ORDER BY mark, doc_id, size
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+  FROM sized
+)
+SELECT p.doc_id, p.size, a.source_size, a.target,
+       (CASE WHEN shard_size > 0 THEN due // shard_size ELSE 0 END * p.size
+        + greatest(0, least(p.size, CASE WHEN shard_size > 0 THEN due % shard_size ELSE 0 END - ahead)))::BIGINT AS taken
+FROM placed p
+JOIN aimed a ON p.source IS NOT DISTINCT FROM a.source
+JOIN due d ON p.source IS NOT DISTINCT FROM d.source AND p.shard = d.shard
+"""

@@ -23,7 +23,7 @@ _ODD = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‏ -  -⁤　﻿]")
 _ODD_ASCII = ("\x1c", "\x1d", "\x1e", "\x1f")
 _UNEVEN = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\x0b", "\x0c")
 _CHUNKS = re.compile(r"\s+(?!\S)| ?\S+|\s")
-_SIMPLE = re.compile("(\n?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 _BATCH = 500
 
 
@@ -33,7 +33,7 @@ class Encoder:
     ``room`` bounds the number of cached words and of cached word stems.
     """
 
-    def __init__(self, path: str, dtype: str = "<u4", room: int = 400_000):
+    def __init__(self, path: str, dtype: str = "<u4", room: int = 700_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -92,24 +92,36 @@ class Encoder:
 
     def _learn(self, missing: set[str]) -> None:
         """Put the ids of words into the cache, from their stems where they are simple."""
-        stems, fold, match = self.stems, not self.spaces_kept, _SIMPLE.fullmatch
-        found = {word: m.groups() for word in missing if (m := match(word)) and not (fold and m[1])}
-        other = list(missing - found.keys())
-        if fold:
-            wanted = {stem.lower() for _, stem, _ in found.values()} - stems.keys()
-            parts = [("", list(wanted))]
-        else:
-            wanted = {led + stem for led, stem, _ in found.values()} - stems.keys()
-            parts = [(led, [x for x in wanted if (x[0] == "\n") == bool(led)]) for led in ("\n", "")]
-        for led, part in parts:
+        fold = not self.spaces_kept
+        simple: dict[tuple[str, str], tuple[list[str], list[str]]] = {}
+        other = []
+        for led in ("", "\n"):
+            for mark in ("", ".", ","):
+                simple[led, mark] = [], []
+        for word in missing:
+            stem = word.rstrip(".,")
+            mark = word[len(stem) :]
+            led = "\n" if stem[:1] == "\n" and not fold else ""
+            bare = stem[1:] if led else stem
+            if len(mark) <= 1 and bare.isalpha() and (bare.isascii() or _LATIN(bare)):
+                words, stems = simple[led, mark]
+                words.append(word)
+                stems.append(bare.lower() if fold else stem)
+            else:
+                other.append(word)
+        marks = dict(zip((".", ","), self._whole([".", ","])))
+        for led in ("", "\n"):
+            wanted = set().union(*(simple[led, mark][1] for mark in ("", ".", ",")))
+            part = list(wanted - self.stems.keys())
             if part:
-                bare = [x[1:] for x in part] if led else part
-                stems.update(zip(part, self._runs(bare, led or ("" if fold else " "))))
-        marks = dict(zip((".", ","), self._whole([".", ","]))) | {"": b""}
-        if fold:
-            self.cache.update((w, stems[stem.lower()] + marks[m]) for w, (_, stem, m) in found.items())
-        else:
-            self.cache.update((w, stems[led + stem] + marks[m]) for w, (led, stem, m) in found.items())
+                ids = self._runs([x[1:] for x in part] if led else part, led or ("" if fold else " "))
+                self.stems.update(zip(part, ids))
+        for (_, mark), (words, stems) in simple.items():
+            found = map(self.stems.__getitem__, stems)
+            if mark:
+                tail = marks[mark]
+                found = (x + tail for x in found)
+            self.cache.update(zip(words, found))
         texts = [x if fold or x.startswith("\n") else f" {x}" for x in other]
         self.cache.update(zip(other, self._whole(texts)))
 
@@ -155,22 +167,28 @@ class Encoder:
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         split = [self._pieces(x) if x else ([], False) for x in texts]
-        missing: set[str] = set()
-        for found in split:
-            if found:
-                missing.update(found[0])
-        missing -= self.cache.keys()
-        if missing:
+        # One look-up a word; gaps are filled when their words have been learned.
+        found = [list(map(self.cache.get, x[0])) if x else [] for x in split]
+        gaps = []
+        for k, ids in enumerate(found):
+            at = -1
+            for _ in range(ids.count(None)):
+                at = ids.index(None, at + 1)
+                gaps.append((k, at))
+        if gaps:
+            missing = {split[k][0][at] for k, at in gaps}
             raw = {x for x in missing if x.startswith("\n\n\n\0")}
             self.cache.update(zip(raw, self._whole([x[4:] for x in raw])))
             self._learn(missing - raw)
+            for k, at in gaps:
+                found[k][at] = self.cache[split[k][0][at]]
         out = []
-        for text, found in zip(texts, split):
-            if found is None:
+        for text, pieces, ids in zip(texts, split, found):
+            if pieces is None:
                 out += self._whole([text])
                 continue
-            ids = b"".join(map(self.cache.__getitem__, found[0]))
-            out.append(ids[self.dtype.itemsize :] if found[1] else ids)
+            joined = b"".join(ids)
+            out.append(joined[self.dtype.itemsize :] if pieces[1] else joined)
         for kept in (self.cache, self.stems):
             if len(kept) > self.room:  # the oldest half goes
                 for old in list(islice(kept, self.room // 2)):
