@@ -13,6 +13,7 @@ from pricetide.llm import (
     records,
     secrets,
     simhash,
+    topk,
 )
 from pricetide.llm.common import documents, held_out
 from pricetide.session import scratch_dir
@@ -104,6 +105,29 @@ def op1_secret_scan(spark, sf_dir):
     return secrets.digest(secrets.scan(documents(spark, sf_dir)))
 
 
+@query
+def op2_exact_top_k(spark, sf_dir):
+    """The 20 best other vectors of every twentieth vector."""
+    return topk.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+TWINS["op2_exact_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.e::DOUBLE[], v.e::DOUBLE[])::BIGINT AS score
+  FROM v AS q JOIN v ON q.vec_id <> v.vec_id
+  WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM pairs
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
+"""
+
+
 TWINS["op8_mixing"] = r"""
 WITH sized AS (
   SELECT doc_id, source,
