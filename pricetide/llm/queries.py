@@ -13,6 +13,7 @@ from pricetide.llm import (
     records,
     secrets,
     simhash,
+    substrings,
     topk,
 )
 from pricetide.llm.common import documents, held_out
@@ -128,6 +129,12 @@ QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <=
 """
 
 
+@query
+def op4_substring_dedup(spark, sf_dir):
+    """Every document without the windows of 50 words that an earlier one has."""
+    return substrings.without_repeats(documents(spark, sf_dir))
+
+
 TWINS["op8_mixing"] = r"""
 WITH sized AS (
   SELECT doc_id, source,
