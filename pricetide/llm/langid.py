@@ -213,3 +213,29 @@ def predict(docs: DataFrame, model: LanguageModel, rules: CodeRules = CodeRules(
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     return rows.mapInArrow(guess, "doc_id long, lang_pred string, score double, ambiguous boolean")
+
+
+def keep_known(docs: DataFrame, model: LanguageModel, rules: CodeRules = CodeRules()) -> DataFrame:
+    """The rows of ``docs`` whose text has a language, without the ambiguous ones.
+
+    All columns stay as they are.
+    """
+    languages, code, weights, buckets = model.languages, model.code, model.weights, rules.buckets
+    place = docs.columns.index("text")
+
+    def keep(batches):
+        table = _letter_table()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                texts = [x or "" for x in part.column(place).to_pylist()]
+                vectors, letters = ngram_counts(texts, table, buckets)
+                stays = letters > 0
+                if languages:
+                    _, share = decode((vectors @ weights[:-1] + weights[-1]).astype(np.float64), code)
+                    stays &= share >= rules.unclear
+                else:
+                    stays[:] = False
+                yield part.filter(pa.array(stays))
+
+    return docs.mapInArrow(keep, docs.schema)

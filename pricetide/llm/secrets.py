@@ -261,7 +261,7 @@ def discoveries(tokens: DataFrame, rules: SecretRules) -> DataFrame:
 
 
 def scan(docs: DataFrame, rules: SecretRules = SecretRules()) -> DataFrame:
-    """``row, doc_id, base, added`` for every row: arrays of spans.
+    """``row, doc_id, text_hash, base, added`` for every row: arrays of spans.
 
     A span has ``start`` and ``end`` (code points, end exclusive), ``place`` and ``kind``.
     ``added`` holds random strings that no base span overlaps.  Null and empty texts have
@@ -271,6 +271,7 @@ def scan(docs: DataFrame, rules: SecretRules = SecretRules()) -> DataFrame:
     first = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64("text").alias("text_hash"),
         base_spans(text).alias("base"),
         _spans(text, _CANDIDATE % rules.shortest).alias("candidates"),
     )
@@ -286,7 +287,7 @@ def scan(docs: DataFrame, rules: SecretRules = SecretRules()) -> DataFrame:
     added = F.expr(
         "filter(coalesce(added, array()), x -> not exists(base, b -> b.start < x.end and x.start < b.end))"
     )
-    return joined.select("row", "doc_id", "base", added.alias("added"))
+    return joined.select("row", "doc_id", "text_hash", "base", added.alias("added"))
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -302,3 +303,39 @@ def digest(found: DataFrame) -> DataFrame:
         _joined(F.array_sort(F.concat("base", "added"))).alias("spans"),
         F.size("added").cast("long").alias("n_random"),
     )
+
+
+def redacted(docs: DataFrame, rules: SecretRules = SecretRules(), mark: str = "[secret]") -> DataFrame:
+    """The rows of ``docs`` with every span in their texts replaced by ``mark``.
+
+    Spans that overlap are replaced as one.  Other columns stay as they are.
+    """
+    found = scan(docs, rules).select(
+        F.col("doc_id").alias("of"),
+        F.col("text_hash").alias("of_hash"),
+        F.array_sort(F.concat("base", "added")).alias("spans"),
+    )
+    # Rows of the same id and text have the same spans.
+    known = found.where(F.size("spans") > 0).groupBy("of", "of_hash").agg(F.first("spans").alias("spans"))
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64("text").alias("text_hash"),
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_hash"))
+    text = F.col("row.text")
+
+    def step(so_far, x):
+        gap = F.substring(text, so_far["at"] + 1, x["start"] - so_far["at"])
+        apart = F.struct(x["end"].alias("at"), F.concat(so_far["out"], gap, F.lit(mark)).alias("out"))
+        within = F.struct(F.greatest(so_far["at"], x["end"]).alias("at"), so_far["out"].alias("out"))
+        return F.when(x["start"] >= so_far["at"], apart).otherwise(within)
+
+    def end(so_far):
+        return F.concat(so_far["out"], F.substring(text, so_far["at"] + 1, F.length(text)))
+
+    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    clean = F.when(F.col("spans").isNull(), text).otherwise(F.aggregate("spans", begin, step, end))
+    return rows.join(known, same, "left").select(
+        *(clean.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns)
+    )

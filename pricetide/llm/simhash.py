@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricetide.llm.common import stored
@@ -65,20 +65,26 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, rules: SimHashRules = SimHashRules()) -> DataFrame:
-    """``doc_id, bits`` (a signed long) for every row; a null text counts as empty."""
+    """``doc_id, text_hash, bits`` (signed longs) for every row; a null text counts as empty."""
     shingle = rules.shingle
-    schema = pa.schema([("doc_id", pa.int64()), ("bits", pa.int64())])
+    schema = pa.schema([(x, pa.int64()) for x in ("doc_id", "text_hash", "bits")])
 
     def sign(batches):
         for batch in batches:
-            names = batch.column(0)
-            for at in range(0, len(names), 512):
-                some = batch.column(1).slice(at, 512).to_pylist()
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                some = part.column(2).to_pylist()
                 found = np.array([fingerprint(x, shingle) for x in some], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([names.slice(at, 512), pa.array(found)], schema=schema)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(found)], schema=schema
+                )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    return rows.mapInArrow(sign, "doc_id long, bits long")
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64("text").alias("text_hash"),
+        F.col("text").alias("text"),
+    )
+    return rows.mapInArrow(sign, "doc_id long, text_hash long, bits long")
 
 
 def gray_rank(values: np.ndarray) -> np.ndarray:
@@ -293,7 +299,7 @@ def links(bits: DataFrame, rules: SimHashRules = SimHashRules()) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, rules: SimHashRules = SimHashRules()) -> DataFrame:
-    """``doc_id, bits, component_id`` per row: the smallest id reachable over links.
+    """``doc_id, text_hash, bits, component_id`` per row: the smallest id reachable over links.
 
     Null and empty texts have the fingerprint zero and link like any other.  Rows that
     repeat an id keep a row each.  Null ids are never a component's name unless no
@@ -308,4 +314,25 @@ def near_duplicates(docs: DataFrame, rules: SimHashRules = SimHashRules()) -> Da
     )
     names = lowest.groupBy("component").agg(F.min("first_id").alias("component_id"))
     of_bits = lowest.join(names, "component").select("bits", "component_id")
-    return signed.join(of_bits, "bits").select("doc_id", "bits", "component_id")
+    return signed.join(of_bits, "bits").select("doc_id", "text_hash", "bits", "component_id")
+
+
+def without_near_duplicates(docs: DataFrame, rules: SimHashRules = SimHashRules()) -> DataFrame:
+    """The rows of ``docs``, one of each component: that with the smallest id.
+
+    Of rows that repeat this id one stays.  All columns stay as they are.
+    """
+    found = near_duplicates(docs, rules)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("x")
+    stays = found.groupBy("component_id").agg(first).select(
+        F.col("x.doc_id").alias("of"), F.col("x.text_hash").alias("of_hash")
+    )
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64("text").alias("text_hash"),
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_hash"))
+    copies = Window.partitionBy("doc_id", "text_hash").orderBy("row.text")
+    kept = rows.join(stays, same).withColumn("copy", F.row_number().over(copies)).where("copy = 1")
+    return kept.select("row.*")
