@@ -26,7 +26,7 @@ from pricetide.plans import reads
 from pricetide.plans.refresh import refresh
 from pricetide.session import materialise, scratch_dir
 from pricetide.sources import captures, publish, readers, writers
-from pricetide.streaming import changes_table, sinks
+from pricetide.streaming import admission, sinks
 from pricetide.streaming import operators as stream_ops
 from pricetide.streaming import sources as streams
 
@@ -624,10 +624,19 @@ def publish_set(spark, sf_dir):
 # ------------------------------------------------------------ streams
 
 
-def _stream(spark, sf_dir) -> DataFrame:
-    # as a pattern, the path may be one file or a folder of files
-    path = f"{sf_dir.rstrip('/')}/events.[p]arquet"
-    return A.event_observations(streams.stream_table(spark, path, A.EVENTS_SCHEMA))
+#: Days per micro-batch of a replayed backlog; the tables span about a month.
+SLICE_DAYS = 5
+SLICE_DELAY = f"{SLICE_DAYS} days"
+
+
+def _stream(spark, sf_dir, closed: bool = False) -> DataFrame:
+    """The events as a stream of several micro-batches, in the order of their days."""
+    path = scratch_dir(spark, "replay")
+    observations = A.event_observations(A.table(spark, sf_dir, "events"))
+    admission.replay(observations, path, days=SLICE_DAYS)
+    if closed:
+        admission.close(spark, path, observations.schema)
+    return streams.stream_table(spark, path, observations.schema, batch_bytes=1)
 
 
 def _ran(spark, stream: DataFrame, mode: str = "append") -> str:
@@ -637,10 +646,13 @@ def _ran(spark, stream: DataFrame, mode: str = "append") -> str:
 
 
 def _streamed_changes(spark, sf_dir) -> tuple[str, T.StructType]:
-    observations = _stream(spark, sf_dir)
-    path = scratch_dir(spark, "changes")
-    events = changes_table.run_changes(observations, path, f"{path}-checkpoint", A.RELAXED)
-    return events, changes_table.changes_schema(observations, A.RELAXED)
+    """Change events of the rows that are on time; late ones are kept beside them."""
+    observations = _stream(spark, sf_dir, closed=True)
+    path = scratch_dir(spark, "admission")
+    admitted, _ = admission.admit(observations, path, f"{path}-checkpoint", SLICE_DAYS * 86_400)
+    on_time = streams.stream_table(spark, f"{admitted}/*/*", observations.schema, batch_bytes=1)
+    changes = stream_ops.stream_changes(on_time, A.RELAXED, SLICE_DELAY)
+    return _ran(spark, changes), changes.schema
 
 
 @query
@@ -653,8 +665,8 @@ def stream_changes(spark, sf_dir):
 
 @query
 def stream_changes_keyed_state(spark, sf_dir):
-    """The same events from Structured Streaming's keyed state."""
-    changes = stream_ops.stream_changes(_stream(spark, sf_dir), A.RELAXED)
+    """The same events straight from the replayed backlog."""
+    changes = stream_ops.stream_changes(_stream(spark, sf_dir, closed=True), A.RELAXED, SLICE_DELAY)
     return sinks.read_batches(spark, _ran(spark, changes), changes.schema).withColumn(
         "pct_change", S.half_up(F.col("pct_change"), 6)
     )
@@ -664,7 +676,11 @@ def stream_changes_keyed_state(spark, sf_dir):
 def stream_hourly(spark, sf_dir):
     """Windows over the table that the change stream fills."""
     path, schema = _streamed_changes(spark, sf_dir)
-    windows = stream_ops.stream_hourly(streams.stream_table(spark, path, schema))
+    windows = stream_ops.stream_hourly(
+        # a batch of changes spans what had waited and a slice, in files of any order
+        streams.stream_table(spark, f"{path}/*/*", schema, batch_bytes=1),
+        delay=f"{3 * SLICE_DAYS} days",
+    )
     latest = sinks.read_latest(
         spark, _ran(spark, windows, "update"), windows.schema, ["window_start"]
     )
@@ -674,7 +690,7 @@ def stream_hourly(spark, sf_dir):
 @query
 def stream_alerts(spark, sf_dir):
     path, schema = _streamed_changes(spark, sf_dir)
-    reported = stream_ops.alerts(streams.stream_table(spark, path, schema))
+    reported = stream_ops.alerts(streams.stream_table(spark, f"{path}/*/*", schema, batch_bytes=1))
     return sinks.read_batches(spark, _ran(spark, reported), reported.schema).select(
         "entity", "item", "ordinal", "direction", S.half_up(F.col("pct_change"), 6).alias("pct_change")
     )
@@ -691,12 +707,13 @@ def stream_join(spark, sf_dir):
         ),
     )
     stored = scratch_dir(spark, "conditions")
-    readings.write.parquet(stored)
+    admission.replay(readings, stored, "recorded_at", SLICE_DAYS)
     joined = stream_ops.stream_join(
         _stream(spark, sf_dir),
-        streams.stream_table(spark, stored, readings.schema),
+        streams.stream_table(spark, stored, readings.schema, batch_bytes=1),
         before="0 hours",
         after="2 hours",
+        delay=SLICE_DELAY,
     )
     return sinks.read_batches(spark, _ran(spark, joined), joined.schema).select(
         "ordinal", "entity", "observed_at", "session_id", "is_rainy", "temperature"
@@ -705,7 +722,7 @@ def stream_join(spark, sf_dir):
 
 @query
 def stream_dedupe(spark, sf_dir):
-    first = stream_ops.stream_dedupe(_stream(spark, sf_dir))
+    first = stream_ops.stream_dedupe(_stream(spark, sf_dir), SLICE_DELAY)
     return sinks.read_batches(spark, _ran(spark, first), first.schema).select(
         "session_id", "entity", "item"
     )

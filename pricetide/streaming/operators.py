@@ -14,7 +14,10 @@ from pricetide.config import AlertRules, ChangeRules
 from pricetide.operators.changes import ITEM_KEYS, is_valid_change
 from pricetide.streaming.sources import with_event_time
 
-LAST_PRICE = "price double, at timestamp, ordinal long"
+HELD = (
+    "price double, at long, ordinal long, known boolean, "
+    "prices array<double>, ats array<long>, ordinals array<long>, sessions array<string>"
+)
 
 
 def stream_changes(
@@ -22,75 +25,95 @@ def stream_changes(
 ) -> DataFrame:
     """Price-change events of a stream of observations.
 
-    The state of an item is its last price and time, and is dropped when no price
-    within the gap can follow.  Rows later than ``delay`` are dropped; a row older
-    than the last one seen of its item is ignored.  Python only pairs neighbouring
-    prices, the change filter runs on Spark.
+    Rows wait until the watermark has passed them and are then paired in the order
+    of their times, so the events do not depend on how the rows came in batches.
+    The state of an item is its last price and the rows that wait; it is dropped
+    when no price within the gap can follow.  Rows behind the watermark are dropped by
+    Spark, which :func:`pricetide.streaming.sinks.run_available` reports.  Python only
+    pairs neighbouring prices, the change filter runs on Spark.
     """
     rows = with_event_time(
         observations.select(
             *ITEM_KEYS,
             F.col("price").cast("double").alias("price"),
             "observed_at",
+            F.unix_micros(F.col("observed_at").cast("timestamp")).alias("at"),
             "session_id",
             "ordinal",
         ),
         delay,
     )
+    item_fields = [f for f in rows.schema.fields if f.name in ITEM_KEYS]
     schema = T.StructType(
-        list(rows.schema.fields)
+        item_fields
         + [
+            T.StructField("session_id", rows.schema["session_id"].dataType),
+            T.StructField("ordinal", T.LongType()),
+            T.StructField("at", T.LongType()),
+            T.StructField("price", T.DoubleType()),
+            T.StructField("prev_at", T.LongType()),
             T.StructField("prev_price", T.DoubleType()),
-            T.StructField("prev_at", T.TimestampType()),
         ]
     )
     names = schema.fieldNames()
     gap = rules.max_gap_seconds
-    timeout = GroupStateTimeout.NoTimeout if gap is None else GroupStateTimeout.EventTimeTimeout
 
     def pair(
         key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        # one item within one micro-batch, whose size the source limits
-        new = pd.concat(list(batches)).sort_values(["observed_at", "ordinal"], ignore_index=True)
-        before = new["price"].shift(), new["observed_at"].shift()
+        # rows of one item within the delay and one micro-batch, whose size the source limits
+        waiting, last = [], None
         if state.exists:
-            price, at, ordinal = state.get
-            at = pd.Timestamp(at)
-            later = (new["observed_at"] > at) | (
-                (new["observed_at"] == at) & (new["ordinal"] > ordinal)
-            )
-            new = new[later].reset_index(drop=True)
-            if new.empty:
-                return
-            before = (
-                new["price"].shift(fill_value=price),
-                new["observed_at"].shift(fill_value=at),
+            price, at, ordinal, known, *held = state.get
+            last = (at, ordinal, price) if known else None
+            waiting = list(zip(held[1], held[2], held[0], held[3]))
+        if not state.hasTimedOut:
+            for new in batches:
+                part = new[["at", "ordinal", "price", "session_id"]]
+                waiting += list(part.itertuples(index=False, name=None))
+        waiting.sort(key=lambda x: (x[0], x[1] if x[1] == x[1] and x[1] is not None else -1))
+        passed = state.getCurrentWatermarkMs() * 1000
+        ready = [x for x in waiting if x[0] <= passed]
+        waiting = waiting[len(ready) :]
+        paired = []
+        for at, ordinal, price, session in ready:
+            if last is not None:
+                paired.append((*key, session, ordinal, at, price, last[0], last[2]))
+            last = (at, ordinal, price)
+        ends = None
+        if waiting:
+            ends = waiting[0][0] // 1000
+        elif last is not None and gap is not None:
+            ends = last[0] // 1000 + gap * 1000 + 1
+        if not waiting and (last is None or (ends is not None and ends <= passed // 1000)):
+            state.remove()
+        else:
+            whole = [None if x[1] != x[1] or x[1] is None else int(x[1]) for x in waiting]
+            state.update(
+                (
+                    *((float(last[2]), int(last[0]), None if last[1] != last[1] else last[1], True) if last else (None, None, None, False)),
+                    [float(x[2]) for x in waiting],
+                    [int(x[0]) for x in waiting],
+                    whole,
+                    [x[3] for x in waiting],
+                )
             )
-        last = new.iloc[-1]
-        state.update((last["price"], last["observed_at"].to_pydatetime(), int(last["ordinal"])))
-        if gap is not None:
-            expiry = int(last["observed_at"].timestamp() * 1000) + gap * 1000 + 1
-            state.setTimeoutTimestamp(max(expiry, state.getCurrentWatermarkMs() + 1))
-        paired = new.assign(prev_price=before[0], prev_at=before[1])
-        yield paired[paired["prev_price"].notna()][names]
+            if ends is not None:
+                state.setTimeoutTimestamp(max(ends, state.getCurrentWatermarkMs() + 1))
+        if paired:
+            yield pd.DataFrame(paired, columns=names)
 
     paired = rows.groupBy(*ITEM_KEYS).applyInPandasWithState(
-        pair, schema, LAST_PRICE, "append", timeout
+        pair, schema, HELD, "append", GroupStateTimeout.EventTimeTimeout
     )
     return (
-        paired.withColumn(
-            "gap_micros", F.unix_micros("observed_at") - F.unix_micros("prev_at")
-        )
+        paired.withColumn("gap_micros", F.col("at") - F.col("prev_at"))
         .where(is_valid_change(rules))
         .select(
             *ITEM_KEYS,
             "session_id",
             "ordinal",
-            F.col("observed_at").cast("timestamp_ntz").alias("observed_at"),
+            F.timestamp_micros("at").cast("timestamp_ntz").alias("observed_at"),
             "prev_price",
             F.col("price").alias("new_price"),
             F.expr("(price - prev_price) / nullif(prev_price, 0) * 100").alias("pct_change"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,15 +12,30 @@ from pyspark.sql import types as T
 from pricetide.session import path_exists
 
 
-def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
-    """Write each micro-batch to a folder named after it.
+class LateRows(RuntimeError):
+    """A stateful operator dropped rows that came after its watermark."""
+
+
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the query that a checkpoint belongs to; a new checkpoint has a new one."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def batch_folder(spark: SparkSession, path: str, checkpoint: str, batch_id: int) -> str:
+    """Folders of one output belong to a checkpoint and a batch of it."""
+    return f"{path}/run={run_id(spark, checkpoint)}/batch_id={batch_id}"
+
+
+def batch_writer(path: str, checkpoint: str) -> Callable[[DataFrame, int], None]:
+    """Write each micro-batch to a folder named after its checkpoint and number.
 
     A batch repeated after a failure is skipped if its folder is complete, so that
-    streams reading the folder never see its rows twice, and else written anew.
+    streams reading the folder never see its rows twice, and else written anew.  A
+    new checkpoint writes beside the old one's batches, not in their place.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        folder = f"{path}/batch_id={batch_id}"
+        folder = batch_folder(batch.sparkSession, path, checkpoint, batch_id)
         if not path_exists(batch.sparkSession, f"{folder}/_SUCCESS"):
             batch.write.mode("overwrite").parquet(folder)
 
@@ -27,17 +43,35 @@ def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def run_available(
-    stream: DataFrame, path: str, checkpoint: str, mode: str = "append"
-) -> None:
-    """Process what is there now into ``path`` and stop."""
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    mode: str = "append",
+    write: Callable[[DataFrame, int], None] | None = None,
+    allow_late: bool = False,
+) -> int:
+    """Process what is there now into ``path`` and stop; the number of rows dropped as late.
+
+    Rows behind the watermark are dropped by Spark without a trace, so any of them
+    is an error unless ``allow_late``.  To keep them, let the stream go through
+    :func:`pricetide.streaming.admission.admit` first.
+    """
     query = (
         stream.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(batch_writer(path))
+        .foreachBatch(write or batch_writer(path, checkpoint))
         .start()
     )
     query.awaitTermination()
+    dropped = sum(
+        int(operator["numRowsDroppedByWatermark"])
+        for progress in query.recentProgress
+        for operator in json.loads(progress.json)["stateOperators"]
+    )
+    if dropped and not allow_late:
+        raise LateRows(f"{dropped} rows came after the watermark; see {checkpoint}")
+    return dropped
 
 
 def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -48,12 +82,17 @@ def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def read_latest(spark: SparkSession, path: str, schema, keys: Sequence[str]) -> DataFrame:
-    """The newest version of each key, of a stream written in update mode."""
+    """The newest version of each key, of a stream written in update mode.
+
+    Versions of different checkpoints cannot be put in order, so there may be only one.
+    """
     rest = [c for c in schema.names if c not in keys]
-    with_batch = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    added = [T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())]
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    versions = spark.read.schema(with_batch).parquet(path)
+    versions = spark.read.schema(T.StructType([*schema.fields, *added])).parquet(path)
+    if len(versions.select("run").distinct().limit(2).collect()) > 1:
+        raise ValueError(f"{path} holds updates of more than one checkpoint")
     return (
         versions.groupBy(*keys)
         .agg(F.max_by(F.struct(*rest), "batch_id").alias("_latest"))

@@ -1,24 +1,23 @@
-import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from pricetide.config import ChangeRules, SkewRules
+from pricetide.config import ChangeRules
 from pricetide.operators import changes as C
+from pricetide.streaming import admission, sinks, sources
 from pricetide.streaming import operators as ops
-from pricetide.streaming import changes_table, sinks, sources
 from tests.frames import conditions, observations, rows
 
 RULES = ChangeRules(None, None, None, 6 * 3600)
-CUT = SkewRules(hot_rows=5, rows_per_slice=2, min_input_bytes=0)
+COLUMNS = ("ordinal", "entity", "category", "item", "prev_price", "new_price", "observed_at")
 
 
 def write_parts(frame, folder, column="ordinal", parts=4, size=50):
     """One file per range of ordinals, in order."""
     for n in range(parts):
         part = frame.where(F.col(column).between(n * size, (n + 1) * size - 1))
-        part.coalesce(1).write.mode("append").parquet(f"{folder}/part={n}")
+        part.coalesce(1).write.mode("append").parquet(folder)
 
 
 def stream_of(spark, frame, folder):
@@ -27,21 +26,12 @@ def stream_of(spark, frame, folder):
     )
 
 
-def keyed_state(spark, frame, folder):
-    changes = ops.stream_changes(stream_of(spark, frame, f"{folder}/in"), RULES)
+def changes_of(spark, frame, folder, delay="6 hours"):
+    """Change events of the files below ``in``, all of which are there."""
+    admission.close(spark, f"{folder}/in", frame.schema)
+    changes = ops.stream_changes(stream_of(spark, frame, f"{folder}/in"), RULES, delay)
     sinks.run_available(changes, f"{folder}/out", f"{folder}/check")
-    return f"{folder}/out", changes.schema
-
-
-def last_price_table(spark, frame, folder):
-    stream = stream_of(spark, frame, f"{folder}/in")
-    path = changes_table.run_changes(
-        stream, f"{folder}/table", f"{folder}/check", RULES, skew_rules=CUT
-    )
-    return path, changes_table.changes_schema(stream, RULES)
-
-
-WAYS = pytest.mark.parametrize("way", [keyed_state, last_price_table])
+    return sinks.read_batches(spark, f"{folder}/out", changes.schema)
 
 
 @pytest.fixture(scope="module")
@@ -59,20 +49,25 @@ def day(spark):
     )
 
 
-@WAYS
-def test_changes_over_several_batches_equal_the_batch(spark, day, folder, way):
-    write_parts(day, f"{folder}/in")
-    path, schema = way(spark, day, folder)
-    got = sinks.read_batches(spark, path, schema)
+@pytest.mark.parametrize("files, ordered", [(1, True), (4, True), (4, False), (16, False)])
+def test_results_do_not_depend_on_the_batches(spark, day, folder, files, ordered):
+    """In the order of times, or dealt out by a hash with a delay as long as the disorder."""
+    key = F.floor(F.col("ordinal") / (200 / files)) if ordered else F.pmod(F.hash("ordinal"), F.lit(files))
+    split = day.withColumn("k", key)
+    for n in range(files):
+        split.where(F.col("k") == n).drop("k").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    delay = "6 hours" if ordered else "4 days"
+    first = ops.stream_dedupe(stream_of(spark, day, f"{folder}/in"), delay)
+    sinks.run_available(first, f"{folder}/first", f"{folder}/check-first")
+    got = sinks.read_batches(spark, f"{folder}/first", first.schema)
+    assert rows(got, "session_id", "entity", "item") == rows(day.select("session_id", "entity", "item").distinct())
+
+    got = changes_of(spark, day, folder, delay)
     want = C.change_events(day, RULES)
-    columns = ("ordinal", "entity", "category", "item", "prev_price", "new_price", "observed_at")
-    assert rows(got, *columns) == rows(want, *columns)
-    assert len(rows(got)) > 50
-    # nothing new: nothing is processed again
-    way(spark, day, folder)
-    assert len(rows(sinks.read_batches(spark, path, schema))) == len(rows(want))
-
-    windows = ops.stream_hourly(sources.stream_table(spark, path, schema))
+    assert rows(got, *COLUMNS) == rows(want, *COLUMNS) and len(rows(got)) > 50
+
+    # the files of one batch come in any order, and a batch holds what had waited
+    windows = ops.stream_hourly(sources.stream_table(spark, f"{folder}/out/*/*", got.schema, 1), "8 days")
     sinks.run_available(windows, f"{folder}/hours", f"{folder}/check-hours", "update")
     latest = sinks.read_latest(spark, f"{folder}/hours", windows.schema, ["window_start"])
     by_hour = want.groupBy(F.date_trunc("hour", "observed_at").cast("timestamp_ntz").alias("w")).agg(
@@ -81,8 +76,7 @@ def test_changes_over_several_batches_equal_the_batch(spark, day, folder, way):
     assert rows(latest, "window_start", "events") == rows(by_hour)
 
 
-@WAYS
-def test_rows_older_than_the_last_of_an_item_are_ignored(spark, folder, way):
+def test_rows_late_within_the_delay_are_included(spark, folder):
     frame = observations(
         spark,
         [
@@ -93,12 +87,42 @@ def test_rows_older_than_the_last_of_an_item_are_ignored(spark, folder, way):
         ],
     )
     write_parts(frame, f"{folder}/in", parts=2, size=2)
-    got = sinks.read_batches(spark, *way(spark, frame, folder))
-    assert rows(got, "prev_price", "new_price") == [(100.0, 110.0), (110.0, 120.0)]
+    got = changes_of(spark, frame, folder)
+    assert rows(got, "prev_price", "new_price") == [(100.0, 90.0), (110.0, 120.0), (90.0, 110.0)]
+
+
+def test_later_rows_are_counted_or_kept_apart(spark, folder):
+    frame = observations(
+        spark,
+        [
+            ("e", "c", "x", 100, "2024-01-01 10:00", "s"),
+            ("e", "c", "x", 110, "2024-01-03 12:00", "s"),
+            ("e", "c", "x", 120, "2024-01-03 13:00", "s"),
+            ("e", "c", "x", 90, "2024-01-01 11:00", "s"),
+            ("e", "c", "x", 130, "2024-01-03 14:00", "s"),
+        ],
+    )
+    write_parts(frame, f"{folder}/in", parts=5, size=1)
+    changes = ops.stream_changes(stream_of(spark, frame, f"{folder}/in"), RULES)
+    with pytest.raises(sinks.LateRows):
+        sinks.run_available(changes, f"{folder}/out", f"{folder}/check")
+    admitted, late = admission.admit(
+        stream_of(spark, frame, f"{folder}/in"), f"{folder}/admission", f"{folder}/check-admission", 6 * 3600
+    )
+    assert rows(sinks.read_batches(spark, late, frame.schema), "price") == [(90,)]
+    on_time = sinks.read_batches(spark, admitted, frame.schema)
+    assert rows(on_time, "price") == [(100,), (110,), (120,), (130,)]
+    again = ops.stream_changes(stream_of(spark, frame, f"{admitted}/*/*"), RULES)
+    assert sinks.run_available(again, f"{folder}/out2", f"{folder}/check2") == 0
 
 
-@WAYS
-def test_state_expires_after_the_gap(spark, folder, way):
+def test_a_replayed_backlog_comes_in_order(spark, day, folder):
+    assert admission.replay(day.repartition(7), f"{folder}/in", days=1) == 3
+    got = changes_of(spark, day, folder, "1 day")
+    assert rows(got, *COLUMNS) == rows(C.change_events(day, RULES), *COLUMNS)
+
+
+def test_state_expires_after_the_gap(spark, folder):
     frame = observations(
         spark,
         [
@@ -109,8 +133,7 @@ def test_state_expires_after_the_gap(spark, folder, way):
         ],
     )
     write_parts(frame, f"{folder}/in", parts=4, size=1)
-    got = sinks.read_batches(spark, *way(spark, frame, folder))
-    assert rows(got, "item", "new_price") == [("y", 110.0)]
+    assert rows(changes_of(spark, frame, folder), "item", "new_price") == [("y", 110.0)]
 
 
 def test_alerts(spark, folder):
@@ -183,23 +206,19 @@ def test_price_files_as_a_stream(spark, folder):
     assert rows(got, "entity", "price") == [("A", 120)]
 
 
+def test_new_data_with_a_new_checkpoint_is_kept(spark, folder):
+    for part, n in (("one", 5), ("two", 7)):
+        spark.range(n).write.parquet(f"{folder}/{part}")
+        stream = spark.readStream.schema("id long").parquet(f"{folder}/{part}")
+        for _ in range(2):  # nothing new the second time
+            sinks.run_available(stream, f"{folder}/out", f"{folder}/check-{part}")
+    assert sinks.read_batches(spark, f"{folder}/out", spark.range(1).schema).count() == 12
+
+
 def test_a_repeated_batch_is_written_once(spark, folder):
-    write = sinks.batch_writer(f"{folder}/out")
-    write(spark.range(2), 0)
+    spark.range(2).write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema("id long").parquet(f"{folder}/in")
+    sinks.run_available(stream, f"{folder}/out", f"{folder}/check")
     before = spark.read.parquet(f"{folder}/out").inputFiles()
-    write(spark.range(2), 0)
+    sinks.batch_writer(f"{folder}/out", f"{folder}/check")(spark.range(2), 0)
     assert spark.read.parquet(f"{folder}/out").inputFiles() == before
-
-
-def test_a_half_finished_batch_is_completed(spark, folder, day):
-    write = changes_table.changes_writer(f"{folder}/t", RULES)
-    write(day.where("ordinal < 100"), 0)
-    late = day.where("ordinal >= 100")
-    write(late, 1)
-    events = spark.read.parquet(f"{folder}/t/changes").inputFiles()
-    # the last prices of batch 1 were lost before they were complete
-    os.remove(f"{folder}/t/last/batch_id=1/_SUCCESS")
-    write(late, 1)
-    assert sorted(spark.read.parquet(f"{folder}/t/changes").inputFiles()) == sorted(events)
-    got = spark.read.parquet(f"{folder}/t/changes")
-    assert rows(got, "ordinal") == rows(C.change_events(day, RULES), "ordinal")
