@@ -77,23 +77,20 @@ def next_slot(rows: DataFrame, at: str, rules: SlotRules = SlotRules()) -> DataF
 def min_gap_thinning(runs: DataFrame, rules: SlotRules = SlotRules()) -> DataFrame:
     """Keep a run only if enough time passed since the last *kept* run ended.
 
-    ``runs`` has ``entity, started_at, ended_at``.  A run is identified by its
-    minute (as its session id is), so runs are first combined per entity and
-    minute: 1,440 rows per entity and day at most, whatever the input size.  The
-    greedy choice is sequential by nature.  It goes over the sorted rows of a
-    partition batch by batch, holding one number, and jumps from kept run to kept
-    run.
+    ``runs`` has ``entity, started_at, ended_at``.  Times count as they are; only the
+    time between two runs is cut to whole minutes, all of it, also beyond a day.  Of
+    runs that start together the one that ends first comes first.  The greedy choice
+    is sequential by nature.  It goes over the sorted rows of a partition batch by
+    batch, holding one number, and jumps from kept run to kept run.
     """
-    minutes = (
-        runs.select(
-            "entity",
-            F.expr(f"floor({S.epoch_micros_sql('started_at')} / 60000000)").alias("start_minute"),
-            F.expr(f"floor({S.epoch_micros_sql('ended_at')} / 60000000)").alias("end_minute"),
-        )
-        .groupBy("entity", "start_minute")
-        .agg(F.max("end_minute").alias("end_minute"))
-    )
-    gap = rules.min_gap_minutes
+    micros = runs.select(
+        "entity",
+        F.expr(S.epoch_micros_sql("started_at")).alias("start"),
+        F.expr(S.epoch_micros_sql("ended_at")).alias("end"),
+        "started_at",
+        "ended_at",
+    ).where("start is not null and end is not null")
+    gap = rules.min_gap_minutes * 60_000_000
 
     def thin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, free = None, None
@@ -101,7 +98,7 @@ def min_gap_thinning(runs: DataFrame, rules: SlotRules = SlotRules()) -> DataFra
             if batch.empty:
                 continue
             entity, known = batch["entity"].to_numpy(), batch["entity"].notna().to_numpy()
-            start, end = batch["start_minute"].to_numpy(), batch["end_minute"].to_numpy()
+            start, end = batch["start"].to_numpy(), batch["end"].to_numpy()
             changes = (entity[1:] != entity[:-1]) & (known[1:] | known[:-1])
             edges = [0, *(np.flatnonzero(changes) + 1), len(batch)]
             keep = np.zeros(len(batch), dtype=bool)
@@ -112,20 +109,15 @@ def min_gap_thinning(runs: DataFrame, rules: SlotRules = SlotRules()) -> DataFra
                 i = low + int(np.searchsorted(start[low:high], free))
                 while i < high:
                     keep[i] = True
-                    free = max(end[i] + gap, start[i] + 1)
-                    i = low + int(np.searchsorted(start[low:high], free))
+                    free = end[i] + gap
+                    i = max(i + 1, low + int(np.searchsorted(start[low:high], free)))
             yield batch[keep]
 
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-
-    def at(minute: str):
-        return epoch + F.make_dt_interval(mins=F.col(minute).cast("int"))
-
     return (
-        minutes.repartition("entity")
-        .sortWithinPartitions("entity", "start_minute")
-        .mapInPandas(thin, minutes.schema)
-        .select("entity", at("start_minute").alias("started_at"), at("end_minute").alias("ended_at"))
+        micros.repartition("entity")
+        .sortWithinPartitions("entity", "start", "end")
+        .mapInPandas(thin, micros.schema)
+        .select("entity", "started_at", "ended_at")
     )
 
 

@@ -37,41 +37,45 @@ def test_next_slot(spark):
 
 
 def greedy(runs, gap):
-    by_minute = {}
-    for s, e in runs:
-        by_minute[s] = max(e, by_minute.get(s, e))
+    """Skip a run whose elapsed time since the last kept end, in whole minutes, is short."""
     kept, end = [], None
-    for s in sorted(by_minute):
-        if end is None or s >= end + gap:
-            kept.append((s, by_minute[s]))
-            end = by_minute[s]
+    for s, e in sorted(runs):
+        if end is None or (s - end).total_seconds() // 60 >= gap:
+            kept.append((s, e))
+            end = e
     return kept
 
 
+def thinned(spark, runs):
+    frame = spark.createDataFrame(
+        [(e, s, t) for e, data in runs.items() for s, t in data],
+        "entity string, started_at timestamp_ntz, ended_at timestamp_ntz",
+    )
+    got = coverage.min_gap_thinning(frame).collect()
+    return {e: sorted((r["started_at"], r["ended_at"]) for r in got if r["entity"] == e) for e in runs}
+
+
 def test_thinning_against_brute_force(spark):
     chance = random.Random(7)
     runs = {e: [] for e in ("hot", "b", "c")}
+    base = at("2024-01-01 00:00")
     for _ in range(500):
         e = chance.choice(["hot"] * 8 + ["b", "c"])
-        start = chance.randrange(0, 4000)
-        runs[e].append((start, start + chance.randrange(0, 90)))
-    base = at("2024-01-01 00:00")
-    frame = spark.createDataFrame(
-        [
-            (e, base + dt.timedelta(minutes=s, seconds=chance.randrange(60)),
-             base + dt.timedelta(minutes=t))
-            for e, data in runs.items() for s, t in data
-        ],
-        "entity string, started_at timestamp_ntz, ended_at timestamp_ntz",
-    )
-    got = coverage.min_gap_thinning(frame).collect()
-    for e, data in runs.items():
-        mine = sorted(
-            (int((r["started_at"] - base).total_seconds() // 60),
-             int((r["ended_at"] - base).total_seconds() // 60))
-            for r in got if r["entity"] == e
-        )
-        assert mine == greedy(data, 60)
+        start = base + dt.timedelta(seconds=chance.randrange(0, 4000 * 60))
+        runs[e].append((start, start + dt.timedelta(seconds=chance.randrange(0, 90 * 60))))
+    assert thinned(spark, runs) == {e: greedy(data, 60) for e, data in runs.items()}
+
+
+def test_thinning_counts_seconds_and_keeps_runs_of_one_minute_apart(spark):
+    base = at("2024-01-01 10:00")
+
+    def run(start, end):
+        return base + dt.timedelta(seconds=start), base + dt.timedelta(seconds=end)
+
+    close = [run(-600, 55), run(65 + 59 * 60, 65 + 60 * 60)]  # 59 min 10 s later
+    together = [run(0, 300), run(30, 3 * 3600), run(5400, 5500)]
+    got = thinned(spark, {"a": close, "b": together})
+    assert got == {"a": close[:1], "b": [together[0], together[2]]}
 
 
 def log(spark):
