@@ -97,18 +97,12 @@ class AlertRules:
 class SkewRules:
     """How keys that hold very many rows are cut into slices.
 
-    Inputs estimated below ``min_input_bytes`` are never cut: one task can hold any
-    key of them.  In larger ones a key with at least ``hot_rows`` rows is cut along
-    its order column into ranges of about ``rows_per_slice`` rows.  At most ``max_hot_keys`` keys (the
-    largest ones) are cut, which bounds the broadcast table of hot keys; the
-    others stay whole, so results never depend on these numbers.
+    Every key with at least ``hot_rows`` rows is cut along its order column into slices of
+    about ``rows_per_slice`` rows or fewer.  Results never depend on these numbers.
     """
 
     hot_rows: int = 2_000_000
     rows_per_slice: int = 500_000
-    max_slices: int = 65_536
-    max_hot_keys: int = 10_000
-    min_input_bytes: int = 1024**3
 
 
 @dataclass(frozen=True)

@@ -20,51 +20,46 @@ SLICE = "_slice"
 CARRY = "_carry"
 
 
-def worth_cutting(rows: DataFrame, rules: SkewRules) -> bool:
-    """Whether Spark's size estimate leaves room for a key too large for one task.
-
-    Only speed depends on the answer; an unknown size counts as large.
-    """
-    estimate = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(estimate)) >= rules.min_input_bytes
-
-
-def hot_keys(rows: DataFrame, keys: Sequence[str], order: str, rules: SkewRules) -> DataFrame:
-    """The largest keys with their range of ``order``; at most ``max_hot_keys`` rows.
-
-    Ordering by the keys as well makes the choice the same on every evaluation.
-    """
-    return (
-        rows.groupBy(*keys)
-        .agg(F.expr("count(*) AS _n"), F.expr(f"min({order}) AS _low"), F.expr(f"max({order}) AS _high"))
-        .where(f"_n >= {rules.hot_rows}")
-        .orderBy(F.col("_n").desc(), *keys)
-        .limit(rules.max_hot_keys)
-    )
-
-
 def add_slices(
     rows: DataFrame, keys: Sequence[str], order: str, rules: SkewRules = SkewRules()
 ) -> DataFrame:
     """Add ``_slice``: NULL for ordinary keys, else a number rising with ``order``.
 
-    Rows with equal ``order`` always share a slice.
+    A key with at least ``hot_rows`` rows is cut at approximate quantiles of ``order``, so
+    its slices hold about equally many rows however the values are spread.  Rows with
+    equal ``order`` always share a slice, rows without are in the first.  Results do not
+    depend on the cutting: a table with fewer rows than ``hot_rows`` just has no
+    such key, and is not looked through for one.
     """
-    if not worth_cutting(rows, rules):
-        return rows.withColumn(SLICE, F.lit(None).cast("long"))
-    hot = hot_keys(rows, keys, order, rules).selectExpr(
-        *[f"{k} AS _hot_{i}" for i, k in enumerate(keys)],
-        "cast(_low AS double) AS _low",
-        "cast(_high AS double) - cast(_low AS double) AS _span",
-        f"least({rules.max_slices}L, ceil(_n / {rules.rows_per_slice})) AS _slices",
+    plain = rows.withColumn(SLICE, F.lit(None).cast("long"))
+    if rows.count() < rules.hot_rows:
+        return plain
+    hot = (
+        rows.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") >= rules.hot_rows)
+        .selectExpr(*[f"{k} AS _hot_{i}" for i, k in enumerate(keys)], "_n")
+    )
+    most = hot.agg(F.max("_n")).first()[0]
+    if most is None:
+        return plain
+    slices = -(-most // rules.rows_per_slice)
+    shares = [k / slices for k in range(1, slices)] or [0.5]
+    same_key = F.expr(" AND ".join(f"{k} <=> _hot_{i}" for i, k in enumerate(keys)))
+    bounds = (
+        rows.join(hot, same_key, "left_semi")
+        .groupBy(*keys)
+        .agg(F.percentile_approx(order, shares, max(10_000, 10 * slices)).alias("_bounds"))
+        .selectExpr(
+            *[f"{k} AS _hot_{i}" for i, k in enumerate(keys)],
+            "coalesce(array_distinct(_bounds), array()) AS _bounds",
+        )
     )
-    same_key = " AND ".join(f"{k} <=> _hot_{i}" for i, k in enumerate(keys))
-    # hot has at most max_hot_keys rows, whatever the size of the input
-    return rows.join(F.broadcast(hot), F.expr(same_key), "left").selectExpr(
+    # Joined as Spark sees fit: it splits the hot keys themselves, and sends few bounds whole.
+    return rows.join(bounds, same_key, "left").selectExpr(
         *rows.columns,
-        f"""CASE WHEN _slices IS NULL THEN cast(NULL AS bigint)
-                 WHEN _span > 0 THEN floor((cast({order} AS double) - _low) / _span * _slices)
-                 ELSE 0L END AS {SLICE}""",
+        f"""CASE WHEN _bounds IS NULL THEN cast(NULL AS bigint)
+                 ELSE cast(size(filter(_bounds, b -> b < {order})) AS bigint) END AS {SLICE}""",
     )
 
 

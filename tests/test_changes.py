@@ -7,8 +7,7 @@ from pricetide.config import ChangeRules, SkewRules
 from pricetide.operators import changes as C
 from tests.frames import conditions, observations, rows
 
-CUT = SkewRules(hot_rows=20, rows_per_slice=5, max_slices=64, max_hot_keys=2,
-                min_input_bytes=0)
+CUT = SkewRules(hot_rows=20, rows_per_slice=5)
 
 
 def prices(spark, *steps):
@@ -107,7 +106,10 @@ def skewed(spark, n=400):
             ("e", chance.choice(["c", None]), item, float(chance.randrange(1, 90)),
              f"2024-01-0{1 + minute // 120} {minute % 24:02d}:{minute % 60:02d}", "s")
         )
-    return observations(spark, data)
+    # an outlier, and rows without a time
+    data += [("e", "c", "hot", 5.0, "1990-01-01 00:00", "s")]
+    timed = observations(spark, data)
+    return timed.withColumn("observed_at", F.expr("CASE WHEN ordinal % 50 <> 7 THEN observed_at END"))
 
 
 def test_sliced_previous_price_equals_plain_window(spark):
@@ -133,8 +135,13 @@ def test_hot_items_really_are_cut(spark):
         for r in cut.groupBy("category", "item").agg(F.count_distinct("_slice").alias("n")).collect()
     }
     assert per_item[("c", "hot")] > 5 and per_item[(None, "hot")] > 5
-    # only the two largest keys are cut
-    assert sorted(per_item.values())[:-2] == [0] * (len(per_item) - 2)
+    sizes = cut.where("_slice is not null").groupBy("category", "item", "_slice", "_at").count()
+    per_slice = sizes.groupBy("category", "item", "_slice").agg(F.sum("count").alias("n"), F.count("*").alias("times"))
+    # equal times stay together, and rows without a time are all in the first slice
+    assert all(r["n"] <= 2 * 5 + 4 or r["times"] == 1 or r["_slice"] == 0 for r in per_slice.collect())
+    assert cut.where("_at is null and _slice > 0").count() == 0
+    whole = cut.where("_slice is null").groupBy("category", "item").count()
+    assert whole.where("count >= 20").count() == 0
 
 
 def test_events_and_spine(spark):

@@ -6,8 +6,7 @@ import pytest
 from pricetide.config import SkewRules
 from pricetide.operators import ranktests
 
-CUT = SkewRules(hot_rows=5, rows_per_slice=2, max_slices=50, max_hot_keys=3,
-                min_input_bytes=0)
+CUT = SkewRules(hot_rows=5, rows_per_slice=2)
 
 
 def frame(spark, data):
