@@ -7,16 +7,19 @@ replaces, and halves are drawn by hash, so all machines give the same names and
 equal substrings get equal symbols but for a few words at their ends.
 
 A window of words therefore has an inner part whose symbols do not depend on what
-stands around it.  The longest symbol there is the window's anchor.  Neighbouring
-windows mostly share it; together they are a block.  Spark rounds then find, for
-
-1. every block, the first document it occurs in: a block of an earlier document is
-   verified as a whole, with all its windows;
-2. every anchor symbol, whether different blocks of different documents share it: only
-   the first occurrences of such blocks are taken apart into windows;
-3. every such window, the first document it occurs in.
-
-No round needs a group in one task: each sums up first and joins back.
+stands around it.  The longest symbol there is the window's anchor, named by the words
+around it that all its windows hold.  Neighbouring windows mostly share an anchor;
+together they are a block.  Spark rounds then find, for
+
+1. every anchor, whether documents share it: all others are settled, as equal windows
+   have equal anchors;
+2. every block of a shared anchor, the first document it occurs in: a block of an earlier
+   document is verified as a whole, with all its windows;
+3. where different blocks of different documents share an anchor, the first
+   occurrences of these blocks are taken apart, and every window's first document is found.
+
+No round needs a group in one task: each sums up first and joins back.  Whole texts are
+dealt out once, and those with windows of the third kind a second time.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricetide.llm.common import stored
+from pricetide.llm.common import stored, tidy
 
 
 @dataclass(frozen=True)
@@ -182,9 +185,8 @@ def blocks(words: np.ndarray, counts: np.ndarray, window: int) -> dict[str, np.n
     windows = np.diff(np.append(new, len(at)))
     first, anchor_at = inside[new], at[new]
     sequences = Sequences(words)
-    name_of = np.zeros(len(words), np.uint64)
-    name_of[starts] = names
-    anchor = name_of[anchor_at]
+    # All windows of an anchor hold these words around it.
+    anchor = sequences.hashes(anchor_at - _EDGE, anchor_at + window - _EDGE - choices + 1, 1)
     block = _mixed(
         sequences.hashes(first, first + windows + window - 1, 0) + (anchor_at - first).astype(np.uint64) * _FACTORS[0]
     )
@@ -216,17 +218,18 @@ def _sized(column, most: int, together: int = 4 << 20):
         yield at, held
 
 
-def repeated_ranges(docs: DataFrame, rules: RepeatRules = RepeatRules()) -> DataFrame:
-    """``doc_id, tag, first, windows``: windows whose words also start in an earlier document.
+_PARSED = "doc_id long, tag int, first int, windows int, anchor long, block long"
+_SETTLED, _SOURCE, _OPEN = 0, 1, 2
 
-    ``docs`` has ``doc_id, tag, text``.  ``first`` is a word's number; the next
-    ``windows`` windows repeat.
-    """
+
+def _parsed(docs: DataFrame, rules: RepeatRules) -> DataFrame:
+    """The blocks of ``doc_id, tag, text``."""
     window, most = rules.window, rules.texts_at_once
     fields = [("doc_id", pa.int64()), ("tag", pa.int32()), ("first", pa.int32()), ("windows", pa.int32())]
     fields += [("anchor", pa.int64()), ("block", pa.int64())]
     schema = pa.schema(fields)
 
+    @tidy
     def parse(batches):
         for batch in batches:
             ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -245,78 +248,61 @@ def repeated_ranges(docs: DataFrame, rules: RepeatRules = RepeatRules()) -> Data
                     schema=schema,
                 )
 
-    names = "doc_id long, tag int, first int, windows int, anchor long, block long"
-    parsed = stored(docs.select("doc_id", "tag", "text").mapInArrow(parse, names), "blocks")
-    firsts = stored(
-        parsed.groupBy("block", "anchor").agg(F.min("doc_id").alias("earliest"), F.max("doc_id").alias("latest")),
-        "first_documents",
-    )
-    shared = (
+    return docs.select("doc_id", "tag", "text").mapInArrow(parse, _PARSED)
+
+
+def shared_blocks(docs: DataFrame, rules: RepeatRules = RepeatRules()) -> DataFrame:
+    """``doc_id, tag, first, windows, state`` of blocks that earlier documents may hold.
+
+    ``first`` is a word's number, ``windows`` how many windows start from there.  The state
+    says whether an earlier document holds the block (settled: its windows repeat),
+    whether a later one may hold some of its windows (source), or whether, besides,
+    an earlier one may (open).
+    """
+    parsed = _parsed(docs, rules)  # read twice: cheaper than a table of all blocks
+    shared = parsed.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b")
+    near = stored(parsed.join(shared.select("anchor"), "anchor"), "shared_blocks")
+    firsts = near.groupBy("anchor", "block").agg(F.min("doc_id").alias("earliest"), F.max("doc_id").alias("latest"))
+    several = (
         firsts.groupBy("anchor")
-        .agg(F.min("earliest").alias("a"), F.max("earliest").alias("b"))
-        .where("a < b")
-        .select("anchor", F.lit(True).alias("shared"))
+        .agg(F.min("earliest").alias("lowest"), F.max("earliest").alias("highest"))
+        .where("lowest < highest")
+        .select("anchor", "lowest")
     )
-    known = firsts.join(shared, "anchor", "left").where("latest > earliest or shared")
-    told = parsed.join(known, ["block", "anchor"])
-    told = stored(
-        told.where("earliest < doc_id or shared").select(
-            "doc_id", "tag", "first", "windows", (F.col("earliest") < F.col("doc_id")).alias("repeated")
-        ),
-        "told_blocks",
+    known = firsts.join(several, "anchor", "left").where("latest > earliest or lowest is not null")
+    state = (
+        F.when(F.col("earliest") < F.col("doc_id"), _SETTLED)
+        .when(F.col("lowest") < F.col("doc_id"), _OPEN)
+        .when(F.col("lowest").isNotNull(), _SOURCE)
     )
-    whole = told.where("repeated").select("doc_id", "tag", "first", "windows")
-
-    apart = (
-        told.where("not repeated")
-        .groupBy("doc_id", "tag")
-        .agg(F.collect_list(F.struct("first", "windows")).alias("ranges"))
+    return (
+        near.join(known, ["anchor", "block"])
+        .select("doc_id", "tag", "first", "windows", state.alias("state"))
+        .where("state is not null")
     )
 
-    fields = [("doc_id", pa.int64()), ("tag", pa.int32()), ("first", pa.int32()), ("one", pa.int64()), ("two", pa.int64())]
-    windows_schema = pa.schema(fields)
 
-    def split(batches):
-        for batch in batches:
-            ids, tags, ranges = (batch.column(k) for k in (0, 1, 3))
-            ids, tags = ids.to_numpy(), tags.to_numpy()
-            for at, texts in _sized(batch.column(2), most):
-                words, counts = word_hashes(_encoded(texts))
-                sequences, begins = Sequences(words), np.cumsum(counts) - counts
-                starts, owners = [], []
-                for k in range(len(texts)):
-                    for x in ranges[at + k].as_py():
-                        starts.append(np.arange(x["first"], x["first"] + x["windows"]) + begins[k])
-                        owners.append(np.full(x["windows"], k))
-                if not starts:
-                    continue
-                start, owner = np.concatenate(starts), np.concatenate(owners)
-                one, two = (sequences.hashes(start, start + window, k).view(np.int64) for k in (0, 1))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(ids[at + owner]),
-                        pa.array(tags[at + owner]),
-                        pa.array((start - begins[owner]).astype(np.int32)),
-                        pa.array(one),
-                        pa.array(two),
-                    ],
-                    schema=windows_schema,
-                )
+def _kept(text: str, ranges: list, window: int) -> tuple[int, list[bytes]]:
+    """A text's number of words, and the words that no window of the ranges covers."""
+    words = text.encode("utf-8", "surrogatepass").split()
+    if not ranges:
+        return len(words), words
+    depth = np.zeros(len(words) + 1, np.int64)
+    for x in ranges:
+        depth[x["first"]] += 1
+        depth[x["first"] + x["windows"] + window - 1] -= 1
+    stays = np.cumsum(depth[:-1]) == 0
+    return len(words), [w for w, s in zip(words, stays.tolist()) if s]
 
-    single = stored(
-        docs.select("doc_id", "tag", "text")
-        .join(apart, ["doc_id", "tag"])
-        .mapInArrow(split, "doc_id long, tag int, first int, one long, two long"),
-        "windows",
-    )
-    earliest = (
-        single.groupBy("one", "two")
-        .agg(F.min("doc_id").alias("earliest"), F.max("doc_id").alias("latest"))
-        .where("earliest < latest")
-        .drop("latest")
-    )
-    parts = single.join(earliest, ["one", "two"]).where("earliest < doc_id")
-    return whole.unionByName(parts.select("doc_id", "tag", "first", F.lit(1).alias("windows")))
+
+_RESULT = [("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())]
+
+
+def _result(text: str, ranges: list, window: int, keep_text: bool) -> tuple:
+    n, words = _kept(text, ranges, window)
+    kept = b" ".join(words)
+    shown = kept.decode("utf-8", "surrogatepass") if keep_text else None
+    return n, n - len(words), hashlib.sha256(kept).hexdigest(), shown
 
 
 def without_repeats(docs: DataFrame, rules: RepeatRules = RepeatRules(), keep_text: bool = False) -> DataFrame:
@@ -328,46 +314,118 @@ def without_repeats(docs: DataFrame, rules: RepeatRules = RepeatRules(), keep_te
     nothing from others.  Rows that repeat an id do not count as earlier than each other.
     An empty table gives no rows.
     """
-    window = rules.window
+    window, most = rules.window, rules.texts_at_once
     tagged = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.crc32(F.coalesce("text", F.lit("")).cast("binary")) - F.lit(1 << 31)).cast("int").alias("tag"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    ranges = (
-        repeated_ranges(tagged.where("doc_id is not null"), rules)
-        .distinct()
+    listed = (
+        shared_blocks(tagged.where("doc_id is not null"), rules)
         .groupBy("doc_id", "tag")
-        .agg(F.collect_list(F.struct("first", "windows")).alias("ranges"))
-        .withColumnsRenamed({"doc_id": "of", "tag": "of_tag"})
+        .agg(F.collect_list(F.struct("first", "windows", "state")).alias("blocks"))
+        .select(F.col("doc_id").alias("of"), F.col("tag").alias("of_tag"), "blocks")
     )
-    joined = tagged.join(
-        ranges, (F.col("doc_id") == F.col("of")) & (F.col("tag") == F.col("of_tag")), "left"
-    ).select("doc_id", "text", "ranges")
-    names = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * keep_text
+    same = (F.col("doc_id") == F.col("of")) & (F.col("tag") == F.col("of_tag"))
+    # Results, texts whose open windows must be looked up, and windows, told apart by ``kind``.
+    fields = [("kind", pa.int32()), ("doc_id", pa.int64()), ("tag", pa.int32()), *_RESULT, ("text", pa.string())]
+    fields += [("ranges", pa.list_(pa.struct([("first", pa.int32()), ("windows", pa.int32())])))]
+    fields += [("first", pa.int32()), ("one", pa.int64()), ("two", pa.int64())]
+    schema = pa.schema(fields)
+    declared = (
+        "kind int, doc_id long, tag int, n_words long, n_removed long, kept_sha256 string, kept string, "
+        "text string, ranges array<struct<first:int,windows:int>>, first int, one long, two long"
+    )
+
+    def as_batch(kind: int, columns: dict) -> pa.RecordBatch:
+        n = len(columns["doc_id"])
+        full = {"kind": np.full(n, kind, np.int32)} | columns
+        return pa.RecordBatch.from_arrays(
+            [pa.array(full[f.name], f.type) if f.name in full else pa.nulls(n, f.type) for f in schema], schema=schema
+        )
 
-    def remove(batches):
+    @tidy
+    def settle(batches):
         for batch in batches:
-            rows = []
-            for at in range(0, batch.num_rows, 256):
-                for row in batch.slice(at, 256).to_pylist():
-                    words = row["text"].encode("utf-8", "surrogatepass").split()
-                    n = len(words)
-                    if row["ranges"]:
-                        depth = np.zeros(n + 1, np.int64)
-                        for x in row["ranges"]:
-                            depth[x["first"]] += 1
-                            depth[x["first"] + x["windows"] + window - 1] -= 1
-                        stays = np.cumsum(depth[:-1]) == 0
-                        words = [w for w, s in zip(words, stays.tolist()) if s]
-                    kept = b" ".join(words)
-                    found = (row["doc_id"], n, n - len(words), hashlib.sha256(kept).hexdigest())
-                    rows.append(found + (kept.decode("utf-8", "surrogatepass"),) * keep_text)
-            if rows:
-                kinds = [pa.int64()] * 3 + [pa.string()] * (1 + keep_text)
+            ids, tags, lists = (batch.column(k).to_pylist() for k in (0, 1, 3))
+            for at, texts in _sized(batch.column(2), most):
+                done, open_ = [], []
+                apart = []
+                for k, text in enumerate(texts, at):
+                    found = lists[k] or []
+                    ranges = [x for x in found if x["state"] == _SETTLED]
+                    if any(x["state"] == _OPEN for x in found):
+                        open_.append((ids[k], tags[k], text, ranges))
+                    else:
+                        done.append((ids[k], tags[k], *_result(text, ranges, window, keep_text)))
+                    apart += [(k - at, x["first"], x["windows"]) for x in found if x["state"] != _SETTLED]
+                names = ["doc_id", "tag", "n_words", "n_removed", "kept_sha256", "kept"]
+                if done:
+                    yield as_batch(0, dict(zip(names, map(list, zip(*done)))))
+                if open_:
+                    yield as_batch(1, dict(zip(["doc_id", "tag", "text", "ranges"], map(list, zip(*open_)))))
+                if apart:
+                    words, counts = word_hashes(_encoded(texts))
+                    sequences, begins = Sequences(words), np.cumsum(counts) - counts
+                    owner, first, n = (np.array(x, np.int64) for x in zip(*apart))
+                    owners = np.repeat(owner, n)
+                    firsts = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                    starts = firsts + begins[owners]
+                    one, two = (sequences.hashes(starts, starts + window, k).view(np.int64) for k in (0, 1))
+                    of = owners + at
+                    yield as_batch(
+                        2,
+                        {
+                            "doc_id": np.array(ids, np.int64)[of] if None not in ids else [ids[k] for k in of],
+                            "tag": np.array(tags, np.int32)[of],
+                            "first": firsts.astype(np.int32),
+                            "one": one,
+                            "two": two,
+                        },
+                    )
+
+    joined = tagged.join(listed, same, "left").select("doc_id", "tag", "text", "blocks")
+    settled = stored(joined.mapInArrow(settle, declared), "settled")
+    single = settled.where("kind = 2").select("doc_id", "tag", "first", "one", "two")
+    earliest = (
+        single.groupBy("one", "two")
+        .agg(F.min("doc_id").alias("earliest"), F.max("doc_id").alias("latest"))
+        .where("earliest < latest")
+        .drop("latest")
+    )
+    found = (
+        single.join(earliest, ["one", "two"])
+        .where("earliest < doc_id")
+        .groupBy("doc_id", "tag")
+        .agg(F.collect_list("first").alias("more"))
+        .select(F.col("doc_id").alias("of"), F.col("tag").alias("of_tag"), "more")
+    )
+    waiting = settled.where("kind = 1").select("doc_id", "tag", "text", "ranges").join(found, same, "left")
+    results = pa.schema([("doc_id", pa.int64()), *_RESULT])
+
+    @tidy
+    def finish(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, most):
+                rows = [
+                    (
+                        x["doc_id"],
+                        *_result(
+                            x["text"],
+                            x["ranges"] + [{"first": f, "windows": 1} for f in x["more"] or []],
+                            window,
+                            keep_text,
+                        ),
+                    )
+                    for x in batch.slice(at, most).to_pylist()
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(x), t) for x, t in zip(zip(*rows), kinds)],
-                    ["doc_id", "n_words", "n_removed", "kept_sha256"] + ["kept"] * keep_text,
+                    [pa.array(list(x), f.type) for x, f in zip(zip(*rows), results)], schema=results
                 )
 
-    return joined.mapInArrow(remove, names)
+    names = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"]
+    last = waiting.select("doc_id", "text", "ranges", "more").mapInArrow(
+        finish, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
+    )
+    whole = settled.where("kind = 0").select(*names).unionByName(last)
+    return whole if keep_text else whole.drop("kept")
