@@ -324,6 +324,26 @@ def price_history(spark, sf_dir):
     )
 
 
+@query
+def price_history_entity(spark, sf_dir):
+    """The same for one supplier; the newest day is that of the whole table."""
+    observations = A.lineitem_observations(A.table(spark, sf_dir, "lineitem"))
+    history = prices.price_history(observations, days=30, entity=1)
+    return prices.history_in_order(
+        history.withColumns(
+            {
+                "min_price": S.half_up(F.col("min_price"), 6),
+                "max_price": S.half_up(F.col("max_price"), 6),
+            }
+        )
+    )
+
+
+@query
+def latest_read(spark, sf_dir):
+    return reads.latest_read(latest_prices(spark, sf_dir))
+
+
 @query
 def daily_prices(spark, sf_dir):
     observations = A.lineitem_observations(A.table(spark, sf_dir, "lineitem"))
@@ -341,9 +361,28 @@ def entity_listing(spark, sf_dir):
     return prices.entity_listing(m.observations, _index(spark, sf_dir))
 
 
+@query
+def dish_types(spark, sf_dir):
+    """Dish type by keyword, over part names with a dish put in so that every rule can match."""
+    dishes = ["thali", "Biryani", "momo", "burger", "Popcorn", "rolls", "paneer", "kheer", "Soda", "scroll", ""]
+    named = F.element_at(F.array(*map(F.lit, dishes)), (F.col("p_partkey") % len(dishes) + 1).cast("int"))
+    name = F.concat_ws(" ", "p_name", named)
+    return A.table(spark, sf_dir, "part").select("p_partkey", name.alias("name"), S.dish_type(name).alias("dish_type"))
+
+
 # ------------------------------------------------------------ reads
 
 
+@query
+def listing_read(spark, sf_dir):
+    return reads.listing_read(entity_listing(spark, sf_dir))
+
+
+@query
+def pairs_read(spark, sf_dir):
+    return reads.pairs_read(sync_pairs_all(spark, sf_dir))
+
+
 @query
 def rankings_read(spark, sf_dir):
     return reads.rankings_read(_index(spark, sf_dir))
