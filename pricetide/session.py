@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -38,7 +40,8 @@ def build_session(name: str = "pricetide", master: str | None = None, **settings
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own.  Within a
+    Only a local session without that setting gets a folder of its own, which goes when
+    the program ends.  Within a
     :func:`scratch_space` the folder belongs to that space.
     """
     root = _SPACE.get() or spark.conf.get(CHECKPOINT_DIR, None)
@@ -46,6 +49,7 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
         root = tempfile.mkdtemp(prefix="pricetide-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set(CHECKPOINT_DIR, root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
@@ -61,6 +65,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; false if it is there already."""
+    target, files = _file_system(spark, path)
+    return files.createNewFile(target)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Remove a folder with its contents; nothing happens if there is none."""
     target, files = _file_system(spark, path)

@@ -1,18 +1,16 @@
-import tempfile
-
 import pytest
 
 from pricetide.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
         spark__sql__shuffle__partitions="8",
         spark__ui__enabled="false",
-        spark__checkpoint__dir=tempfile.mkdtemp(prefix="pricetide-tests-"),
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

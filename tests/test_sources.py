@@ -99,6 +99,28 @@ def test_publish_is_all_or_nothing(spark, folder):
     assert publish.current_run(spark, folder)["version"] == 2
 
 
+def test_a_run_is_never_published_again(spark, folder):
+    one, two = spark.range(1), spark.range(2)
+    publish.publish_set(spark, {"a": one}, folder, run_id="one")
+    publish.publish_set(spark, {"a": two}, folder, run_id="two")
+    publish.publish_set(spark, {"a": spark.range(3)}, folder, run_id="one")
+    assert publish.current_run(spark, folder)["run_id"] == "two"
+    assert spark.read.parquet(f"{folder}/run_id=one/a").count() == 1
+    assert publish.expire(spark, folder, keep=1) == ["one"]
+    assert publish.read_published(spark, folder, "a").count() == 2
+    publish.publish_set(spark, {"a": one}, folder, run_id="one")
+    assert publish.current_run(spark, folder)["run_id"] == "two"
+
+
+def test_publishers_at_the_same_time_get_different_versions(spark, folder):
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda n: publish.publish_set(spark, {"a": spark.range(n)}, folder), range(1, 5)))
+    versions = [r["version"] for r in spark.read.parquet(f"{folder}/manifest").collect()]
+    assert len(versions) == 4 == len(set(versions))
+
+
 def test_materialise_uses_the_shared_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert scratch_dir(spark, "x").startswith(root)
