@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricetide.llm.common import worker_state
+from pricetide.llm.common import tidy, worker_state
 
 
 @dataclass(frozen=True)
@@ -174,6 +174,7 @@ def fingerprints(docs: DataFrame, rules: WalkRules = WalkRules()) -> DataFrame:
     """``doc_id, n_chars, fingerprint`` for every row; a null text is empty."""
     names = ["doc_id", "n_chars", "fingerprint"]
 
+    @tidy
     def sign(batches):
         for batch in batches:
             texts = [x or "" for x in batch.column(1).to_pylist()]
@@ -209,6 +210,7 @@ def near_links(signed: DataFrame, rules: WalkRules = WalkRules()) -> DataFrame:
     )
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("likeness", pa.float64())])
 
+    @tidy
     def verify(batches):
         for batch in batches:
             if not batch.num_rows:
@@ -295,6 +297,7 @@ def edited(docs: DataFrame, rules: WalkRules = WalkRules()) -> DataFrame:
             names,
         )
 
+    @tidy
     def pair(batches):
         held, waiting, size = [], None, 0
         for batch in batches:

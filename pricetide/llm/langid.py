@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricetide.llm.common import held_out
+from pricetide.llm.common import held_out, tidy, worker_state
 
 UNKNOWN = "und"
 
@@ -65,12 +65,15 @@ def codewords(count: int, seed: int) -> np.ndarray:
 
 def _letter_table() -> np.ndarray:
     """For each code point below 65,536 its lower-case letter, or a space."""
+    if "letters" in worker_state():
+        return worker_state()["letters"]
     table = np.full(65536, 32, np.uint32)
     for point in range(65536):
         letter = chr(point)
         if letter.isalpha():
             low = letter.lower()
             table[point] = ord(low) if len(low) == 1 else point
+    worker_state()["letters"] = table
     return table
 
 
@@ -141,6 +144,7 @@ def train(docs: DataFrame, rules: CodeRules = CodeRules()) -> LanguageModel:
     code, buckets = codewords(len(languages), rules.seed), rules.buckets
     place = {x: k for k, x in enumerate(languages)}
 
+    @tidy
     def vectors(batches):
         table = _letter_table()
         for batch in batches:
@@ -191,6 +195,7 @@ def predict(docs: DataFrame, model: LanguageModel, rules: CodeRules = CodeRules(
     """
     languages, code, weights, buckets = model.languages, model.code, model.weights, rules.buckets
 
+    @tidy
     def guess(batches):
         table = _letter_table()
         for batch in batches:
@@ -221,21 +226,16 @@ def keep_known(docs: DataFrame, model: LanguageModel, rules: CodeRules = CodeRul
     All columns stay as they are.
     """
     languages, code, weights, buckets = model.languages, model.code, model.weights, rules.buckets
-    place = docs.columns.index("text")
 
-    def keep(batches):
+    @F.pandas_udf("boolean")
+    def known(texts: pd.Series) -> pd.Series:
         table = _letter_table()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts = [x or "" for x in part.column(place).to_pylist()]
-                vectors, letters = ngram_counts(texts, table, buckets)
-                stays = letters > 0
-                if languages:
-                    _, share = decode((vectors @ weights[:-1] + weights[-1]).astype(np.float64), code)
-                    stays &= share >= rules.unclear
-                else:
-                    stays[:] = False
-                yield part.filter(pa.array(stays))
-
-    return docs.mapInArrow(keep, docs.schema)
+        stays = []
+        for at in range(0, len(texts), 256):
+            some = [x or "" for x in texts.iloc[at : at + 256]]
+            vectors, letters = ngram_counts(some, table, buckets)
+            _, share = decode((vectors @ weights[:-1] + weights[-1]).astype(np.float64), code)
+            stays.append((letters > 0) & (share >= rules.unclear))
+        return pd.Series(np.concatenate(stays) if stays else np.zeros(0, bool))
+
+    return docs.where(known("text")) if languages else docs.where(F.lit(False))

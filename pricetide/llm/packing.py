@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricetide.llm.common import stored
+from pricetide.llm.common import stored, tidy
 from pricetide.llm.tokens import encoder
 
 
@@ -171,6 +171,7 @@ def cut_documents(docs: DataFrame, rules: PackRules, keep: list[str] | None = No
     end = np.array([rules.end_id], "<u4").tobytes()
     step = rules.capacity * 4
 
+    @tidy
     def cut(batches):
         encode = encoder(rules.tokenizer, "<u4").encode
         for batch in batches:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricetide.llm.common import stored
+from pricetide.llm.common import stored, tidy
 from pricetide.llm.components import connected
 
 BITS = 64
@@ -69,6 +69,7 @@ def fingerprints(docs: DataFrame, rules: SimHashRules = SimHashRules()) -> DataF
     shingle = rules.shingle
     schema = pa.schema([(x, pa.int64()) for x in ("doc_id", "text_hash", "bits")])
 
+    @tidy
     def sign(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -177,6 +178,7 @@ def links(bits: DataFrame, rules: SimHashRules = SimHashRules()) -> DataFrame:
     turns = _turns(most)
     turned = pa.schema([("turn", pa.int32()), ("rank", pa.int64())])
 
+    @tidy
     def turn(batches):
         for batch in batches:
             values = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
@@ -197,6 +199,7 @@ def links(bits: DataFrame, rules: SimHashRules = SimHashRules()) -> DataFrame:
         "a array<long>, b array<long>"
     )
 
+    @tidy
     def build(batches):
         from pyspark import TaskContext
 
@@ -262,6 +265,7 @@ def links(bits: DataFrame, rules: SimHashRules = SimHashRules()) -> DataFrame:
         + [("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64()))]
     )
 
+    @tidy
     def meet(batches):
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
         for batch in batches:

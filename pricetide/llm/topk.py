@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricetide.llm.common import stored
+from pricetide.llm.common import stored, tidy
 
 
 @dataclass(frozen=True)
@@ -106,6 +106,7 @@ def _search(vectors: DataFrame, rules: TopKRules) -> DataFrame:
     drawn = vectors.orderBy(F.xxhash64(F.lit(rules.seed), "vec_id"), "vec_id").limit(rules.pivots).collect()
     pivots = np.unique(np.array([r["vector"] for r in drawn], np.float64), axis=0)
 
+    @tidy
     def key(batches):
         """The nearest pivot of each vector and the distance to it."""
         norms = (pivots**2).sum(axis=1)
@@ -132,6 +133,7 @@ def _search(vectors: DataFrame, rules: TopKRules) -> DataFrame:
         + [(x, pa.list_(pa.list_(pa.int64()))) for x in ("best_ids", "best_scores")]
     )
 
+    @tidy
     def blocks(batches):
         """Consecutive vectors of one pivot as a block, with its own queries searched in it."""
         from pyspark import TaskContext
@@ -198,6 +200,7 @@ def _search(vectors: DataFrame, rules: TopKRules) -> DataFrame:
         [("asked", pa.int64()), ("home", pa.int64()), ("ids", pa.binary()), ("vectors", pa.binary()), ("reached", pa.binary())]
     )
 
+    @tidy
     def ask(batches):
         for batch in batches:
             for row in batch.to_pylist():
@@ -238,6 +241,7 @@ def _search(vectors: DataFrame, rules: TopKRules) -> DataFrame:
         reach = np.sqrt(np.maximum(room, 0)) * (1 + 1e-9) + 1e-6
         return to_pivot - reach, to_pivot + reach, room >= -1e-6
 
+    @tidy
     def expand(batches):
         for batch in batches:
             for row in batch.to_pylist():
@@ -271,6 +275,7 @@ def _search(vectors: DataFrame, rules: TopKRules) -> DataFrame:
         .select("pivot", "low", "high", "norm", "other_ids", "others", "ids", "vectors", "reached")
     )
 
+    @tidy
     def score(batches):
         for batch in batches:
             for at in range(batch.num_rows):
