@@ -261,7 +261,9 @@ def shared_blocks(docs: DataFrame, rules: RepeatRules = RepeatRules()) -> DataFr
     """
     parsed = _parsed(docs, rules)  # read twice: cheaper than a table of all blocks
     shared = parsed.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b")
-    near = stored(parsed.join(shared.select("anchor"), "anchor"), "shared_blocks")
+    # As a table, so that Spark can split the blocks of an anchor that very many documents share.
+    shared = stored(shared.select("anchor"), "shared_anchors")
+    near = stored(parsed.join(shared, "anchor"), "shared_blocks")
     firsts = near.groupBy("anchor", "block").agg(F.min("doc_id").alias("earliest"), F.max("doc_id").alias("latest"))
     several = (
         firsts.groupBy("anchor")
@@ -269,7 +271,9 @@ def shared_blocks(docs: DataFrame, rules: RepeatRules = RepeatRules()) -> DataFr
         .where("lowest < highest")
         .select("anchor", "lowest")
     )
-    known = firsts.join(several, "anchor", "left").where("latest > earliest or lowest is not null")
+    known = stored(
+        firsts.join(several, "anchor", "left").where("latest > earliest or lowest is not null"), "known_blocks"
+    )
     state = (
         F.when(F.col("earliest") < F.col("doc_id"), _SETTLED)
         .when(F.col("lowest") < F.col("doc_id"), _OPEN)
