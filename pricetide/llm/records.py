@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pricetide.llm.common import slices
+from pricetide.llm.common import tidy
 from pricetide.llm.tokens import encoder
 
 _MASK_DELTA = 0xA282EAD8
@@ -84,12 +84,16 @@ def unframe(stream) -> Iterator[bytes]:
 
 @dataclass(frozen=True)
 class RecordRules:
-    """``end_id`` is put after each document; ``dtype`` must hold every id."""
+    """``end_id`` is put after each document; ``dtype`` must hold every id.
+
+    ``room`` is how many words and stems a worker caches, about 150 bytes each.
+    """
 
     tokenizer: str
     end_id: int | None = 2
     dtype: str = "<u2"
     texts_at_once: int = 256
+    room: int = 700_000
 
 
 def write_records(docs: DataFrame, folder: str, rules: RecordRules) -> DataFrame:
@@ -103,6 +107,7 @@ def write_records(docs: DataFrame, folder: str, rules: RecordRules) -> DataFrame
     """
     end = b"" if rules.end_id is None else np.array([rules.end_id], rules.dtype).tobytes()
 
+    @tidy
     def write(batches):
         from pyspark import TaskContext
 
@@ -110,7 +115,7 @@ def write_records(docs: DataFrame, folder: str, rules: RecordRules) -> DataFrame
         task = TaskContext.get()
         part = task.partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}"
-        encode = encoder(rules.tokenizer, rules.dtype).encode
+        encode = encoder(rules.tokenizer, rules.dtype, rules.room).encode
         size, docs_seen, tokens, first, last = 0, 0, 0, None, None
         records = index = None
         for batch in batches:
@@ -202,6 +207,7 @@ def read_records(spark: SparkSession, folder: str, order: str | None = None) ->
                 stream.seek(int(entries[at, 0]))
                 yield int(starts[at]), next(unframe(stream))
 
+    @tidy
     def read(batches):
         files, path = _open(folder)
         for batch in batches:

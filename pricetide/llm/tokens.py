@@ -30,17 +30,17 @@ _BATCH = 500
 class Encoder:
     """Ids of texts as little-endian bytes, of the width of ``dtype``.
 
-    ``room`` bounds the number of cached words and of cached word stems.
+    ``room`` bounds the number of cached words, ``stem_room`` that of word stems.
     """
 
-    def __init__(self, path: str, dtype: str = "<u4", room: int = 700_000):
+    def __init__(self, path: str, dtype: str = "<u4", room: int = 500_000, stem_room: int = 500_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype, self.room = np.dtype(dtype), room
+        self.dtype, self.room, self.stem_room = np.dtype(dtype), room, stem_room
         self.cache: dict[str, bytes] = {}
         self.stems: dict[str, bytes] = {}
         form = json.loads(self.tokenizer.to_str())
@@ -72,11 +72,11 @@ class Encoder:
 
     def _runs(self, stems: list[str], led: str) -> list[bytes]:
         """Ids of stems, many of them at a time in one text."""
+        parts = [stems[at : at + _BATCH] for at in range(0, len(stems), _BATCH)]
+        texts = [led + (led or " ").join(part) for part in parts]
         out: list[bytes] = []
-        for at in range(0, len(stems), _BATCH):
-            part = stems[at : at + _BATCH]
-            text = led + (led or " ").join(part)
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
+        for part, found in zip(parts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(found.ids, self.dtype)
             if led == "\n":
                 starts = np.flatnonzero(ids == ids[0])
             elif self.spaces_kept:
@@ -86,24 +86,32 @@ class Encoder:
             if len(starts) != len(part):  # a vocabulary of another make
                 out += self._whole([(led if self.spaces_kept else "") + x for x in part])
                 continue
-            ends = np.append(starts[1:], len(ids))
-            out += [ids[a:b].tobytes() for a, b in zip(starts, ends)]
+            data, width = ids.tobytes(), self.dtype.itemsize
+            edges = (np.append(starts, len(ids)) * width).tolist()
+            out += [data[a:b] for a, b in zip(edges, edges[1:])]
         return out
 
     def _learn(self, missing: set[str]) -> None:
-        """Put the ids of words into the cache, from their stems where they are simple."""
+        """Put the ids of words into the cache, from their stems where they are simple.
+
+        Simple is a word of Latin letters, perhaps with a stop or comma after it and,
+        where spaces are kept, a line break before it.
+        """
         fold = not self.spaces_kept
-        simple: dict[tuple[str, str], tuple[list[str], list[str]]] = {}
+        plain = [w for w in missing if w.isascii() and w.isalpha()]
+        simple: dict[tuple[str, str], tuple[list[str], list[str]]] = {
+            (led, mark): ([], []) for led in ("", "\n") for mark in ("", ".", ",")
+        }
+        simple["", ""] = plain, [w.lower() for w in plain] if fold else list(plain)
         other = []
-        for led in ("", "\n"):
-            for mark in ("", ".", ","):
-                simple[led, mark] = [], []
-        for word in missing:
-            stem = word.rstrip(".,")
-            mark = word[len(stem) :]
+        for word in missing.difference(plain):
+            mark = word[-1]
+            stem = word[:-1] if mark == "." or mark == "," else word
+            if stem is word:
+                mark = ""
             led = "\n" if stem[:1] == "\n" and not fold else ""
             bare = stem[1:] if led else stem
-            if len(mark) <= 1 and bare.isalpha() and (bare.isascii() or _LATIN(bare)):
+            if bare.isalpha() and (bare.isascii() or _LATIN(bare)):
                 words, stems = simple[led, mark]
                 words.append(word)
                 stems.append(bare.lower() if fold else stem)
@@ -120,7 +128,7 @@ class Encoder:
             found = map(self.stems.__getitem__, stems)
             if mark:
                 tail = marks[mark]
-                found = (x + tail for x in found)
+                found = [x + tail for x in found]
             self.cache.update(zip(words, found))
         texts = [x if fold or x.startswith("\n") else f" {x}" for x in other]
         self.cache.update(zip(other, self._whole(texts)))
@@ -189,16 +197,16 @@ class Encoder:
                 continue
             joined = b"".join(ids)
             out.append(joined[self.dtype.itemsize :] if pieces[1] else joined)
-        for kept in (self.cache, self.stems):
-            if len(kept) > self.room:  # the oldest half goes
-                for old in list(islice(kept, self.room // 2)):
+        for kept, room in ((self.cache, self.room), (self.stems, self.stem_room)):
+            if len(kept) > room:  # the oldest half goes
+                for old in list(islice(kept, room // 2)):
                     del kept[old]
         return out
 
 
-def encoder(path: str, dtype: str) -> Encoder:
+def encoder(path: str, dtype: str, room: int = 500_000) -> Encoder:
     """The worker's encoder for a vocabulary, kept between tasks."""
     kept = worker_state().setdefault("encoders", {})
-    if (path, dtype) not in kept:
-        kept[path, dtype] = Encoder(path, dtype)
-    return kept[path, dtype]
+    if (path, dtype, room) not in kept:
+        kept[path, dtype, room] = Encoder(path, dtype, room, room)
+    return kept[path, dtype, room]
