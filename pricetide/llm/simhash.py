@@ -326,7 +326,11 @@ def without_near_duplicates(docs: DataFrame, rules: SimHashRules = SimHashRules(
 
     Of rows that repeat this id one stays.  All columns stay as they are.
     """
-    found = near_duplicates(docs, rules)
+    return first_of_each(docs, near_duplicates(docs, rules))
+
+
+def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``docs``, one of each component in ``found``: that with the smallest id."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("x")
     stays = found.groupBy("component_id").agg(first).select(
         F.col("x.doc_id").alias("of"), F.col("x.text_hash").alias("of_hash")
