@@ -1,10 +1,10 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment.
 
-The mix is a number of blocks of equally many words.  Sources, and within a source its
-shards, get whole blocks by highest quotients: the next block goes to whoever has the
-largest target divided by twice its blocks plus one.  In each shard the documents
-lie one after the other in a seeded order, and the shard's blocks are taken from the
-start of that line, over again if there are more blocks than words.
+The words of the mix go to sources, and within a source to its shards, by highest
+quotients: the next word goes to whoever has the largest target divided by twice its
+words plus one, among those that have not reached their limit.  In each shard the
+documents lie one after the other in a seeded order, and the shard's words are taken
+from the start of that line, over again if there are more due than it has.
 
 Everything is DataFrame operations: documents are summed up by source and shard before
 anything is ranked, and a shard, never a source, is what one task orders.
@@ -25,14 +25,13 @@ class MixRules:
     """``weights`` repeat over the sources by name, null last; ``share`` is the size of the mix
     as a multiple of all words, ``most_copies`` how often a document may be taken.
 
-    ``blocks`` is about how many blocks the mix has: targets are met to within one block
-    per source.  ``shards`` is how many tasks share a source.
+    Targets are met to the word but for rounding, whatever the size of the mix.
+    ``shards`` is how many tasks share a source.
     """
 
     weights: tuple[int, ...] = (3, 1, 2)
     share: float = 1.5
     most_copies: int = 2
-    blocks: int = 1_000_000
     shards: int = 64
     seed: str = "mix"
 
@@ -77,7 +76,9 @@ def targets(sizes: DataFrame, rules: MixRules) -> DataFrame:
     )
 
 
-def apportion(parties: DataFrame, house: str, within: list[str], name: list[str]) -> DataFrame:
+def apportion(
+    parties: DataFrame, house: str, within: list[str], name: list[str], limit: str | None = None
+) -> DataFrame:
     """Sainte-Laguë: adds ``seats`` to ``parties``, whose votes are in ``votes``.
 
     The groups named by ``within`` are houses of their own, with ``house`` seats each.
@@ -85,6 +86,9 @@ def apportion(parties: DataFrame, house: str, within: list[str], name: list[str]
     that surely seats too few gives the start; the seats left go to the highest of the
     next quotients, of which each party lists just those that a divisor that surely
     seats enough would give it.  Ties go to the first party by ``name``.
+
+    No party gets more seats than its ``limit``, a whole number not below its share of the
+    house; what it would have won goes to the next quotients of others.
     """
     group = Window.partitionBy(*within)
     parties = parties.withColumn("voters", F.sum("votes").over(group)).withColumn(
@@ -97,7 +101,12 @@ def apportion(parties: DataFrame, house: str, within: list[str], name: list[str]
 
     few = seated(F.greatest(F.col(house) - F.col("parties"), F.lit(0)))
     many = seated(F.col(house) + F.col("parties"))
-    started = parties.withColumn("start", few).withColumn("end", F.greatest(few, many))
+    # Shares rounded up always fill the house, however many parties are at their limit.
+    share = F.ceil(F.col("votes").cast("double") * F.col(house) / F.col("voters"))
+    enough = F.greatest(few, many, F.when(F.col("votes") > 0, share).otherwise(0).cast("long"))
+    if limit is not None:
+        few, enough = F.least(few, F.col(limit)), F.least(enough, F.col(limit))
+    started = parties.withColumn("start", few).withColumn("end", enough)
     left = (F.col(house) - F.sum("start").over(group)).alias("left")
     offers = (
         started.select("*", left)
@@ -144,28 +153,26 @@ def mix(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
     by_shard = stored(sized.groupBy("source", "shard").agg(F.sum("size").alias("shard_size")), "shards")
     sizes = by_shard.groupBy("source").agg(F.sum("shard_size").alias("source_size"))
     aimed = targets(sizes, rules)
-    # A block is a whole number of words, the same for all.
-    everything = Window.partitionBy()
-    aimed = aimed.withColumn(
-        "block", F.greatest(F.lit(1), F.ceil(F.sum("target").over(everything) / rules.blocks)).cast("long")
-    ).withColumn("blocks", F.round(F.sum("target").over(everything) / F.col("block")).cast("long"))
+    aimed = aimed.withColumn("words", F.round(F.sum("target").over(Window.partitionBy())).cast("long"))
     aimed = aimed.withColumn("votes", F.col("target")).withColumn("house", F.lit(0))
+    aimed = aimed.withColumn("limit", rules.most_copies * F.col("source_size"))
     quotas = stored(
-        apportion(aimed, "blocks", ["house"], ["source"]).select(
-            "source", "source_size", "target", "block", F.col("seats").alias("quota")
+        apportion(aimed, "words", ["house"], ["source"], "limit").select(
+            "source", "source_size", "target", F.col("seats").alias("quota")
         ),
         "quotas",
     )
     of_source = F.col("source").eqNullSafe(F.col("of"))
     shared = by_shard.join(quotas.withColumnRenamed("source", "of"), of_source).drop("of")
-    shards = apportion(
-        shared.withColumn("votes", F.col("shard_size")), "quota", ["source"], ["shard"]
-    ).select(
+    shared = shared.withColumn("votes", F.col("shard_size")).withColumn(
+        "limit", rules.most_copies * F.col("shard_size")
+    )
+    shards = apportion(shared, "quota", ["source"], ["shard"], "limit").select(
         F.col("source").alias("of"),
         F.col("shard").alias("of_shard"),
         "source_size",
         "target",
-        F.least(F.col("seats") * F.col("block"), rules.most_copies * F.col("shard_size")).alias("due"),
+        F.col("seats").alias("due"),
         "shard_size",
     )
     line = Window.partitionBy("source", "shard").orderBy("mark", "doc_id", "size")

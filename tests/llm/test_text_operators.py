@@ -397,6 +397,31 @@ def test_mix(docs, rows, nothing):
     assert mixing.mix(nothing).count() == 0 and mixing.mixed_documents(nothing).count() == 0
 
 
+def test_small_sources_beside_large_ones_meet_their_targets(spark):
+    table = spark.sql(
+        """SELECT id AS doc_id, CASE WHEN id < 60 THEN 'large' WHEN id < 110 THEN 'small' WHEN id < 120 THEN 'tail'
+                  ELSE 'middle' END AS source,
+                  trim(repeat('w ', CASE WHEN id < 60 THEN 60000 + id WHEN id < 120 THEN 1 ELSE 300 END)) AS text
+           FROM range(520)"""
+    )
+    got = mixing.mix(table.withColumn("text", table.text.cast("string"))).collect()
+    taken, target, limit = Counter(), {}, Counter()
+    for r in got:
+        assert 0 <= r.taken <= 2 * r.size
+        taken[r.source] += r.taken
+        limit[r.source] += 2 * r.size
+        target[r.source] = r.target
+    assert target["small"] == 100 and target["tail"] == 20 and target["middle"] == 240_000
+    assert all(abs(taken[x] - target[x]) <= 1 for x in target) and sum(taken.values()) == round(sum(target.values()))
+
+
+def test_apportionment_within_limits_fills_the_house(spark):
+    votes = [(k, v, m) for k, (v, m) in enumerate([(1000.0, 1000), *[(0.4, 2)] * 5])]
+    table = spark.createDataFrame([(0, 1002, *v) for v in votes], "g int, house long, party int, votes double, most long")
+    got = {r.party: r.seats for r in mixing.apportion(table, "house", ["g"], ["party"], "most").collect()}
+    assert got == {0: 1000, 1: 1, 2: 1, 3: 0, 4: 0, 5: 0}
+
+
 def test_apportionment_is_by_highest_quotients(spark):
     rng = random.Random(9)
     for house in (0, 1, 7, 100):
