@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricetide.llm import langid, mixing, packing, secrets, shingles
+from pricetide.llm import langid, mixing, packing, secrets, simhash
 from pricetide.llm.common import documents, stored
 from pricetide.llm.queries import vocabulary
 
@@ -28,8 +28,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose five-word shingles link at 0.8 and more."""
-    return shingles.without_near_duplicates(docs)
+    """One document of each group whose fingerprints of three-word shingles link at 2 bits and less."""
+    return simhash.without_near_duplicates(docs, simhash.SimHashRules(shingle=3, most_bits=2))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
