@@ -303,11 +303,13 @@ def links(bits: DataFrame, rules: SimHashRules = SimHashRules()) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, rules: SimHashRules = SimHashRules()) -> DataFrame:
-    """``doc_id, text_hash, bits, component_id`` per row: the smallest id reachable over links.
+    """``doc_id, text_hash, bits, component, component_id`` per row.
 
-    Null and empty texts have the fingerprint zero and link like any other.  Rows that
-    repeat an id keep a row each.  Null ids are never a component's name unless no
-    other is there.  An empty table gives no rows.
+    ``component`` is a fingerprint that names the row's component and no other one;
+    ``component_id`` is the smallest id reachable over links.  Null and empty texts have the
+    fingerprint zero and link like any other.  Rows that repeat an id keep a row each, so
+    several components may have one ``component_id``.  It is null only where all ids are.
+    An empty table gives no rows.
     """
     signed = stored(fingerprints(docs, rules), "fingerprints")
     different = stored(signed.groupBy("bits").agg(F.min("doc_id").alias("first_id")), "different")
@@ -317,22 +319,19 @@ def near_duplicates(docs: DataFrame, rules: SimHashRules = SimHashRules()) -> Da
         .withColumn("component", F.coalesce("component", "bits"))
     )
     names = lowest.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    of_bits = lowest.join(names, "component").select("bits", "component_id")
-    return signed.join(of_bits, "bits").select("doc_id", "text_hash", "bits", "component_id")
+    of_bits = lowest.join(names, "component").select("bits", "component", "component_id")
+    return signed.join(of_bits, "bits").select("doc_id", "text_hash", "bits", "component", "component_id")
 
 
 def without_near_duplicates(docs: DataFrame, rules: SimHashRules = SimHashRules()) -> DataFrame:
     """The rows of ``docs``, one of each component: that with the smallest id.
 
-    Of rows that repeat this id one stays.  All columns stay as they are.
+    Rows without an id come last, and equal ids in the order of their texts' hashes, so one
+    row of every component stays whatever its id.  Null and empty texts are one component.
+    All columns stay as they are; an empty table stays empty.
     """
-    return first_of_each(docs, near_duplicates(docs, rules))
-
-
-def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """The rows of ``docs``, one of each component in ``found``: that with the smallest id."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("x")
-    stays = found.groupBy("component_id").agg(first).select(
+    stays = near_duplicates(docs, rules).groupBy("component").agg(first).select(
         F.col("x.doc_id").alias("of"), F.col("x.text_hash").alias("of_hash")
     )
     rows = docs.select(
