@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pricetide.llm import (
+    collisions,
     editprints,
     langid,
     mixing,
+    negatives,
     packing,
     quality,
     records,
@@ -201,3 +203,40 @@ FROM placed p
 JOIN aimed a ON p.source IS NOT DISTINCT FROM a.source
 JOIN due d ON p.source IS NOT DISTINCT FROM d.source AND p.shard = d.shard
 """
+
+
+@query
+def op11_nearest_by_collisions(spark, sf_dir):
+    """The 20 nearest other vectors found of every twentieth vector."""
+    return collisions.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query
+def op13_hard_negatives(spark, sf_dir):
+    """Hard negatives for the positives of every hundredth vector."""
+    return negatives.mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+TWINS["op13_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same,
+         list_dot_product(a.e::DOUBLE[], v.e::DOUBLE[])::BIGINT AS score
+  FROM v AS a JOIN v ON a.vec_id <> v.vec_id
+  WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT same
+WHERE 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) <= 10
+"""
