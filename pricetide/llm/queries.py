@@ -17,6 +17,7 @@ from pricetide.llm import (
     simhash,
     substrings,
     topk,
+    whitening,
 )
 from pricetide.llm.common import documents, held_out
 from pricetide.session import scratch_dir
@@ -211,6 +212,12 @@ def op11_nearest_by_collisions(spark, sf_dir):
     return collisions.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+@query
+def op12_whitening(spark, sf_dir):
+    """Every vector on the eight main axes of all, at unit variance."""
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 @query
 def op13_hard_negatives(spark, sf_dir):
     """Hard negatives for the positives of every hundredth vector."""
