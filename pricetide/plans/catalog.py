@@ -664,8 +664,9 @@ def publish_set(spark, sf_dir):
 
 
 #: Days per micro-batch of a replayed backlog; the tables span about a month.
-SLICE_DAYS = 5
+SLICE_DAYS = 10
 SLICE_DELAY = f"{SLICE_DAYS} days"
+LATE_SECONDS = 2 * 86_400
 
 
 def _stream(spark, sf_dir, closed: bool = False) -> DataFrame:
@@ -685,12 +686,8 @@ def _ran(spark, stream: DataFrame, mode: str = "append") -> str:
 
 
 def _streamed_changes(spark, sf_dir) -> tuple[str, T.StructType]:
-    """Change events of the rows that are on time; late ones are kept beside them."""
-    observations = _stream(spark, sf_dir, closed=True)
-    path = scratch_dir(spark, "admission")
-    admitted, _ = admission.admit(observations, path, f"{path}-checkpoint", SLICE_DAYS * 86_400)
-    on_time = streams.stream_table(spark, f"{admitted}/*/*", observations.schema, batch_bytes=1)
-    changes = stream_ops.stream_changes(on_time, A.RELAXED, SLICE_DELAY)
+    """Change events of the replayed backlog; a row behind the watermark would be an error."""
+    changes = stream_ops.stream_changes(_stream(spark, sf_dir, closed=True), A.RELAXED, SLICE_DELAY)
     return _ran(spark, changes), changes.schema
 
 
@@ -704,20 +701,41 @@ def stream_changes(spark, sf_dir):
 
 @query
 def stream_changes_keyed_state(spark, sf_dir):
-    """The same events straight from the replayed backlog."""
-    changes = stream_ops.stream_changes(_stream(spark, sf_dir, closed=True), A.RELAXED, SLICE_DELAY)
+    """The same events by keyed state."""
+    changes = stream_ops.stream_changes_keyed(_stream(spark, sf_dir, closed=True), A.RELAXED, SLICE_DELAY)
     return sinks.read_batches(spark, _ran(spark, changes), changes.schema).withColumn(
         "pct_change", S.half_up(F.col("pct_change"), 6)
     )
 
 
+@query
+def stream_admission(spark, sf_dir):
+    """Two deliveries, even days and then odd ones: what of them is on time and what is late."""
+    observations = A.event_observations(A.table(spark, sf_dir, "events"))
+    path, out = scratch_dir(spark, "deliveries"), scratch_dir(spark, "admission")
+    for odd in (0, 1):
+        part = observations.where(F.dayofmonth("observed_at") % 2 == odd)
+        part.write.mode("append").parquet(path)
+        # a delivery is one batch whatever its size, so the parts are the same everywhere
+        delivered = streams.stream_table(spark, path, observations.schema, batch_bytes=2**62)
+        admitted, late = admission.admit(delivered, out, f"{out}-checkpoint", LATE_SECONDS)
+    counted = [
+        sinks.read_batches(spark, folder, observations.schema)
+        .groupBy("entity")
+        .agg(F.count("*").alias("n"), F.sum("ordinal").alias("ordinals"))
+        .withColumn("late", F.lit(is_late))
+        for is_late, folder in ((False, admitted), (True, late))
+    ]
+    return counted[0].unionByName(counted[1])
+
+
 @query
 def stream_hourly(spark, sf_dir):
     """Windows over the table that the change stream fills."""
     path, schema = _streamed_changes(spark, sf_dir)
     windows = stream_ops.stream_hourly(
         # a batch of changes spans what had waited and a slice, in files of any order
-        streams.stream_table(spark, f"{path}/*/*", schema, batch_bytes=1),
+        streams.stream_table(spark, f"{path}/*/*", schema, batch_bytes=1 << 20),
         delay=f"{3 * SLICE_DAYS} days",
     )
     latest = sinks.read_latest(
@@ -729,7 +747,7 @@ def stream_hourly(spark, sf_dir):
 @query
 def stream_alerts(spark, sf_dir):
     path, schema = _streamed_changes(spark, sf_dir)
-    reported = stream_ops.alerts(streams.stream_table(spark, f"{path}/*/*", schema, batch_bytes=1))
+    reported = stream_ops.alerts(streams.stream_table(spark, f"{path}/*/*", schema, batch_bytes=1 << 20))
     return sinks.read_batches(spark, _ran(spark, reported), reported.schema).select(
         "entity", "item", "ordinal", "direction", S.half_up(F.col("pct_change"), 6).alias("pct_change")
     )

@@ -71,6 +71,26 @@ def create_new(spark: SparkSession, path: str) -> bool:
     return files.createNewFile(target)
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of a small file, without a Spark job."""
+    target, files = _file_system(spark, path)
+    stream = files.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file with this content, in place of one that is there."""
+    target, files = _file_system(spark, path)
+    stream = files.create(target, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Remove a folder with its contents; nothing happens if there is none."""
     target, files = _file_system(spark, path)

@@ -8,10 +8,13 @@ so that none is lost without a trace.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from pricetide.session import path_exists, remove_path
+from pricetide.session import path_exists, read_text, remove_path, write_text
 from pricetide.streaming.sinks import batch_folder, run_available
 
 
@@ -27,7 +30,8 @@ def replay(rows: DataFrame, path: str, at: str = "observed_at", days: int = 7) -
     slice_of = F.floor(F.unix_micros(F.col(at).cast("timestamp")) / (days * 86_400_000_000))
     staged = f"{path}-staged"
     rows.withColumn("_slice", F.coalesce(slice_of, F.lit(-(2**62)))).write.partitionBy("_slice").parquet(staged)
-    sliced = spark.read.schema(rows.schema.add("_slice", "long")).parquet(staged)
+    schema = T.StructType([*rows.schema.fields, T.StructField("_slice", T.LongType())])
+    sliced = spark.read.schema(schema).parquet(staged)
     slices = sorted(r[0] for r in sliced.select("_slice").distinct().collect())
     for number in slices:
         sliced.where(F.col("_slice") == number).drop("_slice").write.mode("append").parquet(path)
@@ -57,8 +61,9 @@ def admit(
 
     A row is late if it is ``delay_seconds`` or more behind the newest row of all
     batches before, or has no time.  A stream over the admitted rows with the same
-    delay drops none: its watermark is never ahead of this one.  Each batch keeps the
-    newest time so far in a table of one row, so a repeated batch divides alike.
+    delay drops none: its watermark is never ahead of this one.  Each batch is read once,
+    and again only where it has late rows, and keeps the newest time so far in a file, so a
+    repeated batch divides alike.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -66,21 +71,30 @@ def admit(
         admitted, late, clock = (
             batch_folder(spark, f"{path}/{part}", checkpoint, batch_id) for part in ("admitted", "late", "clock")
         )
-        if path_exists(spark, f"{clock}/_SUCCESS"):
+        if path_exists(spark, f"{clock}/newest"):
             return
         newest = None
         if batch_id:
             before = batch_folder(spark, f"{path}/clock", checkpoint, batch_id - 1)
-            newest = spark.read.parquet(before).first()["newest"]
+            newest = json.loads(read_text(spark, f"{before}/newest"))
         micros = F.unix_micros(F.col(at).cast("timestamp"))
         on_time = micros.isNotNull()
         if newest is not None:
             on_time &= micros > newest - delay_seconds * 1_000_000
-        batch.where(~on_time).write.mode("overwrite").parquet(late)
-        if not path_exists(spark, f"{admitted}/_SUCCESS"):
-            batch.where(on_time).write.mode("overwrite").parquet(admitted)
-        latest = batch.agg(F.greatest(F.max(micros), F.lit(newest).cast("long")).alias("newest"))
-        latest.write.mode("overwrite").parquet(clock)
+        seen = Observation()
+        counted = batch.observe(
+            seen, F.max(micros).alias("newest"), F.count_if(~on_time).alias("late")
+        ).where(on_time)
+        if path_exists(spark, f"{admitted}/_SUCCESS"):
+            # written by an attempt that failed later; streams may have read it
+            counted.write.format("noop").mode("overwrite").save()
+        else:
+            counted.write.mode("overwrite").parquet(admitted)
+        found = seen.get
+        if found["late"]:
+            batch.where(~on_time).write.mode("overwrite").parquet(late)
+        times = [x for x in (found["newest"], newest) if x is not None]
+        write_text(spark, f"{clock}/newest", json.dumps(max(times, default=None)))
 
     run_available(stream, path, checkpoint, write=write)
     return f"{path}/admitted", f"{path}/late"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pandas as pd
@@ -20,19 +21,8 @@ HELD = (
 )
 
 
-def stream_changes(
-    observations: DataFrame, rules: ChangeRules = ChangeRules(), delay: str = "6 hours"
-) -> DataFrame:
-    """Price-change events of a stream of observations.
-
-    Rows wait until the watermark has passed them and are then paired in the order
-    of their times, so the events do not depend on how the rows came in batches.
-    The state of an item is its last price and the rows that wait; it is dropped
-    when no price within the gap can follow.  Rows behind the watermark are dropped by
-    Spark, which :func:`pricetide.streaming.sinks.run_available` reports.  Python only
-    pairs neighbouring prices, the change filter runs on Spark.
-    """
-    rows = with_event_time(
+def _prices(observations: DataFrame, delay: str) -> DataFrame:
+    return with_event_time(
         observations.select(
             *ITEM_KEYS,
             F.col("price").cast("double").alias("price"),
@@ -43,6 +33,84 @@ def stream_changes(
         ),
         delay,
     )
+
+
+def _events(paired: DataFrame, rules: ChangeRules) -> DataFrame:
+    """Valid changes of rows with ``price, at`` and ``prev_price, prev_at``."""
+    return (
+        paired.withColumn("gap_micros", F.col("at") - F.col("prev_at"))
+        .where(is_valid_change(rules))
+        .select(
+            *ITEM_KEYS,
+            "session_id",
+            "ordinal",
+            F.timestamp_micros("at").cast("timestamp_ntz").alias("observed_at"),
+            "prev_price",
+            F.col("price").alias("new_price"),
+            F.expr("(price - prev_price) / nullif(prev_price, 0) * 100").alias("pct_change"),
+        )
+    )
+
+
+def stream_changes(
+    observations: DataFrame,
+    rules: ChangeRules = ChangeRules(),
+    delay: str = "6 hours",
+    slice_seconds: int | None = None,
+) -> DataFrame:
+    """Price-change events of a stream of observations.
+
+    Time is cut into slices of ``slice_seconds``, as long as the gap by default.  A sliding
+    window is a slice together with at least the gap before it: of an item it collects the
+    rows of the slice and keeps the last row before.  Once the watermark has passed it, each row
+    is paired with the one before, so the events do not depend on how the rows came in
+    batches.  All of it is Spark's own aggregation; maps send on one row before the slice per
+    item and window.
+
+    A slice of an item is one row of state.  Shorter slices make it smaller where an item has
+    very many rows, at the price of more windows per row.  Rows behind the watermark are
+    dropped by Spark, which :func:`pricetide.streaming.sinks.run_available` reports.  Rules
+    without a gap set no end to the windows; these go to :func:`stream_changes_keyed`.
+    """
+    gap = rules.max_gap_seconds
+    if gap is None:
+        return stream_changes_keyed(observations, rules, delay)
+    own = max(1, slice_seconds or math.ceil(gap))
+    ahead = max(1, math.ceil(gap / own)) * own
+    rows = _prices(observations, delay).withColumn(
+        "slice", F.window("observed_at", f"{ahead + own} seconds", f"{own} seconds")
+    )
+    inside = F.col("at") >= F.unix_micros(F.col("slice.start")) + ahead * 1_000_000
+    runs = (
+        rows.groupBy("slice", *ITEM_KEYS)
+        .agg(
+            F.collect_list(F.when(inside, F.struct("at", "ordinal", "price", "session_id"))).alias("run"),
+            F.max(F.when(~inside, F.struct("at", "ordinal", "price"))).alias("last"),
+        )
+        .where(F.size("run") > 0)
+        .select(*ITEM_KEYS, F.sort_array("run").alias("run"), "last")
+    )
+
+    def with_previous(row, place):
+        previous = F.when(place == 0, F.col("last")).otherwise(
+            F.get("run", place - 1).dropFields("session_id")
+        )
+        return row.withField("prev_at", previous["at"]).withField("prev_price", previous["price"])
+
+    return _events(runs.select(*ITEM_KEYS, F.inline(F.transform("run", with_previous))), rules)
+
+
+def stream_changes_keyed(
+    observations: DataFrame, rules: ChangeRules = ChangeRules(), delay: str = "6 hours"
+) -> DataFrame:
+    """The same events by keyed state, which also holds without a greatest gap.
+
+    Rows wait until the watermark has passed them and are then paired in the order
+    of their times.  The state of an item is its last price and the rows that wait; it is
+    dropped when no price within the gap can follow.  Python only pairs neighbouring
+    prices, the change filter runs on Spark.
+    """
+    rows = _prices(observations, delay)
     item_fields = [f for f in rows.schema.fields if f.name in ITEM_KEYS]
     schema = T.StructType(
         item_fields
@@ -106,19 +174,7 @@ def stream_changes(
     paired = rows.groupBy(*ITEM_KEYS).applyInPandasWithState(
         pair, schema, HELD, "append", GroupStateTimeout.EventTimeTimeout
     )
-    return (
-        paired.withColumn("gap_micros", F.col("at") - F.col("prev_at"))
-        .where(is_valid_change(rules))
-        .select(
-            *ITEM_KEYS,
-            "session_id",
-            "ordinal",
-            F.timestamp_micros("at").cast("timestamp_ntz").alias("observed_at"),
-            "prev_price",
-            F.col("price").alias("new_price"),
-            F.expr("(price - prev_price) / nullif(prev_price, 0) * 100").alias("pct_change"),
-        )
-    )
+    return _events(paired, rules)
 
 
 def stream_hourly(

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import json
+import threading
+from collections import Counter
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
-from pricetide.session import path_exists
+from pricetide.session import path_exists, read_text
 
 
 class LateRows(RuntimeError):
@@ -18,7 +21,7 @@ class LateRows(RuntimeError):
 
 def run_id(spark: SparkSession, checkpoint: str) -> str:
     """The id of the query that a checkpoint belongs to; a new checkpoint has a new one."""
-    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+    return json.loads(read_text(spark, f"{checkpoint}/metadata"))["id"]
 
 
 def batch_folder(spark: SparkSession, path: str, checkpoint: str, batch_id: int) -> str:
@@ -42,6 +45,42 @@ def batch_writer(path: str, checkpoint: str) -> Callable[[DataFrame, int], None]
     return write
 
 
+class DroppedRows(StreamingQueryListener):
+    """Counts rows dropped behind the watermark over every batch of a run.
+
+    A query keeps the progress of its last batches only, so its own record is no account
+    of a long run.
+    """
+
+    def __init__(self) -> None:
+        self._dropped: Counter[str] = Counter()
+        self._ended: set[str] = set()
+        self._change = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        with self._change:
+            self._dropped[str(progress.runId)] += sum(x.numRowsDroppedByWatermark for x in progress.stateOperators)
+
+    def onQueryTerminated(self, event) -> None:
+        with self._change:
+            self._ended.add(str(event.runId))
+            self._change.notify_all()
+
+    def of(self, run: str, patience: float = 60.0) -> int:
+        """The count of a run, once Spark has told of its end."""
+        with self._change:
+            if not self._change.wait_for(lambda: run in self._ended, patience):
+                raise TimeoutError(f"no end of run {run} was reported")
+            return self._dropped[run]
+
+
 def run_available(
     stream: DataFrame,
     path: str,
@@ -56,19 +95,21 @@ def run_available(
     is an error unless ``allow_late``.  To keep them, let the stream go through
     :func:`pricetide.streaming.admission.admit` first.
     """
-    query = (
-        stream.writeStream.outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(write or batch_writer(path, checkpoint))
-        .start()
-    )
-    query.awaitTermination()
-    dropped = sum(
-        int(operator["numRowsDroppedByWatermark"])
-        for progress in query.recentProgress
-        for operator in json.loads(progress.json)["stateOperators"]
-    )
+    streams = stream.sparkSession.streams
+    listener = DroppedRows()
+    streams.addListener(listener)
+    try:
+        query = (
+            stream.writeStream.outputMode(mode)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .foreachBatch(write or batch_writer(path, checkpoint))
+            .start()
+        )
+        query.awaitTermination()
+        dropped = listener.of(str(query.runId))
+    finally:
+        streams.removeListener(listener)
     if dropped and not allow_late:
         raise LateRows(f"{dropped} rows came after the watermark; see {checkpoint}")
     return dropped

@@ -116,6 +116,58 @@ def test_later_rows_are_counted_or_kept_apart(spark, folder):
     assert sinks.run_available(again, f"{folder}/out2", f"{folder}/check2") == 0
 
 
+def test_late_rows_of_early_batches_count_too(spark, folder):
+    """A query remembers its last batches only; the late row is in the fourth of twelve."""
+    times = ["01 10:00", "03 10:00", "03 11:00", "01 11:00"] + [f"{k:02d} 10:00" for k in range(4, 12)]
+    frame = observations(spark, [("e", "c", "x", 100 + k, f"2024-01-{t}", "s") for k, t in enumerate(times)])
+    write_parts(frame, f"{folder}/in", parts=12, size=1)
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(kept, 3)
+    try:
+        changes = ops.stream_changes(stream_of(spark, frame, f"{folder}/in"), RULES, "1 hour")
+        with pytest.raises(sinks.LateRows):
+            sinks.run_available(changes, f"{folder}/out", f"{folder}/check")
+        again = ops.stream_changes(stream_of(spark, frame, f"{folder}/in"), RULES, "1 hour")
+        assert sinks.run_available(again, f"{folder}/out2", f"{folder}/check2", allow_late=True) >= 1
+    finally:
+        spark.conf.unset(kept)
+
+
+@pytest.mark.parametrize("slice_seconds", [9000, 10**6])
+def test_slices_of_any_length_give_the_same_changes(spark, day, folder, slice_seconds):
+    admission.replay(day, f"{folder}/in", days=1)
+    admission.close(spark, f"{folder}/in", day.schema)
+    stream = stream_of(spark, day, f"{folder}/in")
+    changes = ops.stream_changes(stream, RULES, "1 day", slice_seconds)
+    sinks.run_available(changes, f"{folder}/out", f"{folder}/check")
+    got = sinks.read_batches(spark, f"{folder}/out", changes.schema)
+    assert rows(got, *COLUMNS) == rows(C.change_events(day, RULES), *COLUMNS)
+
+
+@pytest.mark.parametrize("gap", [600, None])
+def test_changes_with_other_gaps(spark, day, folder, gap):
+    """Without a gap the state holds the last price for ever; a gap of nothing pairs equal times."""
+    rules = ChangeRules(None, None, None, gap)
+    admission.replay(day, f"{folder}/in", days=1)
+    admission.close(spark, f"{folder}/in", day.schema)
+    changes = ops.stream_changes(stream_of(spark, day, f"{folder}/in"), rules, "1 day")
+    sinks.run_available(changes, f"{folder}/out", f"{folder}/check")
+    got = sinks.read_batches(spark, f"{folder}/out", changes.schema)
+    assert rows(got, *COLUMNS) == rows(C.change_events(day, rules), *COLUMNS)
+
+
+def test_rows_without_a_time_are_kept_as_late(spark, folder):
+    frame = observations(spark, [("e", "c", "x", k, "2024-01-01 10:00", "s") for k in (1, 2)])
+    frame = frame.withColumn("observed_at", F.expr("if(price = 2, null, observed_at)"))
+    frame.write.parquet(f"{folder}/in")
+    for _ in range(2):  # nothing new the second time
+        admitted, late = admission.admit(
+            stream_of(spark, frame, f"{folder}/in"), f"{folder}/admission", f"{folder}/check", 3600
+        )
+        assert rows(sinks.read_batches(spark, late, frame.schema), "price") == [(2,)]
+        assert rows(sinks.read_batches(spark, admitted, frame.schema), "price") == [(1,)]
+
+
 def test_a_replayed_backlog_comes_in_order(spark, day, folder):
     assert admission.replay(day.repartition(7), f"{folder}/in", days=1) == 3
     got = changes_of(spark, day, folder, "1 day")
