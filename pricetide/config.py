@@ -114,6 +114,25 @@ class SlotRules:
     min_gap_minutes: int = 60
 
 
+# The metric tables and the measure that a checksum adds up.
+MEASURES: dict[str, str] = {
+    "stability_score": "cv_pct",
+    "rain_premium": "rpi",
+    "weekend_premium": "wpi",
+    "temperature_effect": "temp_effect_score",
+    "category_sensitivity": "sensitivity_score",
+    "hourly_overall": "avg_price_change_pct",
+    "hourly_per_entity": "avg_price_change_pct",
+    "hourly_peak": "peak_change_pct",
+    "peak_offpeak": "avg_price_change_pct",
+    "sync_pairs_all": "correlation",
+    "sync_pairs_rain": "correlation",
+    "dynamic_pricing_index": "dpi",
+    "entity_condition_price": "avg_price",
+    "market_condition_price": "avg_price",
+    "category_hour_heatmap": "avg_price",
+}
+
 # Dish types in order of precedence and the keywords naming them.
 DISH_TYPES: tuple[tuple[str, str], ...] = (
     ("Combo", r"combo|meal|platter|thali"),

@@ -9,8 +9,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricetide.config import SlotRules
+from pricetide.config import SkewRules, SlotRules
 from pricetide.functions import scalars as S
+from pricetide.operators import skew
 from pricetide.session import materialise
 
 
@@ -74,14 +75,19 @@ def next_slot(rows: DataFrame, at: str, rules: SlotRules = SlotRules()) -> DataF
     )
 
 
-def min_gap_thinning(runs: DataFrame, rules: SlotRules = SlotRules()) -> DataFrame:
+def min_gap_thinning(
+    runs: DataFrame, rules: SlotRules = SlotRules(), skew_rules: SkewRules = SkewRules()
+) -> DataFrame:
     """Keep a run only if enough time passed since the last *kept* run ended.
 
     ``runs`` has ``entity, started_at, ended_at``.  Times count as they are; only the
     time between two runs is cut to whole minutes, all of it, also beyond a day.  Of
-    runs that start together the one that ends first comes first.  The greedy choice
-    is sequential by nature.  It goes over the sorted rows of a partition batch by
-    batch, holding one number, and jumps from kept run to kept run.
+    runs that start together the one that ends first comes first.
+
+    The greedy choice is sequential, but only within an island: a run that starts the gap or
+    more after the end of *all* runs before it is kept whatever was kept of those.  Spark cuts an
+    entity there, the greatest end being handed on over time slices of hot entities, and
+    islands are thinned apart, batch by batch, jumping from kept run to kept run.
     """
     micros = runs.select(
         "entity",
@@ -91,6 +97,14 @@ def min_gap_thinning(runs: DataFrame, rules: SlotRules = SlotRules()) -> DataFra
         "ended_at",
     ).where("start is not null and end is not null")
     gap = rules.min_gap_minutes * 60_000_000
+    order = ("start", "end")
+    sliced = skew.add_slices(micros, ["entity"], "start", skew_rules)
+    known = skew.running_max_before(sliced, ["entity"], order, "end", "busy_until").withColumn(
+        "opens", F.expr(f"if(busy_until is null or start >= busy_until + {gap}, start, null)")
+    )
+    islands = skew.running_max_before(known, ["entity"], order, "opens", "opened").select(
+        "entity", F.coalesce("opens", "opened").alias("island"), "start", "end", "started_at", "ended_at"
+    )
 
     def thin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, free = None, None
@@ -98,12 +112,12 @@ def min_gap_thinning(runs: DataFrame, rules: SlotRules = SlotRules()) -> DataFra
             if batch.empty:
                 continue
             entity, known = batch["entity"].to_numpy(), batch["entity"].notna().to_numpy()
-            start, end = batch["start"].to_numpy(), batch["end"].to_numpy()
-            changes = (entity[1:] != entity[:-1]) & (known[1:] | known[:-1])
+            island, start, end = (batch[c].to_numpy() for c in ("island", "start", "end"))
+            changes = (entity[1:] != entity[:-1]) & (known[1:] | known[:-1]) | (island[1:] != island[:-1])
             edges = [0, *(np.flatnonzero(changes) + 1), len(batch)]
             keep = np.zeros(len(batch), dtype=bool)
             for low, high in zip(edges, edges[1:]):
-                here = (known[low], entity[low] if known[low] else None)
+                here = (known[low], entity[low] if known[low] else None, island[low])
                 if here != current:
                     current, free = here, start[low]
                 i = low + int(np.searchsorted(start[low:high], free))
@@ -114,9 +128,9 @@ def min_gap_thinning(runs: DataFrame, rules: SlotRules = SlotRules()) -> DataFra
             yield batch[keep]
 
     return (
-        micros.repartition("entity")
-        .sortWithinPartitions("entity", "start", "end")
-        .mapInPandas(thin, micros.schema)
+        islands.repartition("entity", "island")
+        .sortWithinPartitions("entity", "island", "start", "end")
+        .mapInPandas(thin, islands.schema)
         .select("entity", "started_at", "ended_at")
     )
 

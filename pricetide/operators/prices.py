@@ -16,33 +16,42 @@ def _mean_price(digits: int):
     return S.half_up(F.avg("price"), digits).alias("avg_price")
 
 
+def _per_session(observations: DataFrame, *keys: str) -> DataFrame:
+    """``total``, ``priced`` and ``n`` of each key and session: what is joined to readings."""
+    return observations.groupBy(*keys, "session_id").agg(
+        F.sum(F.col("price").cast("double")).alias("total"),
+        F.count("price").alias("priced"),
+        F.count("*").alias("n"),
+    )
+
+
+def _mean_of_sums(digits: int):
+    mean = F.sum("total") / F.nullif(F.sum("priced"), F.lit(0))
+    return S.half_up(mean, digits).alias("avg_price")
+
+
 def entity_condition_price(observations: DataFrame, conditions: DataFrame) -> DataFrame:
     """Mean price of each entity in rain and in dry weather.
 
     An inner join: observations without a reading are left out, and a session
-    read twice counts twice.
+    read twice counts twice.  Prices are summed per entity and session before the join, so
+    observations themselves are never shuffled.
     """
     return (
-        observations.select("entity", "price", "session_id")
+        _per_session(observations, "entity")
         .join(conditions.select("session_id", "is_rainy"), "session_id")
         .groupBy("entity", S.rain_label(F.col("is_rainy")).alias("weather_condition"))
-        .agg(_mean_price(0), F.count("*").alias("observation_count"))
+        .agg(_mean_of_sums(0), F.sum("n").alias("observation_count"))
     )
 
 
 def market_condition_price(observations: DataFrame, conditions: DataFrame) -> DataFrame:
-    """The same over the whole market; prices are summed per session before the join."""
-    sessions = observations.groupBy("session_id").agg(
-        F.sum(F.col("price").cast("double")).alias("total"), F.count("price").alias("priced"),
-        F.count("*").alias("n"),
-    )
+    """The same over the whole market."""
     return (
-        sessions.join(conditions.select("session_id", "is_rainy"), "session_id")
+        _per_session(observations)
+        .join(conditions.select("session_id", "is_rainy"), "session_id")
         .groupBy(S.rain_label(F.col("is_rainy")).alias("weather_condition"))
-        .agg(
-            S.half_up(F.sum("total") / F.nullif(F.sum("priced"), F.lit(0)), 0).alias("avg_price"),
-            F.sum("n").alias("observation_count"),
-        )
+        .agg(_mean_of_sums(0), F.sum("n").alias("observation_count"))
     )
 
 
@@ -94,12 +103,12 @@ def band_summary(
 def entity_band_price(
     observations: DataFrame, conditions: DataFrame, bands: BandRules = BandRules()
 ) -> DataFrame:
-    narrow = observations.select(*ENTITY_KEYS, "price", "session_id")
+    """Number and mean of prices per entity and band, summed per session before the join."""
     return (
-        with_conditions(narrow, conditions, bands)
+        with_conditions(_per_session(observations, *ENTITY_KEYS), conditions, bands)
         .where(F.col("temperature_band").isNotNull())
         .groupBy(*ENTITY_KEYS, "temperature_band")
-        .agg(F.count("*").alias("total_records"), _mean_price(2))
+        .agg(F.sum("n").alias("total_records"), _mean_of_sums(2))
     )
 
 

@@ -120,3 +120,32 @@ def running_total_before(
         .where(F.col(CARRY).isNull())
         .drop("_amount", SLICE, CARRY)
     )
+
+
+def running_max_before(
+    sliced: DataFrame, keys: Sequence[str], order: Sequence[str], amount: str, name: str
+) -> DataFrame:
+    """Add ``name``: the greatest ``amount`` of the rows of the key ordered before, NULL if there is none.
+
+    ``sliced`` comes from :func:`add_slices`, whose slices follow the first of ``order``, which is
+    not NULL.  The slices of a hot key hand on their maximum in one row each.
+    """
+    earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        sliced.where(F.col(SLICE).isNotNull())
+        .groupBy(*keys, SLICE)
+        .agg(F.max(amount).alias(amount))
+        .withColumn(amount, F.max(amount).over(earlier))
+        .withColumn(CARRY, F.lit(True))
+    )
+    before = (
+        Window.partitionBy(*keys, SLICE)
+        .orderBy(*[F.col(c).asc_nulls_first() for c in order])
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    return (
+        sliced.unionByName(carried, allowMissingColumns=True)
+        .withColumn(name, F.max(amount).over(before))
+        .where(F.col(CARRY).isNull())
+        .drop(CARRY)
+    )

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricetide.config import ChangeRules, IndexRules
+from pricetide.config import MEASURES, ChangeRules, IndexRules
 from pricetide.functions import scalars as S
 from pricetide.operators import (
     changes as C,
@@ -23,8 +24,8 @@ from pricetide.operators import (
 )
 from pricetide.plans import adapters as A
 from pricetide.plans import reads
-from pricetide.plans.refresh import refresh
-from pricetide.session import materialise, scratch_dir
+from pricetide.plans.refresh import metric_tables, refresh
+from pricetide.session import materialise, scratch_dir, write_text
 from pricetide.sources import captures, publish, readers, writers
 from pricetide.streaming import admission, sinks
 from pricetide.streaming import operators as stream_ops
@@ -497,6 +498,39 @@ def run_status(spark, sf_dir):
     return coverage.run_status(_log(spark, sf_dir))
 
 
+@query
+def run_log_status(spark, sf_dir):
+    """Run-log files of twenty stations, written and read back, with an empty and a broken one."""
+    path = scratch_dir(spark, "logs")
+    log = _log(spark, sf_dir).withColumn("station", F.col("entity") % 20).drop("entity")
+    recent = coverage.recent_runs(log, 10, ["station"])
+    entry = F.struct(
+        "position",
+        "status",
+        F.col("session_id").cast("string").alias("session_id"),
+        F.date_format("time", "yyyy-MM-dd HH:mm").alias("time"),
+        "duration_minutes",
+    )
+    logs = F.transform(
+        F.sort_array("entries"), lambda x: F.struct(*(x[c].alias(c) for c in ("status", "session_id", "time", "duration_minutes")))
+    )
+    newest = F.element_at(logs, 1)
+    state = F.struct(
+        newest["status"].alias("last_status"),
+        newest["session_id"].alias("last_session_id"),
+        newest["time"].alias("last_scrape_time"),
+        newest["duration_minutes"].alias("last_duration_minutes"),
+        F.size(logs).alias("restaurants_scraped"),
+        F.when(newest["status"] != "success", "timeout").alias("last_error_type"),
+        logs.alias("recent_logs"),
+    )
+    written = recent.groupBy("station").agg(F.collect_list(entry).alias("entries"))
+    written.select("station", F.to_json(state).alias("value")).write.partitionBy("station").text(path)
+    write_text(spark, f"{path}/station=empty/log.txt", "\n")
+    write_text(spark, f"{path}/station=broken/log.txt", '{"last_status": "succ')
+    return readers.run_status_files(spark, path, "station=([^/]+)/")
+
+
 @query
 def keep_last_dedupe(spark, sf_dir):
     """The last price of an item in each session of an entity."""
@@ -571,6 +605,26 @@ def nested_price_extract(spark, sf_dir):
     return captures.extract_prices(A.embedded_pages(A.table(spark, sf_dir, "pages")))
 
 
+@query
+def page_faults(spark, sf_dir):
+    """Items and faults of captured pages: in turn sound, cut off, too deep, and too dear."""
+    deep = '{"name": "top", "price": 5, "rest": ' + "[" * 20 + '{"name": "low", "price": 7}' + "]" * 20 + "}"
+    kind = F.col("page_id") % 4
+    state = (
+        F.when(kind == 0, F.to_json(F.struct(F.col("url").alias("name"), (F.col("page_id") + 1).alias("price"))))
+        .when(kind == 1, F.lit('{"name": "cut", "price": 1'))
+        .when(kind == 2, F.lit(deep))
+        .otherwise(F.lit('[{"name": "dear", "price": 1e30}, {"name": "cheap", "price": 2.5}]'))
+    )
+    pages = A.table(spark, sf_dir, "pages")
+    captured = pages.select("page_id", captures.embed_state(F.col("html"), state).alias("html"))
+    return (
+        captures.walk_pages(captured)
+        .groupBy("page_id")
+        .agg(F.count("item").alias("items"), F.sum("price").alias("total"), F.max("reason").alias("reason"))
+    )
+
+
 # ------------------------------------------------------------ files and tables
 
 
@@ -612,17 +666,35 @@ def conditions_roundtrip(spark, sf_dir):
     return readers.read_conditions_csv(spark, path)
 
 
+#: Those that are exported as files too: all but the price levels.
+EXPORTED = list(MEASURES)[:12]
+
+
+def _summed_up(tables: dict[str, DataFrame]) -> DataFrame:
+    """Name, rows and checksum of each table."""
+    parts = [
+        table.agg(
+            F.lit(name).alias("name"),
+            F.count(F.lit(1)).alias("n"),
+            F.coalesce(F.sum(F.round(F.col(MEASURES[name]) * 10_000).cast("long")), F.lit(0)).alias("checksum"),
+        )
+        for name, table in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def csv_export(spark, sf_dir):
-    """Metric tables exported as CSV folders; one of them read back."""
+    """The twelve metric tables exported as CSV folders and read back."""
     m = market(spark, sf_dir)
-    tables = {
-        "hourly_overall": hourly.hourly_overall(m.base, m.changes),
-        "category_sensitivity": metrics.category_sensitivity(m.base, m.changes),
-    }
-    written = writers.export_csv(tables, scratch_dir(spark, "export"))
-    name = "category_sensitivity"
-    return spark.read.schema(tables[name].schema).option("header", True).csv(written[name])
+    tables = metric_tables(m.observations, m.conditions, A.RELAXED)
+    written = writers.export_csv({name: tables[name] for name in EXPORTED}, scratch_dir(spark, "export"))
+    return _summed_up(
+        {
+            name: spark.read.schema(tables[name].schema).option("header", True).csv(path)
+            for name, path in written.items()
+        }
+    )
 
 
 @query
@@ -639,25 +711,22 @@ def append_by_day(spark, sf_dir):
 
 @query
 def schema_backfill(spark, sf_dir):
-    """Older rows written before a column existed, read together with newer ones."""
+    """Older files, written before a column existed, read together with newer ones."""
+    path = scratch_dir(spark, "grown")
     observations = market(spark, sf_dir).observations
     older = observations.where("observed_at < timestamp_ntz'2024-01-15'").drop("session_id")
-    newer = observations.where("observed_at >= timestamp_ntz'2024-01-15'")
-    both = readers.with_missing_columns(older, observations.schema).unionByName(newer)
-    return both.select("ordinal", "entity", "price", "session_id")
+    older.write.parquet(f"{path}/part=1")
+    observations.where("observed_at >= timestamp_ntz'2024-01-15'").write.parquet(f"{path}/part=2")
+    return readers.read_grown_table(spark, path).select("ordinal", "entity", "price", "session_id")
 
 
-def _published(spark, sf_dir, name: str) -> DataFrame:
+@query
+def publish_set(spark, sf_dir):
+    """All fifteen metric tables computed and published as one set, and read back."""
     m = market(spark, sf_dir)
     root = scratch_dir(spark, "published")
     refresh(spark, m.observations, m.conditions, root, A.RELAXED)
-    return publish.read_published(spark, root, name)
-
-
-@query
-def publish_set(spark, sf_dir):
-    """All metric tables computed and published as one set; the index read back."""
-    return _published(spark, sf_dir, "dynamic_pricing_index")
+    return _summed_up({name: publish.read_published(spark, root, name) for name in MEASURES})
 
 
 # ------------------------------------------------------------ streams
@@ -753,6 +822,35 @@ def stream_alerts(spark, sf_dir):
     )
 
 
+@query
+def stream_ingest(spark, sf_dir):
+    """Price files with broken lines, prices and times taken in as a stream; each line accounted for."""
+    path, out = scratch_dir(spark, "arrivals"), scratch_dir(spark, "ingested")
+    fields = F.concat_ws(
+        ",",
+        F.concat(F.lit("user "), "user_id"),
+        F.lit("snacks"),
+        "event_type",
+        F.when(F.col("event_id") % 7 == 0, "n/a").otherwise(F.concat(F.lit("₹"), F.floor("value").cast("string"))),
+        F.when(F.col("event_id") % 11 == 1, "soon").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm")),
+        F.date_format("ts", "yyyyMMdd_HHmm"),
+    )
+    short = F.concat(F.lit("user "), "user_id", F.lit(",cut"))
+    A.table(spark, sf_dir, "events").select(
+        F.when(F.col("event_id") % 13 == 2, short).otherwise(fields).alias("value")
+    ).write.text(path)
+    streams.ingest_prices(spark, path, out, f"{out}-checkpoint", header=False)
+    accepted = streams.read_ingested(spark, out, rejected=False).withColumn("reason", F.lit("accepted"))
+    rejected = streams.read_ingested(spark, out, rejected=True)
+    columns = ["entity", "reason", "price", "observed_at"]
+    return (
+        accepted.select(columns)
+        .unionByName(rejected.select(columns))
+        .groupBy("entity", "reason")
+        .agg(F.count("*").alias("n"), F.sum("price").alias("total"), F.max("observed_at").alias("last_at"))
+    )
+
+
 @query
 def stream_join(spark, sf_dir):
     """Observations and readings, both as streams, joined on the session."""

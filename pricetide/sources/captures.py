@@ -24,20 +24,31 @@ WEATHER_PAYLOAD = (
 )
 
 
+#: A price from here on has no place in a long.
+PRICE_END = 2**63
+
+
 def _number(value) -> bool:
-    return isinstance(value, (int, float)) and not isinstance(value, bool) and 0 < value < 2**63
+    return isinstance(value, (int, float)) and not isinstance(value, bool) and value > 0
 
 
-def priced_objects(state) -> Iterator[tuple[str, int]]:
+def priced_objects(state, max_depth: int = MAX_DEPTH, faults: set | None = None) -> Iterator[tuple[str, int]]:
     """(name, price) of every object holding both, parents before children.
 
-    Of several matching keys in one object the last in the document counts.
+    Of several matching keys in one object the last in the document counts.  What is left
+    out is noted in ``faults``: ``depth`` for lists and objects below ``max_depth``, ``price`` for
+    prices beyond a long.
     """
+    faults = set() if faults is None else faults
     pending = [(state, 0)]
     while pending:
         node, depth = pending.pop()
-        if depth > MAX_DEPTH:
+        if not isinstance(node, (dict, list)):
             continue
+        if depth > max_depth:
+            faults.add("depth")
+            continue
+        children = node
         if isinstance(node, dict):
             name = price = None
             for key, value in node.items():
@@ -45,48 +56,64 @@ def priced_objects(state) -> Iterator[tuple[str, int]]:
                 if key in NAME_KEYS and isinstance(value, str) and value:
                     name = value
                 elif key in PRICE_KEYS and _number(value):
-                    price = int(value)
+                    if value < PRICE_END:
+                        price = int(value)
+                    else:
+                        faults.add("price")
             if name is not None and price is not None:
                 yield name, price
             children = list(node.values())
-        elif isinstance(node, list):
-            children = node
-        else:
-            continue
         pending.extend((child, depth + 1) for child in reversed(children))
 
 
 def _decode(escaped: str):
-    """The page state behind a JSON string literal; None where it is not one."""
-    try:
-        return json.loads(json.loads(f'"{escaped}"', strict=False), strict=False)
-    except (ValueError, RecursionError):
-        return None
+    """The page state behind a JSON string literal; an error where it is not one."""
+    return json.loads(json.loads(f'"{escaped}"', strict=False), strict=False)
 
 
-def extract_prices(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """Name and price pairs of each page, numbered in document order.
+def walk_pages(
+    pages: DataFrame, key: str = "page_id", html: str = "html", max_depth: int = MAX_DEPTH
+) -> DataFrame:
+    """What each page with a state holds: ``ordinal, item, price`` per priced object, and its faults.
 
-    The state is cut out by Spark, so Python sees only pages that have one and of
-    those only the state.
+    A fault is a row of its own with a ``reason``: ``state`` for one that cannot be read, ``depth`` and
+    ``price`` as in :func:`priced_objects`.  The state is cut out by Spark, so Python sees only
+    pages that have one and of those only the state.
     """
     states = pages.select(
         F.col(key), F.regexp_extract(html, STATE_PATTERN, 1).alias("state")
     ).where(F.col("state") != "")
-    schema = f"{key} {pages.schema[key].dataType.simpleString()}, ordinal int, item string, price long"
+    kind = pages.schema[key].dataType.simpleString()
+    schema = f"{key} {kind}, ordinal int, item string, price long, reason string"
+
+    def found(page, state) -> Iterator[tuple]:
+        faults: set[str] = set()
+        try:
+            decoded = _decode(state)
+        except (ValueError, RecursionError):
+            faults.add("state")
+        else:
+            for number, (name, price) in enumerate(priced_objects(decoded, max_depth, faults)):
+                yield page, number, name, price, None
+        for fault in sorted(faults):
+            yield page, None, None, None, fault
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [
-                (page, number, name, price)
-                for page, state in zip(batch[key], batch["state"])
-                for number, (name, price) in enumerate(priced_objects(_decode(state)))
-            ]
-            yield pd.DataFrame(rows, columns=[key, "ordinal", "item", "price"])
+            rows = [row for page, state in zip(batch[key], batch["state"]) for row in found(page, state)]
+            frame = pd.DataFrame(rows, columns=[key, "ordinal", "item", "price", "reason"])
+            yield frame.astype({"ordinal": "Int32", "price": "Int64"})
 
     return states.mapInPandas(walk, schema)
 
 
+def extract_prices(
+    pages: DataFrame, key: str = "page_id", html: str = "html", max_depth: int = MAX_DEPTH
+) -> DataFrame:
+    """Name and price pairs of each page, numbered in document order."""
+    return walk_pages(pages, key, html, max_depth).where("reason is null").drop("reason")
+
+
 def embed_state(html, state_json):
     """Column expression: a page with ``state_json`` embedded as page state."""
     escaped = F.replace(

@@ -121,6 +121,57 @@ def rejected_prices(cleaned: DataFrame) -> DataFrame:
     return cleaned.where("rejected").drop("rejected")
 
 
+def with_reject_reason(raw: DataFrame, malformed: str) -> DataFrame:
+    """Cleaned rows, all of them, with ``rejected`` and the ``reason``: malformed, price or time.
+
+    ``price_text`` and ``time_text`` keep what was captured.
+    """
+    cleaned = clean_prices(
+        raw.withColumns({"price_text": F.col("price"), "time_text": F.col("scraped_at")})
+    )
+    reason = (
+        F.when(F.col(malformed).isNotNull(), "malformed")
+        .when(F.col("price").isNull(), "price")
+        .when(F.col("observed_at").isNull(), "time")
+    )
+    return cleaned.withColumn("reason", reason).withColumn("rejected", F.col("reason").isNotNull())
+
+
+def run_status_files(spark: SparkSession, path: str, name: str = "([^/]+)$") -> DataFrame:
+    """The state that each run-log file tells of, a row per file below ``path``.
+
+    ``source`` is what ``name`` finds in the file's path.  ``state`` is ``ok``, ``empty`` or
+    ``broken``; of files that are not ``ok`` the rest is NULL.  ``entries`` and ``successes`` count the
+    recent logs, none of which may be there.  A file of white space is ``empty``; one of no
+    bytes at all is not listed by Spark and has no row.
+    """
+    schema = T.StructType([*RUN_LOG.fields, T.StructField("_broken", T.StringType())])
+    logs = (
+        spark.read.schema(schema)
+        .option("multiLine", True)
+        .option("columnNameOfCorruptRecord", "_broken")
+        .option("recursiveFileLookup", True)
+        .json(path)
+        .select("*", F.col("_metadata.file_path").alias("file"))
+    )
+    # names only: no content is read here
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    same = F.regexp_replace("path", "^file:/+", "/") == F.regexp_replace("file", "^file:/+", "/")
+    state = F.when(F.col("file").isNull(), "empty").when(
+        F.col("_broken").isNotNull(), "broken"
+    )
+    scalars = [f.name for f in RUN_LOG.fields if f.name != "recent_logs"]
+    entries = F.coalesce(F.size("recent_logs"), F.lit(0))
+    good = F.size(F.filter("recent_logs", lambda x: x["status"] == "success"))
+    return files.join(logs, same, "left").select(
+        F.regexp_extract("path", name, 1).alias("source"),
+        F.coalesce(state, F.lit("ok")).alias("state"),
+        *scalars,
+        F.when(state.isNull(), F.greatest(entries, F.lit(0))).alias("entries"),
+        F.when(state.isNull(), F.greatest(F.coalesce(good, F.lit(0)), F.lit(0))).alias("successes"),
+    )
+
+
 def read_run_log(spark: SparkSession, path) -> DataFrame:
     """Run logs, one row per log entry; a missing or broken file gives no rows."""
     if path_exists(spark, path):
@@ -163,3 +214,8 @@ def with_missing_columns(older: DataFrame, schema: T.StructType) -> DataFrame:
     """Bring older data to ``schema``: absent columns become NULL."""
     empty = older.sparkSession.createDataFrame([], schema)
     return empty.unionByName(older, allowMissingColumns=True)
+
+
+def read_grown_table(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet files of different ages; columns that older files lack are NULL in their rows."""
+    return spark.read.option("mergeSchema", True).parquet(path)

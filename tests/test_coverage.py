@@ -1,7 +1,9 @@
 import datetime as dt
 import random
 
-from pricetide.config import SlotRules
+import pytest
+
+from pricetide.config import SkewRules, SlotRules
 from pricetide.operators import coverage
 from tests.frames import at, observations, rows
 
@@ -46,12 +48,12 @@ def greedy(runs, gap):
     return kept
 
 
-def thinned(spark, runs):
+def thinned(spark, runs, **rules):
     frame = spark.createDataFrame(
         [(e, s, t) for e, data in runs.items() for s, t in data],
         "entity string, started_at timestamp_ntz, ended_at timestamp_ntz",
     )
-    got = coverage.min_gap_thinning(frame).collect()
+    got = coverage.min_gap_thinning(frame, **rules).collect()
     return {e: sorted((r["started_at"], r["ended_at"]) for r in got if r["entity"] == e) for e in runs}
 
 
@@ -66,6 +68,20 @@ def test_thinning_against_brute_force(spark):
     assert thinned(spark, runs) == {e: greedy(data, 60) for e, data in runs.items()}
 
 
+@pytest.mark.parametrize("gap, hot", [(60, 100), (5, 50), (600, 100)])
+def test_thinning_of_a_cut_entity(spark, gap, hot):
+    """Islands and slices do not show in the result; long runs reach over many slices."""
+    chance = random.Random(gap)
+    base = at("2024-01-01 00:00")
+    runs = {"hot": [], "b": []}
+    for k in range(400):
+        start = base + dt.timedelta(minutes=chance.randrange(0, 20_000))
+        length = 3000 if k % 100 == 0 else chance.randrange(0, 40)
+        runs["hot" if k % 8 else "b"].append((start, start + dt.timedelta(minutes=length)))
+    got = thinned(spark, runs, rules=SlotRules(min_gap_minutes=gap), skew_rules=SkewRules(hot, 20))
+    assert got == {e: greedy(data, gap) for e, data in runs.items()}
+
+
 def test_thinning_counts_seconds_and_keeps_runs_of_one_minute_apart(spark):
     base = at("2024-01-01 10:00")
 

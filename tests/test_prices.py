@@ -99,3 +99,18 @@ def test_keep_last(spark):
     )
     got = rows(prices.keep_last(frame, ["session", "item"], "ordinal"))
     assert sorted(got, key=repr) == sorted([("s", "x", 3, 7), ("s", None, 1, 9)], key=repr)
+
+
+def test_only_sums_are_shuffled(seen, readings):
+    """Below every exchange of observations there is an aggregate."""
+    for table in (
+        prices.entity_condition_price(seen, readings),
+        prices.market_condition_price(seen, readings),
+        prices.entity_band_price(seen, readings),
+    ):
+        plan = table._jdf.queryExecution().optimizedPlan().toString()
+        join = plan.index("Join")
+        assert plan.index("sum(price", join) and "Aggregate" in plan[join:]
+    shuffled = prices.entity_condition_price(seen, readings)._jdf.queryExecution().executedPlan().toString()
+    lines = [x for x in shuffled.splitlines() if "Exchange hashpartitioning(entity" in x or "partial_sum(price" in x]
+    assert any("partial_sum(price" in x for x in lines)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pricetide.operators.prices import keep_last
 from pricetide.sources import captures, publish, readers, writers
 from pricetide.session import materialise, scratch_dir
-from tests.frames import at, observations, rows
+from tests.frames import at, conditions, observations, rows
 
 
 def test_price_files(spark, folder):
@@ -48,6 +48,58 @@ def test_run_log(spark, folder):
     assert readers.read_run_log(spark, path).count() == 0
 
 
+def test_status_of_run_log_files(spark, folder):
+    entry = {"status": "success", "session_id": "s2", "time": "t", "duration_minutes": 24}
+    os.makedirs(f"{folder}/logs/a")
+    for name, text in {
+        "a/x": json.dumps({"last_status": "failed", "last_session_id": "s3", "last_scrape_time": "t3",
+                           "last_duration_minutes": 3, "restaurants_scraped": 19, "last_error_type": "timeout",
+                           "recent_logs": [entry, entry, {**entry, "status": "failed"}]}, indent=2),
+        "y": json.dumps({"last_status": "success", "recent_logs": []}),
+        "z": json.dumps({"last_status": "success"}),
+        "broken": "{broken",
+        "blank": " \n",
+    }.items():
+        with open(f"{folder}/logs/{name}.json", "w", encoding="utf-8") as f:
+            f.write(text)
+    got = {tuple(r)[0]: tuple(r)[1:] for r in readers.run_status_files(spark, f"{folder}/logs", "/([a-z]+).json").collect()}
+    assert got == {
+        "x": ("ok", "failed", "s3", "t3", 3, 19, "timeout", 3, 2),
+        "y": ("ok", "success", None, None, None, None, None, 0, 0),
+        "z": ("ok", "success", None, None, None, None, None, 0, 0),
+        "broken": ("broken", *[None] * 8),
+        "blank": ("empty", *[None] * 8),
+    }
+
+
+def test_appended_conditions_and_older_files(spark, folder):
+    readings = conditions(spark, [("s1", True, 20.0, "2024-01-01 10:00"), ("s2", False, 25.0, "2024-01-02 10:00")])
+    path = f"{folder}/conditions"
+    assert not writers.append_batch(readings.limit(0), path, "recorded_at")
+    for _ in range(2):
+        assert writers.append_batch(readings, path, "recorded_at")
+    assert spark.read.parquet(path).where("obs_date = '2024-01-02'").count() == 2
+    readings.drop("temperature").write.parquet(f"{folder}/grown/part=1")
+    readings.write.parquet(f"{folder}/grown/part=2")
+    grown = readers.read_grown_table(spark, f"{folder}/grown")
+    assert rows(grown, "session_id", "temperature") == rows(
+        readings.select("session_id", "temperature").union(readings.selectExpr("session_id", "cast(null as double)"))
+    )
+
+
+def test_faults_of_pages(spark):
+    deep = '{"name": "top", "price": 5, "rest": [[[{"name": "low", "price": 7}]]]}'
+    states = {0: deep, 1: '{"name": "cut"', 2: '{"name": "dear", "price": 1e400}', 3: '[{"name": "a", "price": true}]'}
+    pages = spark.createDataFrame(list(states.items()), "page_id long, state string").select(
+        "page_id", captures.embed_state(F.lit("<html>"), F.col("state")).alias("html")
+    )
+    pages = pages.union(spark.createDataFrame([(4, "<html>"), (5, None)], "page_id long, html string"))
+    assert rows(captures.walk_pages(pages, max_depth=3)) == sorted(
+        [(0, 0, "top", 5, None), (0, None, None, None, "depth"), (1, None, None, None, "state"),
+         (2, None, None, None, "price")], key=repr)
+    assert rows(captures.extract_prices(pages)) == [(0, 0, "top", 5), (0, 1, "low", 7)]
+
+
 def test_append_and_backfill(spark, folder):
     new = observations(spark, [("a", "c", "x", 1, "2024-01-01 10:00", "s1"),
                                ("a", "c", "x", 2, "2024-01-02 10:00", "s2")])

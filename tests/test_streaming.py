@@ -258,6 +258,23 @@ def test_price_files_as_a_stream(spark, folder):
     assert rows(got, "entity", "price") == [("A", 120)]
 
 
+def test_every_line_of_a_price_file_is_accounted_for(spark, folder):
+    lines = ["A,rolls,Roll,₹120,2024-01-01 10:05,s1", "A,rolls,Tea,free,2024-01-01 10:05,s1", "A,rolls",
+             "A,rolls,Tea,₹10,soon,s1", "A,rolls,Tea,₹10,2024-01-01 10:05,s1,more"]
+    for day in (1, 2):
+        with open(f"{folder}/{day}.csv", "w", encoding="utf-8") as f:
+            f.write("restaurant,category,item_name,price,scraped_at,scrape_session_id\n" + "\n".join(lines) + "\n")
+        for _ in range(2):  # nothing new the second time
+            sources.ingest_prices(spark, f"{folder}/*.csv", f"{folder}/out", f"{folder}/check")
+        accepted = sources.read_ingested(spark, f"{folder}/out", rejected=False)
+        rejected = sources.read_ingested(spark, f"{folder}/out", rejected=True)
+        assert rows(accepted, "item", "price") == [("Roll", 120)] * day
+        want = [("malformed", "₹10", lines[4]), ("malformed", None, lines[2]), ("price", "free", None), ("time", "₹10", None)]
+        assert rows(rejected, "reason", "price_text", "_malformed") == sorted(want * day, key=repr)
+    assert "reason" not in accepted.columns and "price_text" not in accepted.columns
+    assert sources.read_ingested(spark, f"{folder}/nothing", rejected=True).count() == 0
+
+
 def test_new_data_with_a_new_checkpoint_is_kept(spark, folder):
     for part, n in (("one", 5), ("two", 7)):
         spark.range(n).write.parquet(f"{folder}/{part}")
