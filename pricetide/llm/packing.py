@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricetide.llm.common import stored, tidy
-from pricetide.llm.tokens import encoder
+from pricetide.llm.tokens import encoder, portions
 
 
 @dataclass(frozen=True)
@@ -37,7 +37,6 @@ class PackRules:
     gap: float = 0.001
     max_columns: int = 1500
     salts: int = 128
-    texts_at_once: int = 256
 
     def __post_init__(self) -> None:
         if self.capacity % self.grain:
@@ -176,8 +175,7 @@ def cut_documents(docs: DataFrame, rules: PackRules, keep: list[str] | None = No
         encode = encoder(rules.tokenizer, "<u4").encode
         for batch in batches:
             names, texts = batch.column(0).to_pylist(), batch.column(1)
-            for at in range(0, len(names), rules.texts_at_once):
-                some = [x or "" for x in texts.slice(at, rules.texts_at_once).to_pylist()]
+            for at, some in portions(texts):
                 rows = []
                 for k, ids in enumerate(encode(some), at):
                     ids += end

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pricetide.llm.common import tidy
-from pricetide.llm.tokens import encoder
+from pricetide.llm.tokens import encoder, portions
 
 _MASK_DELTA = 0xA282EAD8
 _HEAD, _TAIL, _ID, _ENTRY = "<QI", "<I", "<q", "<QQ"
@@ -84,16 +84,11 @@ def unframe(stream) -> Iterator[bytes]:
 
 @dataclass(frozen=True)
 class RecordRules:
-    """``end_id`` is put after each document; ``dtype`` must hold every id.
-
-    ``room`` is how many words and stems a worker caches, about 150 bytes each.
-    """
+    """``end_id`` is put after each document; ``dtype`` must hold every id."""
 
     tokenizer: str
     end_id: int | None = 2
     dtype: str = "<u2"
-    texts_at_once: int = 256
-    room: int = 700_000
 
 
 def write_records(docs: DataFrame, folder: str, rules: RecordRules) -> DataFrame:
@@ -115,18 +110,17 @@ def write_records(docs: DataFrame, folder: str, rules: RecordRules) -> DataFrame
         task = TaskContext.get()
         part = task.partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}"
-        encode = encoder(rules.tokenizer, rules.dtype, rules.room).encode
+        encode = encoder(rules.tokenizer, rules.dtype).encode
         size, docs_seen, tokens, first, last = 0, 0, 0, None, None
         records = index = None
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for at in range(0, len(ids), rules.texts_at_once):
-                some = [x or "" for x in texts.slice(at, rules.texts_at_once).to_pylist()]
+            for at, some in portions(texts):
                 if records is None:
                     files.create_dir(path, recursive=True)
                     records = files.open_output_stream(f"{path}/{name}.rec")
                     index = files.open_output_stream(f"{path}/{name}.idx")
-                for doc, encoded in zip(ids[at : at + rules.texts_at_once], encode(some)):
+                for doc, encoded in zip(ids[at : at + len(some)], encode(some)):
                     payload = struct.pack(_ID, _NO_ID if doc is None else doc) + encoded + end
                     framed = frame(payload)
                     records.write(framed)

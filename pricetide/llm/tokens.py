@@ -1,20 +1,21 @@
-"""Token ids of whole texts, with the tokenizers library and a cache of words.
+"""Token ids of whole texts, with the tokenizers library once per different word.
 
 Both kinds of vocabulary cut a text at white space before anything else, so the
-ids of a text are the ids of its words, one after the other.  Invented or rare
-words cost most of the time, common ones are looked up.  A text for which this
-would not hold (unusual white space, the name of a special token) is encoded
-whole by the library.
+ids of a text are the ids of its words, one after the other.  Texts are taken many
+at a time: Arrow splits them and numbers their different words, the library encodes those,
+many in one call, and the ids are laid out again by the words' numbers.  Nothing is kept from
+one group of texts to the next.  A text for which this would not hold (unusual white space,
+the name of a special token) is encoded whole by the library.
 """
 
 from __future__ import annotations
 
-import gc
 import json
 import re
-from itertools import islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from pricetide.llm.common import worker_state
 
@@ -23,26 +24,47 @@ _ODD = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‏ -  -⁤　﻿]")
 _ODD_ASCII = ("\x1c", "\x1d", "\x1e", "\x1f")
 _UNEVEN = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\x0b", "\x0c")
 _CHUNKS = re.compile(r"\s+(?!\S)| ?\S+|\s")
-_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
+_LATIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
+#: What stands before a key that is a piece of text as it is.
+_RAW = "\n\n\n\0"
 _BATCH = 500
+#: Characters, or bytes, of texts that are handled at a time.
+TOGETHER = 8_000_000
+
+
+class Pieces:
+    """Ids of many pieces, one after the other, with the first place and the number of each."""
+
+    def __init__(self, data: np.ndarray, counts: np.ndarray):
+        self.data, self.counts = data, counts
+        self.firsts = np.cumsum(counts) - counts
+
+    @classmethod
+    def of(cls, encoded: list[bytes], dtype) -> "Pieces":
+        counts = np.fromiter(map(len, encoded), np.int64, len(encoded)) // dtype.itemsize
+        return cls(np.frombuffer(b"".join(encoded), dtype), counts)
+
+    def take(self, numbers: np.ndarray) -> "Pieces":
+        """The pieces of these numbers, in their order and as often as they come."""
+        counts = self.counts[numbers]
+        moved = self.firsts[numbers] - (np.cumsum(counts) - counts)
+        return Pieces(self.data[np.repeat(moved, counts) + np.arange(counts.sum())], counts)
 
 
 class Encoder:
     """Ids of texts as little-endian bytes, of the width of ``dtype``.
 
-    ``room`` bounds the number of cached words, ``stem_room`` that of word stems.
+    ``together`` bounds the characters that are encoded at a time, and so the memory.
     """
 
-    def __init__(self, path: str, dtype: str = "<u4", room: int = 500_000, stem_room: int = 500_000):
+    def __init__(self, path: str, dtype: str = "<u4", together: int = TOGETHER):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype, self.room, self.stem_room = np.dtype(dtype), room, stem_room
-        self.cache: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
+        self.dtype, self.together = np.dtype(dtype), together
         form = json.loads(self.tokenizer.to_str())
         self.specials = [t["content"] for t in form.get("added_tokens", [])]
         model, before = form["model"], form.get("pre_tokenizer") or {}
@@ -70,85 +92,90 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.dtype).tobytes() for x in found]
 
-    def _runs(self, stems: list[str], led: str) -> list[bytes]:
+    def _runs(self, stems: list[str], led: str) -> Pieces:
         """Ids of stems, many of them at a time in one text."""
         parts = [stems[at : at + _BATCH] for at in range(0, len(stems), _BATCH)]
         texts = [led + (led or " ").join(part) for part in parts]
-        out: list[bytes] = []
+        data, counts = [np.zeros(0, self.dtype)], [np.zeros(0, np.int64)]
         for part, found in zip(parts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             ids = np.array(found.ids, self.dtype)
             if led == "\n":
+                # the line break before each stem is an id of its own, which is part of it
                 starts = np.flatnonzero(ids == ids[0])
             elif self.spaces_kept:
                 starts = np.flatnonzero(self.marks[ids])
             else:
                 starts = np.concatenate(([0], np.flatnonzero(self.marks[ids])[:-1] + 1))
-            if len(starts) != len(part):  # a vocabulary of another make
-                out += self._whole([(led if self.spaces_kept else "") + x for x in part])
-                continue
-            data, width = ids.tobytes(), self.dtype.itemsize
-            edges = (np.append(starts, len(ids)) * width).tolist()
-            out += [data[a:b] for a, b in zip(edges, edges[1:])]
-        return out
+            if len(starts) == len(part):
+                data.append(ids)
+                counts.append(np.diff(np.append(starts, len(ids))))
+            else:  # a vocabulary of another make
+                plain = Pieces.of(self._whole([(led if self.spaces_kept else "") + x for x in part]), self.dtype)
+                data.append(plain.data)
+                counts.append(plain.counts)
+        return Pieces(np.concatenate(data), np.concatenate(counts))
 
-    def _learn(self, missing: set[str]) -> None:
-        """Put the ids of words into the cache, from their stems where they are simple.
+    def _words(self, words: pa.Array) -> Pieces:
+        """Ids of different words, from their stems where they are simple.
 
         Simple is a word of Latin letters, perhaps with a stop or comma after it and,
         where spaces are kept, a line break before it.
         """
         fold = not self.spaces_kept
-        plain = [w for w in missing if w.isascii() and w.isalpha()]
-        simple: dict[tuple[str, str], tuple[list[str], list[str]]] = {
-            (led, mark): ([], []) for led in ("", "\n") for mark in ("", ".", ",")
-        }
-        simple["", ""] = plain, [w.lower() for w in plain] if fold else list(plain)
-        other = []
-        for word in missing.difference(plain):
-            mark = word[-1]
-            stem = word[:-1] if mark == "." or mark == "," else word
-            if stem is word:
-                mark = ""
-            led = "\n" if stem[:1] == "\n" and not fold else ""
-            bare = stem[1:] if led else stem
-            if bare.isalpha() and (bare.isascii() or _LATIN(bare)):
-                words, stems = simple[led, mark]
-                words.append(word)
-                stems.append(bare.lower() if fold else stem)
-            else:
-                other.append(word)
-        marks = dict(zip((".", ","), self._whole([".", ","])))
-        for led in ("", "\n"):
-            wanted = set().union(*(simple[led, mark][1] for mark in ("", ".", ",")))
-            part = list(wanted - self.stems.keys())
-            if part:
-                ids = self._runs([x[1:] for x in part] if led else part, led or ("" if fold else " "))
-                self.stems.update(zip(part, ids))
-        for (_, mark), (words, stems) in simple.items():
-            found = map(self.stems.__getitem__, stems)
-            if mark:
-                tail = marks[mark]
-                found = [x + tail for x in found]
-            self.cache.update(zip(words, found))
-        texts = [x if fold or x.startswith("\n") else f" {x}" for x in other]
-        self.cache.update(zip(other, self._whole(texts)))
-
-    def _pieces(self, text: str) -> tuple[list[str], bool] | None:
-        """A text's words as keys of the cache, and whether a newline was put before it."""
+        marked = [pc.ends_with(words, x) for x in (".", ",")]
+        mark_ids = [np.frombuffer(x, self.dtype) for x in self._whole([".", ","])]
+        either = pc.or_(*marked) if all(len(x) == 1 for x in mark_ids) else pa.array(np.zeros(len(words), bool))
+        stems = pc.if_else(either, pc.utf8_slice_codeunits(words, 0, -1), words)
+        led = pa.array(np.zeros(len(words), bool)) if fold else pc.starts_with(stems, "\n")
+        stems = pc.if_else(led, pc.utf8_slice_codeunits(stems, 1), stems)
+        simple = pc.match_substring_regex(stems, _LATIN).to_numpy(zero_copy_only=False)
+        led, either = (x.to_numpy(zero_copy_only=False) for x in (led, either))
+        if fold:
+            stems = pc.utf8_lower(stems)
+        order, parts = [], []
+        for before in (False, True):
+            at = np.flatnonzero(simple & (led == before))
+            different = stems.take(pa.array(at)).dictionary_encode()
+            runs = self._runs(different.dictionary.to_pylist(), "\n" if before else ("" if fold else " "))
+            numbers = different.indices.to_numpy(zero_copy_only=False)
+            order.append(at)
+            parts.append(runs.take(numbers))
+        at = np.flatnonzero(~simple)
+        rest = words.take(pa.array(at)).to_pylist()
+        texts = [
+            x[len(_RAW) :] if x.startswith(_RAW) else x if fold or not x or x.startswith("\n") else f" {x}" for x in rest
+        ]
+        order.append(at)
+        parts.append(Pieces.of(self._whole(texts), self.dtype))
+        found = Pieces(np.concatenate([x.data for x in parts]), np.concatenate([x.counts for x in parts]))
+        back = np.empty(len(words), np.int64)
+        back[np.concatenate(order)] = np.arange(len(words))
+        found = found.take(back)
+        # the mark after a stem
+        after = simple & either
+        counts = found.counts + after
+        ends = np.cumsum(counts)
+        data = np.zeros(int(counts.sum()), self.dtype)
+        kept = np.ones(len(data), bool)
+        kept[ends[after] - 1] = False
+        data[kept] = found.data
+        stops = marked[0].to_numpy(zero_copy_only=False)[after]
+        if len(stops):
+            data[ends[after] - 1] = np.where(stops, mark_ids[0][0], mark_ids[1][0])
+        return Pieces(data, counts)
+
+    def _kind(self, text: str) -> str:
+        """How a text is cut: ``plain`` by Arrow, ``uneven`` by a pattern, ``whole`` not at all."""
         odd = any(x in text for x in _ODD_ASCII) if text.isascii() else _ODD.search(text)
         if odd or any(x in text for x in self.specials):
-            return None
+            return "whole"
         if self.spaces_dropped:
-            return text.split(), False
+            return "plain"
         if not self.spaces_kept:
-            return None
+            return "whole"
         if text[0].isspace() or text[-1].isspace() or any(x in text for x in _UNEVEN):
-            chunks = _CHUNKS.findall(text)
-            if chunks and not chunks[0].startswith((" ", "\n")):
-                chunks[0] = f"\n{chunks[0]}"
-                return self._keys(chunks), True
-            return self._keys(chunks), False
-        return f"\n{text}".replace("\n", " \n")[1:].split(" "), True
+            return "uneven"
+        return "plain"
 
     @staticmethod
     def _keys(chunks: list[str]) -> list[str]:
@@ -160,53 +187,78 @@ class Encoder:
             elif x[0] == "\n":
                 keys.append(x)
             else:
-                keys.append(f"\n\n\n\0{x}")
+                keys.append(f"{_RAW}{x}")
         return keys
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, equal to those of the library's ``encode``."""
-        collecting = gc.isenabled()
-        gc.disable()  # nothing here is cyclic, and the caches are large
-        try:
-            return self._encode(texts)
-        finally:
-            if collecting:
-                gc.enable()
+        found: list[bytes] = []
+        at = 0
+        while at < len(texts):
+            end, held = at, 0
+            while end < len(texts) and (end == at or held + len(texts[end]) <= self.together):
+                held += len(texts[end])
+                end += 1
+            found += self._encode(texts[at:end])
+            at = end
+        return found
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        split = [self._pieces(x) if x else ([], False) for x in texts]
-        # One look-up a word; gaps are filled when their words have been learned.
-        found = [list(map(self.cache.get, x[0])) if x else [] for x in split]
-        gaps = []
-        for k, ids in enumerate(found):
-            at = -1
-            for _ in range(ids.count(None)):
-                at = ids.index(None, at + 1)
-                gaps.append((k, at))
-        if gaps:
-            missing = {split[k][0][at] for k, at in gaps}
-            raw = {x for x in missing if x.startswith("\n\n\n\0")}
-            self.cache.update(zip(raw, self._whole([x[4:] for x in raw])))
-            self._learn(missing - raw)
-            for k, at in gaps:
-                found[k][at] = self.cache[split[k][0][at]]
-        out = []
-        for text, pieces, ids in zip(texts, split, found):
-            if pieces is None:
-                out += self._whole([text])
-                continue
-            joined = b"".join(ids)
-            out.append(joined[self.dtype.itemsize :] if pieces[1] else joined)
-        for kept, room in ((self.cache, self.room), (self.stems, self.stem_room)):
-            if len(kept) > room:  # the oldest half goes
-                for old in list(islice(kept, room // 2)):
-                    del kept[old]
+        kinds = [self._kind(x) if x else "" for x in texts]
+        out = [b""] * len(texts)
+        whole = [k for k, kind in enumerate(kinds) if kind == "whole"]
+        for k, ids in zip(whole, self._whole([texts[k] for k in whole])):
+            out[k] = ids
+        plain = [k for k, kind in enumerate(kinds) if kind == "plain"]
+        uneven = [k for k, kind in enumerate(kinds) if kind == "uneven"]
+        if not plain and not uneven:
+            return out
+        lines = pa.array([texts[k] for k in plain], pa.large_string())
+        if self.spaces_dropped:
+            split = pc.ascii_split_whitespace(lines)
+        else:
+            # a line break before each text, too: without it the first word would be another one
+            lines = pc.binary_join_element_wise(
+                pa.scalar("\n", pa.large_string()), pc.replace_substring(lines, "\n", " \n"), pa.scalar("", pa.large_string())
+            )
+            split = pc.split_pattern(lines, " ")
+        added = np.ones(len(plain), bool) if self.spaces_kept else np.zeros(len(plain), bool)
+        chunks, led = [], []
+        for k in uneven:
+            some = _CHUNKS.findall(texts[k])
+            led.append(not some[0].startswith((" ", "\n")))
+            if led[-1]:
+                some[0] = f"\n{some[0]}"
+            chunks.append(self._keys(some))
+        pieces = pa.concat_arrays([split.flatten(), pa.array([x for c in chunks for x in c], pa.large_string())])
+        sizes = np.concatenate(
+            (pc.list_value_length(split).to_numpy(zero_copy_only=False), [len(c) for c in chunks])
+        ).astype(np.int64)
+        added = np.concatenate((added, np.array(led, bool)))
+        numbered = pieces.dictionary_encode()
+        words = self._words(numbered.dictionary)
+        laid = words.take(numbered.indices.to_numpy(zero_copy_only=False))
+        edges = np.concatenate(([0], np.cumsum(laid.counts)))[np.concatenate(([0], np.cumsum(sizes)))]
+        data, width = laid.data.tobytes(), self.dtype.itemsize
+        for k, first, last in zip(plain + uneven, (edges[:-1] + added).tolist(), edges[1:].tolist()):
+            out[k] = data[first * width : last * width]
         return out
 
 
-def encoder(path: str, dtype: str, room: int = 500_000) -> Encoder:
+def encoder(path: str, dtype: str) -> Encoder:
     """The worker's encoder for a vocabulary, kept between tasks."""
     kept = worker_state().setdefault("encoders", {})
-    if (path, dtype, room) not in kept:
-        kept[path, dtype, room] = Encoder(path, dtype, room, room)
-    return kept[path, dtype, room]
+    if (path, dtype) not in kept:
+        kept[path, dtype] = Encoder(path, dtype)
+    return kept[path, dtype]
+
+
+def portions(texts: pa.Array, together: int = TOGETHER):
+    """Runs of a column of texts, as first place and list, of bounded size; a null is empty."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        held = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, held + together, side="right")))
+        yield at, [x or "" for x in texts.slice(at, end - at).to_pylist()]
+        at = end

@@ -42,7 +42,7 @@ def test_cached_ids_are_those_of_the_library(name, dtype):
     rng = random.Random(1)
     parts = list("abAB .,'\n\n  \t\r") + ["é", "ß", "Σ", "1", "|", "<|endoftext|>", "\x1c", "\xa0", "'s", "中", "_", " of"]
     texts = ["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(3000)]
-    theirs, ours = library(name), Encoder(vocabulary(name), dtype, room=500)
+    theirs, ours = library(name), Encoder(vocabulary(name), dtype, together=500)
     for at in range(0, len(texts), 200):
         for text, ids in zip(texts[at : at + 200], ours.encode(texts[at : at + 200])):
             assert np.frombuffer(ids, dtype).tolist() == theirs.encode(text, add_special_tokens=False).ids, repr(text)
