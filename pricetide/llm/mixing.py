@@ -1,10 +1,12 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment.
 
-The words of the mix go to sources, and within a source to its shards, by highest
-quotients: the next word goes to whoever has the largest target divided by twice its
-words plus one, among those that have not reached their limit.  In each shard the
-documents lie one after the other in a seeded order, and the shard's words are taken
-from the start of that line, over again if there are more due than it has.
+In each shard of a source the documents lie one after the other in a seeded order, and
+this line of words is cut into blocks of equal length, the last one shorter.  The blocks
+of the mix go to sources, and within a source to its shards, by highest quotients: the
+next block goes to whoever has the largest claim divided by twice its blocks plus one,
+among those that have not reached their limit.  A shard gives all its blocks as
+often as its quota holds them whole, and for the rest a run of blocks from a seeded start,
+going on from the first block after the last.
 
 Everything is DataFrame operations: documents are summed up by source and shard before
 anything is ranked, and a shard, never a source, is what one task orders.
@@ -14,7 +16,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricetide.llm.common import n_words, stored, words
@@ -25,14 +27,19 @@ class MixRules:
     """``weights`` repeat over the sources by name, null last; ``share`` is the size of the mix
     as a multiple of all words, ``most_copies`` how often a document may be taken.
 
-    Targets are met to the word but for rounding, whatever the size of the mix.
-    ``shards`` is how many tasks share a source.
+    ``shards`` is how many shards a source has at least; there are more once the
+    table holds more than ``shard_rows`` rows or ``shard_words`` words per shard.  A block has as
+    many words as a shard's part of the smallest target holds ``blocks`` times, so short
+    blocks count for little even in the smallest source.
     """
 
     weights: tuple[int, ...] = (3, 1, 2)
     share: float = 1.5
     most_copies: int = 2
     shards: int = 64
+    shard_rows: int = 1 << 17
+    shard_words: int = 1 << 27
+    blocks: int = 100
     seed: str = "mix"
 
 
@@ -134,6 +141,11 @@ def apportion(
     ).drop("voters", "parties", "start", "end", "won", *(f"won_{c}" for c in keys))
 
 
+def _drawn(*parts) -> Column:
+    """A seeded number of 32 bits."""
+    return F.conv(F.substring(F.md5(F.concat_ws("/", *parts)), 1, 8), 16, 10).cast("long")
+
+
 def mix(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
     """``doc_id, source, size, source_size, target, taken`` for every row of ``docs``.
 
@@ -141,60 +153,98 @@ def mix(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
     ``most_copies`` times its size.  A null text has no words, a null source is one of
     its own.  Rows that repeat an id are documents of their own.  If there are no words
     at all nothing is taken; an empty table gives no rows.
+
+    Of each source its target is taken but for the rounding to a block and the
+    short blocks among those taken, at most one a shard.
     """
-    mark = F.md5(F.concat_ws("/", F.lit(rules.seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))))
+    name = (F.lit(rules.seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("-")))
     sized = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         n_words(F.col("text")).alias("size"),
-        mark.alias("mark"),
-    ).withColumn("shard", F.pmod(F.conv(F.substring("mark", 1, 8), 16, 10).cast("long"), F.lit(rules.shards)))
+        F.md5(F.concat_ws("/", *name)).alias("mark"),
+        _drawn(*name).alias("number"),
+    )
     sized = stored(sized, "sizes")
+    rows, total = sized.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    shards = max(rules.shards, -(-rows // rules.shard_rows), -(-total // rules.shard_words))
+    sized = sized.withColumn("shard", F.pmod("number", F.lit(shards).cast("long")))
     by_shard = stored(sized.groupBy("source", "shard").agg(F.sum("size").alias("shard_size")), "shards")
     sizes = by_shard.groupBy("source").agg(F.sum("shard_size").alias("source_size"))
-    aimed = targets(sizes, rules)
-    aimed = aimed.withColumn("words", F.round(F.sum("target").over(Window.partitionBy())).cast("long"))
-    aimed = aimed.withColumn("votes", F.col("target")).withColumn("house", F.lit(0))
-    aimed = aimed.withColumn("limit", rules.most_copies * F.col("source_size"))
+    aimed = stored(targets(sizes, rules), "targets")
+    # One number: the words of a block.
+    least = aimed.where(F.col("target") > 0).agg(F.min("target")).first()[0]
+    block = max(1, int((least or 0) // (rules.blocks * shards)))
+
+    of_source = F.col("source").eqNullSafe(F.col("of"))
+    by_shard = by_shard.withColumn("shard_blocks", F.ceil(F.col("shard_size") / block).cast("long"))
+    counted = by_shard.groupBy(F.col("source").alias("of")).agg(F.sum("shard_blocks").alias("source_blocks"))
+    # A source claims the blocks that hold its target on the average of its own blocks.
+    share = F.col("target") / F.greatest("source_size", F.lit(1))
+    claims = aimed.join(counted, of_source).drop("of").withColumn("votes", share * F.col("source_blocks"))
+    claims = claims.withColumn("blocks", F.round(F.sum("votes").over(Window.partitionBy())).cast("long"))
+    claims = claims.withColumn("house", F.lit(0)).withColumn("limit", rules.most_copies * F.col("source_blocks"))
     quotas = stored(
-        apportion(aimed, "words", ["house"], ["source"], "limit").select(
+        apportion(claims, "blocks", ["house"], ["source"], "limit").select(
             "source", "source_size", "target", F.col("seats").alias("quota")
         ),
         "quotas",
     )
-    of_source = F.col("source").eqNullSafe(F.col("of"))
     shared = by_shard.join(quotas.withColumnRenamed("source", "of"), of_source).drop("of")
-    shared = shared.withColumn("votes", F.col("shard_size")).withColumn(
-        "limit", rules.most_copies * F.col("shard_size")
+    shared = shared.withColumn("votes", F.col("shard_blocks")).withColumn(
+        "limit", rules.most_copies * F.col("shard_blocks")
     )
-    shards = apportion(shared, "quota", ["source"], ["shard"], "limit").select(
+    dealt = apportion(shared, "quota", ["source"], ["shard"], "limit").select(
         F.col("source").alias("of"),
         F.col("shard").alias("of_shard"),
         "source_size",
         "target",
         F.col("seats").alias("due"),
         "shard_size",
+        "shard_blocks",
+    )
+    # The run of blocks: from ``opens`` to ``closes`` in words, or around the end of the line.
+    blocks = F.greatest("shard_blocks", F.lit(1))
+    start = _drawn(
+        F.lit(rules.seed), F.lit("start"), F.coalesce("of", F.lit("-")), F.col("of_shard").cast("string")
+    )
+    dealt = (
+        dealt.withColumn("rounds", F.expr("due div greatest(shard_blocks, 1)"))
+        .withColumn("rest", F.col("due") - F.col("rounds") * F.col("shard_blocks"))
+        .withColumn("first", F.pmod(start, blocks))
+        .withColumn("last", F.col("first") + F.col("rest"))
+        .withColumn("opens", F.col("first") * block)
+        .withColumn("closes", F.least(F.col("last") * block, F.col("shard_size")))
+        .withColumn("again", F.greatest(F.lit(0), F.col("last") - F.col("shard_blocks")) * block)
     )
     line = Window.partitionBy("source", "shard").orderBy("mark", "doc_id", "size")
     before = F.coalesce(
         F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
     placed = sized.withColumn("ahead", before).join(
-        shards, of_source & (F.col("shard") == F.col("of_shard"))
+        dealt, of_source & (F.col("shard") == F.col("of_shard"))
     )
-    # Whole rounds of the line, then what the last round takes of this document.
-    rounds = F.when(F.col("shard_size") > 0, F.floor(F.col("due") / F.greatest("shard_size", F.lit(1)))).otherwise(0)
-    rest = F.col("due") - rounds * F.col("shard_size")
-    part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("ahead")))
+
+    def within(opens, closes) -> Column:
+        """Words of the document between two places of the line."""
+        end = F.least(F.col("ahead") + F.col("size"), closes)
+        return F.greatest(F.lit(0), end - F.greatest(F.col("ahead"), opens))
+
+    part = within(F.col("opens"), F.col("closes")) + within(F.lit(0), F.col("again"))
     return placed.select(
-        "doc_id", "source", "size", "source_size", "target", (rounds * F.col("size") + part).cast("long").alias("taken")
+        "doc_id",
+        "source",
+        "size",
+        "source_size",
+        "target",
+        (F.col("rounds") * F.col("size") + part).cast("long").alias("taken"),
     )
 
 
 def mixed_documents(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
     """The mix itself: rows of ``docs``, each as often as it is taken.
 
-    A document taken in part comes cut after its last word taken, and one not taken
+    A document taken in part comes cut after as many words as are taken, and one not taken
     at all is left out, unless it has no words, as it then takes nothing from
     the mix.  Other columns stay as they are.
     """

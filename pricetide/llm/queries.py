@@ -139,13 +139,17 @@ def op4_substring_dedup(spark, sf_dir):
 
 
 TWINS["op8_mixing"] = r"""
-WITH sized AS (
+WITH counted AS (
   SELECT doc_id, source,
          len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''))::BIGINT
            AS size,
          md5('mix/' || coalesce(doc_id::VARCHAR, '-')) AS mark,
-         ('0x' || substr(md5('mix/' || coalesce(doc_id::VARCHAR, '-')), 1, 8))::BIGINT % 64 AS shard
+         ('0x' || substr(md5('mix/' || coalesce(doc_id::VARCHAR, '-')), 1, 8))::BIGINT AS number
   FROM documents
+), parts AS (
+  SELECT greatest(64, ceil(count(*) / 131072), ceil(sum(size) / 134217728))::BIGINT AS n FROM counted
+), sized AS (
+  SELECT *, number % (SELECT n FROM parts) AS shard FROM counted
 ), sources AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
 ), weighted AS (
@@ -166,43 +170,46 @@ WITH sized AS (
 ), aimed AS (
   SELECT source, source_size, least(cap::DOUBLE, coalesce(level * weight, cap::DOUBLE)) AS target
   FROM filled, levels
-), house AS (
-  SELECT greatest(1, ceil(sum(target) / 1000000))::BIGINT AS block,
-         round(sum(target) / greatest(1, ceil(sum(target) / 1000000)))::BIGINT AS blocks,
-         sum(target) AS votes, count(*) AS parties
-  FROM aimed
-), offers AS (
-  SELECT source, seat, row_number() OVER (ORDER BY target / (2 * seat + 1) DESC, source IS NULL, source, seat) AS place
-  FROM (SELECT source, target, unnest(range(0, (floor(target / nullif(votes, 0) * blocks) + parties + 1)::BIGINT)) AS seat
-        FROM aimed, house WHERE target > 0)
-), quotas AS (
-  SELECT source, count(*) AS quota FROM offers, house WHERE place <= blocks GROUP BY source
+), scale AS (
+  SELECT greatest(1, floor(min(target) FILTER (target > 0) / (100 * (SELECT n FROM parts))))::BIGINT AS block FROM aimed
 ), shards AS (
-  SELECT source, shard, sum(size)::BIGINT AS shard_size FROM sized GROUP BY source, shard
-), shard_offers AS (
-  SELECT source, shard, seat,
-         row_number() OVER (PARTITION BY source ORDER BY shard_size::DOUBLE / (2 * seat + 1) DESC, shard, seat) AS place
-  FROM (SELECT h.source, shard, shard_size,
-               unnest(range(0, (floor(shard_size * quota::DOUBLE / source_size) + 66)::BIGINT)) AS seat
-        FROM shards h JOIN quotas q ON h.source IS NOT DISTINCT FROM q.source
-        JOIN aimed a ON h.source IS NOT DISTINCT FROM a.source WHERE shard_size > 0)
+  SELECT source, shard, sum(size)::BIGINT AS shard_size,
+         ceil(sum(size)::DOUBLE / (SELECT block FROM scale))::BIGINT AS shard_blocks
+  FROM sized GROUP BY source, shard
+), claims AS (
+  SELECT a.source, 2 * source_blocks AS most, target / greatest(source_size, 1) * source_blocks AS votes
+  FROM aimed a JOIN (SELECT source, sum(shard_blocks)::BIGINT AS source_blocks FROM shards GROUP BY source) c
+    ON a.source IS NOT DISTINCT FROM c.source
+), quotas AS (
+  SELECT source, count(*) AS quota FROM (
+    SELECT source, seat, row_number() OVER (ORDER BY votes / (2 * seat + 1) DESC, source IS NULL, source, seat) AS place
+    FROM (SELECT source, votes, unnest(range(0, most)) AS seat FROM claims WHERE votes > 0))
+  WHERE place <= (SELECT round(sum(votes)) FROM claims) GROUP BY source
 ), seats AS (
-  SELECT o.source, shard, count(*) AS seats FROM shard_offers o JOIN quotas q ON o.source IS NOT DISTINCT FROM q.source
-  WHERE place <= quota GROUP BY o.source, shard
+  SELECT source, shard, count(*) AS seats FROM (
+    SELECT source, shard, quota,
+           row_number() OVER (PARTITION BY source ORDER BY shard_blocks::DOUBLE / (2 * seat + 1) DESC, shard, seat) AS place
+    FROM (SELECT h.source, shard, shard_blocks, quota, unnest(range(0, 2 * shard_blocks)) AS seat
+          FROM shards h JOIN quotas q ON h.source IS NOT DISTINCT FROM q.source))
+  WHERE place <= quota GROUP BY source, shard
 ), due AS (
-  SELECT h.source, h.shard, shard_size, least(coalesce(seats, 0) * block, 2 * shard_size) AS due
-  FROM shards h LEFT JOIN seats s ON h.source IS NOT DISTINCT FROM s.source AND h.shard = s.shard, house
+  SELECT h.source, h.shard, shard_size, shard_blocks,
+         coalesce(seats, 0) // greatest(shard_blocks, 1) AS rounds, coalesce(seats, 0) % greatest(shard_blocks, 1) AS rest,
+         ('0x' || substr(md5('mix/start/' || coalesce(h.source, '-') || '/' || h.shard), 1, 8))::BIGINT
+           % greatest(shard_blocks, 1) AS start
+  FROM shards h LEFT JOIN seats s ON h.source IS NOT DISTINCT FROM s.source AND h.shard = s.shard
 ), placed AS (
-  SELECT *, coalesce(sum(size) OVER (PARTITION BY source, shard ORDER BY mark, doc_id, size
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source, shard ORDER BY mark, doc_id NULLS FIRST, size
                                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
   FROM sized
 )
 SELECT p.doc_id, p.size, a.source_size, a.target,
-       (CASE WHEN shard_size > 0 THEN due // shard_size ELSE 0 END * p.size
-        + greatest(0, least(p.size, CASE WHEN shard_size > 0 THEN due % shard_size ELSE 0 END - ahead)))::BIGINT AS taken
+       (rounds * p.size
+        + greatest(0, least(ahead + p.size, (start + rest) * block, shard_size) - greatest(ahead, start * block))
+        + greatest(0, least(ahead + p.size, greatest(0, start + rest - shard_blocks) * block) - ahead))::BIGINT AS taken
 FROM placed p
 JOIN aimed a ON p.source IS NOT DISTINCT FROM a.source
-JOIN due d ON p.source IS NOT DISTINCT FROM d.source AND p.shard = d.shard
+JOIN due d ON p.source IS NOT DISTINCT FROM d.source AND p.shard = d.shard, scale
 """
 
 

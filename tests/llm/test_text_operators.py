@@ -393,6 +393,28 @@ def test_small_sources_beside_large_ones_meet_their_targets(spark):
     assert all(abs(taken[x] - target[x]) <= 1 for x in target) and sum(taken.values()) == round(sum(target.values()))
 
 
+def test_blocks_of_many_words_meet_targets(spark):
+    table = spark.sql(
+        """SELECT id AS doc_id, CASE WHEN id % 3 = 0 THEN 'a' WHEN id < 3000 THEN 'b' ELSE NULL END AS source,
+                  trim(repeat('w ', cast(50 + id % 997 AS int))) AS text
+           FROM range(6000)"""
+    )
+    got = mixing.mix(table, mixing.MixRules(shards=4, blocks=200)).collect()
+    taken, target, part = Counter(), {}, Counter()
+    for r in got:
+        assert 0 <= r.taken <= 2 * r.size
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+        part[r.source] += 0 < r.taken % r.size
+    block = int(min(target.values()) // 800)
+    assert block > 300 and sum(target.values()) == pytest.approx(1.5 * sum(r.size for r in got))
+    # Rounding and a short block a shard; at most the two ends of a run are cut.
+    assert all(abs(taken[x] - target[x]) <= 5 * block for x in target)
+    assert max(part.values()) <= 2 * 4
+    finer = mixing.mix(table, mixing.MixRules(shards=4, shard_rows=200)).collect()
+    assert len(finer) == 6000 and all(r.target == pytest.approx(target[r.source]) for r in finer)
+
+
 def test_apportionment_within_limits_fills_the_house(spark):
     votes = [(k, v, m) for k, (v, m) in enumerate([(1000.0, 1000), *[(0.4, 2)] * 5])]
     table = spark.createDataFrame([(0, 1002, *v) for v in votes], "g int, house long, party int, votes double, most long")
