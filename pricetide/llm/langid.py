@@ -17,20 +17,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricetide.llm.common import held_out, tidy, worker_state
+from pricetide.llm.common import held_out, stored, tidy, worker_state
 
 UNKNOWN = "und"
 
 
 @dataclass(frozen=True)
 class CodeRules:
-    """``per_language`` bounds the training texts of a language, ``most_languages`` their
-    number: together they bound the sample that one task learns from.  The sample is
-    taken by a hash of the id, evenly over the table.
+    """``per_language`` bounds the training texts of a language, ``texts`` those of all: the
+    sample that one task learns from.  Every language has its part; where there are very many
+    each has fewer texts, but at least one.  The sample is taken by a hash of the id, evenly
+    over the table.
     """
 
     per_language: int = 600
-    most_languages: int = 64
+    texts: int = 20_000
     buckets: int = 4096
     steps: int = 150
     rate: float = 2.0
@@ -53,9 +54,11 @@ def codewords(count: int, seed: int) -> np.ndarray:
         return np.where(bits == 1, 1.0, -1.0)
     rng, width = np.random.default_rng(seed), int(np.ceil(10 * np.log2(count)))
     best, best_apart = None, -1
-    for _ in range(200):
+    for _ in range(200 if count <= 512 else 1):
         code = rng.choice((-1.0, 1.0), (count, width))
         code = code[:, np.abs(code.sum(axis=0)) < count]
+        if count > 512:  # so many random words of so many bits are far apart as they are
+            return code
         apart = (code.shape[1] - np.einsum("ik,jk->ij", code, code)) / 2
         least = apart[~np.eye(count, dtype=bool)].min()
         if least > best_apart:
@@ -125,22 +128,25 @@ class LanguageModel:
 
 def train(docs: DataFrame, rules: CodeRules = CodeRules()) -> LanguageModel:
     """Learn from ``text`` and ``lang`` of rows that are not held out."""
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    # At most ``most_languages`` rows come to the driver, the most frequent ones.
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(rules.most_languages)
-    sizes = {r["lang"]: r["count"] for r in counts.collect()}
-    languages = sorted(sizes)
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select(
+        "doc_id", "lang", "text"
+    )
+    # One row per language comes to the driver.
+    counts = stored(known.groupBy("lang").count(), "languages")
+    languages = sorted(r["lang"] for r in counts.select("lang").collect())
     if not languages:
         return LanguageModel([], np.ones((0, 1)), np.zeros((rules.buckets + 1, 1), np.float32))
     # Ids whose hash lies below a bound: a sample of about the wanted size, without sorting.
-    bound = F.lit(0.0)
-    for language in languages:
-        share = min(1.0, 1.2 * rules.per_language / sizes[language])
-        bound = F.when(F.col("lang") == language, share).otherwise(bound)
-    chance = F.pmod(F.xxhash64(F.lit(rules.seed), "doc_id"), F.lit(1 << 20)) / (1 << 20)
-    drawn = known.where(chance < bound).select("doc_id", "lang", "text")
+    # Some more than wanted, so that hardly any language has too few by chance.
+    most = max(1, min(rules.per_language, rules.texts // len(languages)))
+    wanted = most + 6 * most**0.5 + 12
+    bounds = counts.select(F.col("lang").alias("of"), (F.lit(wanted) / F.col("count")).alias("bound"))
+    chance = F.pmod(F.xxhash64(F.lit(rules.seed), "doc_id"), F.lit(1 << 40)) / (1 << 40)
+    drawn = known.join(bounds, (F.col("lang") == F.col("of")) & (chance < F.col("bound"))).select(
+        "doc_id", "lang", "text"
+    )
     first = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(rules.seed), "doc_id"), "doc_id", F.xxhash64("text"))
-    numbered = drawn.withColumn("n", F.row_number().over(first)).where(F.col("n") <= rules.per_language)
+    numbered = drawn.withColumn("n", F.row_number().over(first)).where(F.col("n") <= most)
     code, buckets = codewords(len(languages), rules.seed), rules.buckets
     place = {x: k for k, x in enumerate(languages)}
 
@@ -179,8 +185,12 @@ def train(docs: DataFrame, rules: CodeRules = CodeRules()) -> LanguageModel:
 
 
 def decode(margins: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index and share of the cheapest codeword; shares fall with the loss of all bits."""
-    loss = np.logaddexp(0, -margins[:, None, :] * code[None, :, :]).sum(axis=2)
+    """Index and share of the cheapest codeword; shares fall with the loss of all bits.
+
+    A bit's logistic loss, log(1 + exp(-code * margin)), is that of code -1 less the margin
+    where the code is +1, so the losses of all codewords are one product.
+    """
+    loss = np.logaddexp(0, margins).sum(axis=1, keepdims=True) - margins @ ((code + 1) / 2).T
     shares = np.exp(-(loss - loss.min(axis=1, keepdims=True)))
     shares /= shares.sum(axis=1, keepdims=True)
     best = loss.argmin(axis=1)

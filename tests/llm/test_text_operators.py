@@ -205,6 +205,23 @@ def test_languages_of_nothing(docs, nothing, rows):
     assert langid.keep_known(docs, langid.train(docs)).count() < len(rows)
 
 
+def test_more_languages_than_texts_of_each(spark):
+    rng = random.Random(4)
+    names = [f"l{k:03d}" for k in range(90)]
+    letters = {x: ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=3)) for _ in range(6)] for x in names}
+    rows = [
+        (k, " ".join(rng.choices(letters[x], k=30)), x, 1, "y", 0.5) for k, x in enumerate(names * 12)
+    ]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, count int, of string, bound double")
+    rules = langid.CodeRules(texts=450)
+    model = langid.train(table, rules)
+    assert model.languages == names
+    truth = {r[0]: r[2] for r in rows}
+    got = langid.predict(table, model, rules).collect()
+    assert len(got) == len(rows) and {r.lang_pred for r in got} == set(names)
+    assert sum(r.lang_pred == truth[r.doc_id] for r in got) >= 0.95 * len(got)
+
+
 @pytest.mark.parametrize("count", [2, 3, 6, 7, 40])
 def test_codewords_differ(count):
     code = langid.codewords(count, 1)
