@@ -117,18 +117,18 @@ def op2_exact_top_k(spark, sf_dir):
 
 TWINS["op2_exact_top_k"] = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e
+  SELECT vec_id, row_number() OVER () AS n, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e
   FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), pairs AS (
-  SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.e::DOUBLE[], v.e::DOUBLE[])::BIGINT AS score
-  FROM v AS q JOIN v ON q.vec_id <> v.vec_id
+  SELECT q.n, q.vec_id AS query_id, v.vec_id, list_dot_product(q.e::DOUBLE[], v.e::DOUBLE[])::BIGINT AS score
+  FROM v AS q JOIN v ON q.n <> v.n
   WHERE q.vec_id % 20 = 0
 )
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+SELECT query_id, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
 FROM pairs
-QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
+QUALIFY row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) <= 20
 """
 
 

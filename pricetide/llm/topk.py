@@ -44,18 +44,16 @@ def whole_vectors(table: DataFrame, rules: TopKRules) -> DataFrame:
     """``vec_id, vector``: components as whole numbers; unusable vectors are left out.
 
     Vectors that are null, empty, or hold null or non-finite components take no
-    part, nor do rows without an id or with components beyond 2^20.  Of rows that
-    repeat an id, the one with the smallest vector counts.
+    part, nor do rows without an id.  Rows that repeat an id all count.
     """
     usable = F.expr(
         "embedding is not null and size(embedding) > 0 and forall(embedding, x -> x is not null"
         " and not isnan(x) and abs(x) < double('infinity'))"
     )
     floor = F.expr(f"transform(embedding, x -> floor({rules.scale} * cast(x as double)))")
-    found = table.where(usable & F.col("vec_id").isNotNull()).select(
+    return table.where(usable & F.col("vec_id").isNotNull()).select(
         F.col("vec_id").cast("long").alias("vec_id"), floor.cast("array<long>").alias("vector")
     )
-    return found.groupBy("vec_id").agg(F.min("vector").alias("vector"))
 
 
 def _matrix(column) -> np.ndarray:
@@ -64,10 +62,15 @@ def _matrix(column) -> np.ndarray:
 
 
 def scores(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Whole inner products, by floating point while that is exact."""
+    """Whole inner products, by floating point while that is exact.
+
+    Vectors so large that a product might not fit a long are an error.
+    """
     largest = max(np.abs(queries).max(initial=0), np.abs(vectors).max(initial=0))
     if float(largest) ** 2 * queries.shape[1] < 2**53:
         return np.rint(queries.astype(np.float64) @ vectors.T.astype(np.float64)).astype(np.int64)
+    if float(largest) ** 2 * queries.shape[1] >= 2**63:
+        raise OverflowError("inner products of these vectors may exceed 64 bits")
     return np.einsum("ik,jk->ij", queries, vectors)
 
 
@@ -85,8 +88,9 @@ def search(table: DataFrame, rules: TopKRules = TopKRules()) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each query the k best other vectors.
 
     Queries are rows whose ``vec_id`` is divisible by ``every``.  Equal scores go to the
-    smaller id.  Vectors of another length than a query never meet it.  An empty table
-    gives no rows.
+    smaller id.  Each row that repeats an id is a candidate of all others, and a query
+    with ranks of its own.  Vectors of another length than a query never meet it.  An
+    empty table gives no rows.
     """
     spark = table.sparkSession
     vectors = stored(whole_vectors(table, rules).withColumn("length", F.size("vector")), "vectors")
@@ -197,7 +201,8 @@ def _search(vectors: DataFrame, rules: TopKRules) -> DataFrame:
 
     # Queries with what they have found at home, in groups that lie close together.
     asked = pa.schema(
-        [("asked", pa.int64()), ("home", pa.int64()), ("ids", pa.binary()), ("vectors", pa.binary()), ("reached", pa.binary())]
+        [("asked", pa.string()), ("home", pa.int64()), ("first", pa.int32())]
+        + [(x, pa.binary()) for x in ("ids", "vectors", "reached")]
     )
 
     @tidy
@@ -209,13 +214,14 @@ def _search(vectors: DataFrame, rules: TopKRules) -> DataFrame:
                 at = np.flatnonzero(ids % every == 0)
                 lowest = np.iinfo(np.int64).min
                 reached = np.array([x[k - 1] if len(x) >= k else lowest for x in row["best_scores"]], np.int64)
-                for number, first in enumerate(range(0, len(at), group)):
+                for first in range(0, len(at), group):
                     some = at[first : first + group]
                     yield pa.RecordBatch.from_pylist(
                         [
                             {
-                                "asked": (row["block"] << 8) + number,
+                                "asked": f"{row['block']}/{first}",
                                 "home": row["block"],
+                                "first": first,
                                 "ids": ids[some].tobytes(),
                                 "vectors": rows[some].tobytes(),
                                 "reached": reached[first : first + group].tobytes(),
@@ -227,7 +233,7 @@ def _search(vectors: DataFrame, rules: TopKRules) -> DataFrame:
     groups = stored(
         index.where(F.size("query_ids") > 0)
         .select("block", "ids", "vectors", "best_scores")
-        .mapInArrow(ask, "asked long, home long, ids binary, vectors binary, reached binary"),
+        .mapInArrow(ask, "asked string, home long, first int, ids binary, vectors binary, reached binary"),
         "queries",
     )
 
@@ -260,7 +266,7 @@ def _search(vectors: DataFrame, rules: TopKRules) -> DataFrame:
                         [pa.array(list(x)) for x in zip(*out)], ["asked", "home", "pivot", "near", "far"]
                     )
 
-    wanted = groups.mapInArrow(expand, "asked long, home long, pivot long, near double, far double")
+    wanted = groups.mapInArrow(expand, "asked string, home long, pivot long, near double, far double")
     annuli = index.select("block", F.col("pivot").alias("around"), "low", "high")
     pairs = wanted.join(
         annuli,
@@ -271,8 +277,8 @@ def _search(vectors: DataFrame, rules: TopKRules) -> DataFrame:
     ).select("asked", "block")
     met = (
         pairs.join(index.select("block", "pivot", "low", "high", "norm", F.col("ids").alias("other_ids"), F.col("vectors").alias("others")), "block")
-        .join(groups.drop("home"), "asked")
-        .select("pivot", "low", "high", "norm", "other_ids", "others", "ids", "vectors", "reached")
+        .join(groups, "asked")
+        .select("pivot", "low", "high", "norm", "other_ids", "others", "home", "first", "ids", "vectors", "reached")
     )
 
     @tidy
@@ -292,7 +298,7 @@ def _search(vectors: DataFrame, rules: TopKRules) -> DataFrame:
                 other_ids = np.frombuffer(row["other_ids"], np.int64)
                 others = np.frombuffer(row["others"], np.int64).reshape(len(other_ids), -1)
                 found = scores(rows[live], others)
-                out = ([], [], [])
+                out = ([], [], [], [], [])
                 for q, line in zip(live, found):
                     good = np.flatnonzero(line >= reached[q])
                     if len(good):
@@ -300,18 +306,27 @@ def _search(vectors: DataFrame, rules: TopKRules) -> DataFrame:
                         out[0].append(np.full(len(top), ids[q]))
                         out[1].append(other_ids[top])
                         out[2].append(line[top])
+                        out[3].append(np.full(len(top), row["home"]))
+                        out[4].append(np.full(len(top), row["first"] + q, np.int32))
                 if out[0]:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(x)) for x in out], ["query_id", "vec_id", "score"]
+                        [pa.array(np.concatenate(x)) for x in out], ["query_id", "vec_id", "score", "home", "place"]
                     )
 
-    abroad = met.mapInArrow(score, "query_id long, vec_id long, score long")
+    # A query is known by its block and its place among the block's queries, as ids may repeat.
+    abroad = met.mapInArrow(score, "query_id long, vec_id long, score long, home long, place int")
     home = index.select(
-        F.explode(F.arrays_zip("query_ids", "best_ids", "best_scores")).alias("x")
+        F.col("block").alias("home"),
+        F.posexplode(F.arrays_zip("query_ids", "best_ids", "best_scores")).alias("place", "x"),
     ).select(
-        F.col("x.query_ids").alias("query_id"), F.explode(F.arrays_zip("x.best_ids", "x.best_scores")).alias("y")
-    ).select("query_id", F.col("y.best_ids").alias("vec_id"), F.col("y.best_scores").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        "home",
+        "place",
+        F.col("x.query_ids").alias("query_id"),
+        F.explode(F.arrays_zip("x.best_ids", "x.best_scores")).alias("y"),
+    ).select(
+        "query_id", F.col("y.best_ids").alias("vec_id"), F.col("y.best_scores").alias("score"), "home", "place"
+    )
+    order = Window.partitionBy("query_id", "home", "place").orderBy(F.desc("score"), "vec_id")
     return (
         home.unionByName(abroad)
         .withColumn("rank", F.row_number().over(order))

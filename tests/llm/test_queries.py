@@ -32,19 +32,19 @@ def test_query_covers_its_table(spark, name):
 def brute_search(rows, k, every):
     import math
 
-    usable = {}
+    usable = []
     for vec_id, vector in rows:
         if vec_id is None or not vector or any(x is None or not math.isfinite(x) for x in vector):
             continue
         whole = [math.floor(64 * x) for x in vector]
-        usable[vec_id] = min(usable.get(vec_id, whole), whole)
+        usable.append((vec_id, whole))
     out = []
-    for q in usable:
+    for at, (q, asked) in enumerate(usable):
         if q % every == 0:
             scored = sorted(
-                (-sum(a * b for a, b in zip(usable[q], v)), i)
-                for i, v in usable.items()
-                if i != q and len(v) == len(usable[q])
+                (-sum(a * b for a, b in zip(asked, v)), i)
+                for n, (i, v) in enumerate(usable)
+                if n != at and len(v) == len(asked)
             )
             out += [(q, n, i, -s) for n, (s, i) in enumerate(scored[:k], 1)]
     return out
