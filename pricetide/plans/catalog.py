@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -646,6 +646,37 @@ def csv_roundtrip(spark, sf_dir):
     ).drop("ordinal")
 
 
+@query
+def file_order(spark, sf_dir):
+    """Rises and falls within one minute, in the order of the captured files' lines."""
+    path = scratch_dir(spark, "prices-in-order")
+    raw = A.table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        "concat('user ', user_id) AS restaurant",
+        "cast(NULL AS string) AS category",
+        "event_type AS item_name",
+        "concat('₹', cast(floor(value) AS bigint)) AS price",
+        "date_format(ts, 'yyyy-MM-dd 00:00') AS scraped_at",
+        "date_format(ts, 'yyyyMMdd') AS scrape_session_id",
+    )
+    # Files follow each other by name, as captures of later runs do.
+    ordered = raw.repartitionByRange("event_id").sortWithinPartitions("event_id").drop("event_id")
+    ordered.write.option("header", True).csv(path)
+    captured = readers.accepted_prices(readers.clean_prices(readers.read_prices_csv(spark, path)))
+    line = Window.partitionBy("entity", "item", "observed_at").orderBy("ordinal")
+    step = F.col("price") - F.lag("price").over(line)
+    return (
+        captured.select("entity", "observed_at", step.alias("step"))
+        .groupBy("entity", "observed_at")
+        .agg(
+            F.count("*").alias("n"),
+            F.count_if(F.col("step") > 0).alias("rises"),
+            F.count_if(F.col("step") < 0).alias("falls"),
+            F.sum(F.greatest("step", F.lit(0))).cast("long").alias("risen"),
+        )
+    )
+
+
 @query
 def conditions_roundtrip(spark, sf_dir):
     """Readings written as a condition file without header and read back."""

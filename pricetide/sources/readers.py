@@ -60,6 +60,9 @@ RUN_LOG = T.StructType(
     ]
 )
 
+# Fixed value: how captured files write a time.
+MINUTE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}$"
+
 # Raw column names and the names the operators use.
 PRICE_NAMES: Mapping[str, str] = {
     "restaurant": "entity",
@@ -77,8 +80,22 @@ def conform(frame: DataFrame, names: Mapping[str, str]) -> DataFrame:
 
 
 def read_prices_csv(spark: SparkSession, path, header: bool = True) -> DataFrame:
-    """Price observations as text, exactly as captured."""
-    return spark.read.schema(RAW_PRICES).option("header", header).csv(path)
+    """Price observations as text, exactly as captured, with their ``ordinal``.
+
+    The ordinal says where a row stands: file name, start of the part of the file that one task
+    reads, and the row's number in that task, which grows along the part.  It orders the rows as
+    the files do, however they are read, with no shuffle.
+    """
+    raw = spark.read.schema(RAW_PRICES).option("header", header).csv(path)
+    return raw.withColumn(
+        "ordinal",
+        F.struct(
+            F.col("_metadata.file_name").alias("file"),
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("part"),
+            F.monotonically_increasing_id().alias("row"),
+        ),
+    )
 
 
 def read_conditions_csv(spark: SparkSession, path, header: bool = False) -> DataFrame:
@@ -95,18 +112,21 @@ def read_conditions_csv(spark: SparkSession, path, header: bool = False) -> Data
 def clean_prices(raw: DataFrame) -> DataFrame:
     """Typed observations with a ``rejected`` flag for unreadable prices or times.
 
-    ``ordinal`` is a hash of the row: it only orders observations of an item made
-    in the same minute, and must not change between runs.
+    ``ordinal`` orders observations of an item made in the same minute, and must not change
+    between runs.  Rows that have none, such as those of a stream, get a hash of the row.
+    Times are read as they are written, whatever the session's zone.
     """
+    named = conform(raw, PRICE_NAMES)
+    if "ordinal" not in named.columns:
+        named = named.withColumn("ordinal", F.xxhash64(*[c for c in PRICE_NAMES.values()]))
     return (
-        conform(raw, PRICE_NAMES)
-        .withColumn("ordinal", F.xxhash64(*[c for c in PRICE_NAMES.values()]))
+        named
         .withColumns(
             {
                 "price": S.currency_to_int(F.col("price")),
-                "observed_at": F.try_to_timestamp(
-                    F.col("observed_at"), F.lit("yyyy-MM-dd HH:mm")
-                ).cast("timestamp_ntz"),
+                "observed_at": F.when(
+                    F.col("observed_at").rlike(MINUTE), F.col("observed_at").try_cast("timestamp_ntz")
+                ),
             }
         )
         .withColumn("rejected", F.col("price").isNull() | F.col("observed_at").isNull())

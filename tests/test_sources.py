@@ -23,6 +23,30 @@ def test_price_files(spark, folder):
     assert readers.rejected_prices(cleaned).count() == 2
 
 
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Berlin"])
+def test_order_within_a_minute_is_that_of_the_files(spark, folder, zone):
+    files = {"b.csv": [120, 90, 130], "a.csv": [100, 140, 80, 110]}
+    for name, seen in files.items():
+        with open(f"{folder}/{name}", "w") as out:
+            out.write("restaurant,category,item_name,price,scraped_at,scrape_session_id\n")
+            out.writelines(f"Inn,Mains,Rice,{p},2024-03-31 02:30,s\n" for p in seen)
+            out.write("Inn,Mains,Rice,100,2024-03-31,s\nInn,Mains,Rice,100,2024-02-30 10:00,s\n")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    try:
+        cleaned = readers.clean_prices(readers.read_prices_csv(spark, folder))
+        got = readers.accepted_prices(cleaned).orderBy("ordinal").collect()
+        assert readers.rejected_prices(cleaned).count() == 4
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert [r.price for r in got] == [100, 140, 80, 110, 120, 90, 130]
+    # An hour that the zone's clocks skip is kept as written.
+    assert {str(r.observed_at) for r in got} == {"2024-03-31 02:30:00"}
+
+
 @pytest.mark.parametrize("header", [True, False])
 def test_condition_files(spark, folder, header):
     with open(f"{folder}/weather.csv", "w", encoding="utf-8") as f:
