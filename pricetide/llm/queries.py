@@ -19,7 +19,7 @@ from pricetide.llm import (
     topk,
     whitening,
 )
-from pricetide.llm.common import documents, held_out
+from pricetide.llm.common import documents, held_out, stored
 from pricetide.session import scratch_dir
 
 QUERIES: dict = {}
@@ -85,8 +85,9 @@ def op3_quality(spark, sf_dir):
 
 @query
 def op10_edit_fingerprints(spark, sf_dir):
-    """Fingerprints of every document and of its text mixed with the next one's."""
-    return editprints.edited(documents(spark, sf_dir)).select(
+    """Fingerprints of every document and of its text mixed with the next one's, and its class of near copies."""
+    signed = stored(editprints.edited(documents(spark, sf_dir)), "edited")
+    return editprints.near_classes(signed).select(
         "doc_id",
         "n_chars",
         "edited_sha256",
@@ -94,6 +95,8 @@ def op10_edit_fingerprints(spark, sf_dir):
         "edited_fingerprint",
         "near_edited",
         "near_next",
+        "class_id",
+        "n_links",
     )
 
 

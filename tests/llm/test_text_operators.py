@@ -491,7 +491,7 @@ def test_damaged_records_are_noticed():
 
 def plain_walk(text, rules):
     n = len(text)
-    steps = np.arange(2 * n, dtype=np.uint64)
+    steps = np.arange(3 * n, dtype=np.uint64)
     coins = editprints._mixed(steps * np.uint64(3) + np.uint64(rules.seed)).tolist()
     kinds = (editprints._mixed(np.array([ord(c) for c in text], np.uint64)) % np.uint64(63)).tolist()
     at, written = 0, []
@@ -504,9 +504,9 @@ def plain_walk(text, rules):
     groups = (hashes % np.uint64(rules.samples)).tolist()
     out = ""
     for g in range(rules.samples):
-        own = [j for j in range(2 * n) if groups[j] == g]
-        kind = written[min(own, key=lambda j: ranks[j])] if own else None
-        out += "0" if kind is None else f"{int(editprints._mixed(np.array([kind], np.uint64))[0]) >> 60:x}"
+        own = [j for j in range(3 * n) if groups[j] == g]
+        kind = written[min(own, key=lambda j: ranks[j])] if own else 63
+        out += "f" if kind == 63 else f"{int(editprints._mixed(np.array([kind], np.uint64))[0]) % 15:x}"
     return f"{n:08x}{out}"
 
 
@@ -533,12 +533,51 @@ def test_edited_texts(docs, rows, nothing):
     assert len(alone) == 1 and alone[0].near_next == 1.0
 
 
-def test_near_links_of_edit_fingerprints(spark):
+def near_pairs(signed, rules):
+    """All pairs of rows that are near copies."""
+    prints_ = [r.fingerprint for r in signed]
+    return [
+        (i, i + 1 + j)
+        for i in range(len(signed))
+        for j in np.flatnonzero(
+            editprints.likeness([prints_[i]] * (len(signed) - i - 1), prints_[i + 1 :], rules) >= rules.likeness
+        )
+    ]
+
+
+@pytest.mark.parametrize("block", [5, 512])
+def test_near_classes_of_edit_fingerprints(spark, block):
+    """Groups of 3, 12 and 60 texts with one word changed, against all pairs."""
     rng = random.Random(2)
-    texts = [prose(rng, "en", 150) for _ in range(30)]
-    rows = [row(k, x) for k, x in enumerate(texts)]
-    rows += [row(100 + k, x[:300] + "!" + x[300:]) for k, x in enumerate(texts[:10])]
-    signed = editprints.fingerprints(frame(spark, rows))
-    links = {tuple(sorted((r.a, r.b))) for r in editprints.near_links(signed, editprints.WalkRules(likeness=0.6)).collect()}
-    assert {(k, 100 + k) for k in range(10)} <= links
-    assert all(b - a == 100 for a, b in links)
+    rules = editprints.WalkRules(block=block)
+    rows = [row(k, prose(rng, "en", 150)) for k in range(20)]
+    for group, size in enumerate((3, 12, 60)):
+        told = prose(rng, "en", 150).split()
+        for k in range(size):
+            changed = list(told)
+            changed[rng.randrange(150)] = f"w{k}"
+            rows.append(row(1000 * (group + 1) + k, " ".join(changed)))
+    rows += [rows[0], row(7, rows[1][1]), row(None, rows[2][1]), row(30, None), row(31, ""), row(32, "a"), row(33, "b")]
+    signed = editprints.fingerprints(frame(spark, rows)).collect()
+    table = spark.createDataFrame(signed)
+    got = editprints.near_classes(table, rules)
+    assert got.columns == [*table.columns, "class_id", "n_links"]
+    got = got.collect()
+    assert Counter((r.doc_id, r.fingerprint) for r in got) == Counter((r.doc_id, r.fingerprint) for r in signed)
+    pairs = near_pairs(signed, rules)
+    links = Counter(i for pair in pairs for i in pair)
+    most = {}
+    for k, r in enumerate(signed):
+        most[r.fingerprint] = links[k]
+    assert all(r.n_links <= most[r.fingerprint] for r in got)
+    assert sum(r.n_links for r in got) >= 0.9 * 2 * len(pairs)
+    for group, size in enumerate((3, 12, 60)):
+        low = 1000 * (group + 1)
+        own = [r for r in got if r.doc_id is not None and low <= r.doc_id < low + size]
+        assert {r.class_id for r in own} == {low}
+    of = {}
+    for r in got:
+        of.setdefault(r.doc_id, set()).add((r.class_id, r.n_links))
+    assert of[0] == {(0, 1)} and of[1] == {(1, 1)} and of[None] == {(2, 1)} and of[30] == of[31] == {(30, 1)}
+    assert of[7] >= {(1, 1)} and of[32] == {(32, 0)} and of[33] == {(33, 0)}
+    assert editprints.near_classes(table.where("false"), rules).count() == 0
