@@ -10,8 +10,10 @@ that alphabet, and three tests follow:
 * serial correlation: does a character tell the next.
 
 A secret must pass all three as random, and must also be unlike ordinary text.  The second
-is a p-value: how likely ordinary text of the same length and encoding has so few repeated
-characters, given the character frequencies of all ordinary candidates of the table.  The
+is a p-value of two parts, joined by Fisher's rule: how likely ordinary text of the same
+length and encoding has so few repeated characters, and how likely it changes so often
+between small letters, capitals and digits, given the character frequencies and changes of
+all ordinary candidates of the table.  Encodings of one class have the first part only.  The
 longer the candidate, the smaller this can be.  Candidates are judged in strata of
 encoding and length, in each of which Benjamini and Hochberg's rule keeps the share of
 false discoveries below ``rate``.
@@ -58,15 +60,27 @@ _ALPHABETS: tuple[tuple[str, str, str], ...] = (
 )
 
 
+#: Places between two letters or digits, and those where their class changes.
+_JOINT = "(?<=[A-Za-z0-9])(?=[A-Za-z0-9])"
+_CHANGE = "(?<=[a-z])(?=[A-Z0-9])|(?<=[A-Z])(?=[a-z0-9])|(?<=[0-9])(?=[A-Za-z])"
+
+
 @dataclass(frozen=True)
 class SecretRules:
     """``shortest`` is a candidate's least length, ``random`` the level at which the tests
     reject randomness, ``rate`` the false discovery rate.
+
+    Ordinary text is taken to change its class at no fewer than ``changes`` of its places, and
+    ``case_changes`` in encodings with both cases, as words joined by capitals do.  What a
+    table's own text says counts from about ``joints`` places on.
     """
 
     shortest: int = 20
     random: float = 0.01
     rate: float = 0.01
+    changes: float = 0.1
+    case_changes: float = 0.3
+    joints: int = 1000
 
 
 _SPAN = "array<struct<start:int,end:int,found:string>>"
@@ -156,7 +170,8 @@ def candidates(docs: DataFrame, rules: SecretRules) -> DataFrame:
 
 
 def tested(tokens: DataFrame) -> DataFrame:
-    """Adds the three tests' p-values of being random, and the number of equal pairs."""
+    """Adds the three tests' p-values of being random, the number of equal pairs, and of
+    places between letters and digits and changes of class there."""
     numbers = F.expr("transform(filter(split(token, ''), x -> x <> ''), x -> locate(x, alphabet) - 1)")
     k = F.length("alphabet").cast("double")
     n = F.col("n").cast("double")
@@ -182,6 +197,8 @@ def tested(tokens: DataFrame) -> DataFrame:
         total_squares.alias("total_squares"),
         products.alias("products"),
         F.expr("numbers[0] * numbers[n - 1]").cast("double").alias("ends"),
+        F.regexp_count("token", F.lit(_JOINT)).cast("long").alias("joints"),
+        F.regexp_count("token", F.lit(_CHANGE)).cast("long").alias("changes"),
     )
     # Chi-squared by its exact first two moments: small counts make the usual table wrong.
     chi = k * F.col("squares") / n - n
@@ -201,17 +218,29 @@ def tested(tokens: DataFrame) -> DataFrame:
         p_chi.alias("p_chi"),
         p_runs.alias("p_runs"),
         p_serial.alias("p_serial"),
+        "joints",
+        "changes",
     )
 
 
+def _often(changes: Column, joints: Column, rate: Column) -> Column:
+    """About the chance of so many changes or more, by the root of the binomial deviance."""
+    share = (changes - 0.5) / joints
+    deviance = 2 * joints * (share * F.log(share / rate) + (1 - share) * F.log((1 - share) / (1 - rate)))
+    return F.when((changes > 0) & (share > rate), _normal_tail(F.sqrt(F.greatest(deviance, F.lit(0.0))))).otherwise(1.0)
+
+
 def discoveries(tokens: DataFrame, rules: SecretRules) -> DataFrame:
     """Candidates that pass as random and stand out from ordinary text."""
     k = F.length("alphabet")
     # Ordinary text is what the tests reject as random at any usual level.
     random = F.least("p_chi", "p_runs", "p_serial") * 3 >= rules.random
     judged = tokens.withColumn("random", random)
+    # Fillings of one or two characters are no text, and would make all text look even.
+    filling = F.col("equal_pairs") * 4 > F.col("n") * (F.col("n") - 1) / 2
+    ordinary = judged.where(~F.col("random") & ~filling)
     counts = (
-        judged.where(~F.col("random"))
+        ordinary
         .select("encoding", F.explode(F.expr("filter(split(token, ''), x -> x <> '')")).alias("letter"))
         .groupBy("encoding", "letter")
         .count()
@@ -223,6 +252,10 @@ def discoveries(tokens: DataFrame, rules: SecretRules) -> DataFrame:
         .groupBy("encoding")
         .agg(F.sum(F.col("q") ** 2).alias("same"), F.sum(F.col("q") ** 3).alias("thrice"))
     )
+    changing = ordinary.groupBy("encoding").agg(
+        F.sum("joints").alias("all_joints"), F.sum("changes").alias("all_changes")
+    )
+    usual = usual.join(changing, "encoding", "left")
     # Ordinary text is taken to be no more even than prose, should a table have little of it.
     same = F.greatest(F.coalesce("same", F.lit(0.0)), F.lit(0.065), 1.5 / k)
     thrice = F.greatest(F.coalesce("thrice", F.lit(0.0)), F.lit(0.0055), 3.0 / (k * k))
@@ -231,10 +264,27 @@ def discoveries(tokens: DataFrame, rules: SecretRules) -> DataFrame:
     mean = pairs * same
     variance = pairs * (same - same**2) + n * (n - 1) * (n - 2) * (thrice - same**2)
     z = (F.col("equal_pairs") - mean) / F.sqrt(F.greatest(variance, F.lit(1e-9)))
-    p = 1 - _normal_tail(z)
+    few_pairs = F.greatest(_normal_tail(-F.col("z")), F.lit(1e-60))
+    both_cases = F.col("encoding").isin("base62", "base64")
+    least = F.when(both_cases, rules.case_changes).otherwise(rules.changes)
+    known = F.coalesce("all_joints", F.lit(0))
+    measured = (F.coalesce("all_changes", F.lit(0)) + rules.joints * least) / (known + rules.joints)
+    often = _often(F.col("changes"), F.col("joints"), F.col("usually"))
+    product = -F.log(F.col("few_pairs") * F.greatest(F.col("often"), F.lit(1e-60)))
+    both = (1 + F.col("product")) * F.exp(-F.col("product"))
+    p = F.when(F.col("encoding").isin("lower", "upper"), F.col("few_pairs")).otherwise(both)
     step = F.least(F.lit(600), F.floor(-10 * F.log10(F.greatest(p, F.lit(1e-60))))).cast("int")
     stratum = F.floor(F.log2("n")).cast("int")
-    scored = judged.join(F.broadcast(usual), "encoding", "left").select(
+    # One step per column: each is used more than once by the next.
+    weighed = (
+        judged.join(F.broadcast(usual), "encoding", "left")
+        .withColumn("z", z)
+        .withColumn("usually", F.least(F.greatest(measured, least), F.lit(0.99)))
+        .withColumn("few_pairs", few_pairs)
+        .withColumn("often", often)
+        .withColumn("product", product)
+    )
+    scored = weighed.select(
         "row", "start", "end", "encoding", "random", stratum.alias("stratum"), step.alias("step")
     )
     # Steps are tenths of a decade: at most 601 a stratum, whatever the input.
