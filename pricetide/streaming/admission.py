@@ -14,17 +14,23 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricetide.session import path_exists, read_text, remove_path, write_text
+from pricetide.session import path_bytes, path_exists, read_text, remove_path, write_text
 from pricetide.streaming.sinks import batch_folder, run_available
 
 
-def replay(rows: DataFrame, path: str, at: str = "observed_at", days: int = 7) -> int:
-    """Write a backlog as one folder per ``days`` days, the earliest first; how many.
+#: A slice is written as files of about this size.
+FILE_BYTES = 8 * 1024 * 1024
+
+
+def replay_in_slices(rows: DataFrame, path: str, at: str = "observed_at", days: int = 7) -> tuple[int, int]:
+    """Write a backlog as slices of ``days`` days, the earliest first; slices and files of a slice.
 
     Files streams take files by their age, so a stream over ``path`` sees the slices
     in the order of their times.  Within a slice rows come in any order: a delay of
     ``days`` covers that.  Rows without a time come first.  ``rows`` are read once; the
-    number of slices follows the calendar.
+    number of slices follows the calendar.  Every slice is dealt out to the same number of files,
+    which follows the size of the largest, so a stream that takes so many files at a time has a
+    micro-batch per slice however many rows there are.
     """
     spark = rows.sparkSession
     slice_of = F.floor(F.unix_micros(F.col(at).cast("timestamp")) / (days * 86_400_000_000))
@@ -33,10 +39,18 @@ def replay(rows: DataFrame, path: str, at: str = "observed_at", days: int = 7) -
     schema = T.StructType([*rows.schema.fields, T.StructField("_slice", T.LongType())])
     sliced = spark.read.schema(schema).parquet(staged)
     slices = sorted(r[0] for r in sliced.select("_slice").distinct().collect())
+    largest = max((path_bytes(spark, f"{staged}/_slice={number}") for number in slices), default=0)
+    files = max(1, -(-largest // FILE_BYTES))
     for number in slices:
-        sliced.where(F.col("_slice") == number).drop("_slice").write.mode("append").parquet(path)
+        part = sliced.where(F.col("_slice") == number).drop("_slice")
+        part.repartition(files).write.mode("append").parquet(path)
     remove_path(spark, staged)
-    return len(slices)
+    return len(slices), files
+
+
+def replay(rows: DataFrame, path: str, at: str = "observed_at", days: int = 7) -> int:
+    """:func:`replay_in_slices`; the number of slices."""
+    return replay_in_slices(rows, path, at, days)[0]
 
 
 def close(spark: SparkSession, path: str, schema, at: str = "observed_at", after: str = "365 days") -> None:

@@ -14,13 +14,15 @@ BATCH_BYTES = 256 * 1024 * 1024
 
 
 def stream_table(
-    spark: SparkSession, path: str, schema, batch_bytes: int = BATCH_BYTES
+    spark: SparkSession, path: str, schema, batch_bytes: int = BATCH_BYTES, batch_files: int | None = None
 ) -> DataFrame:
     """New Parquet files of a folder; the size of a micro-batch is limited, so a
-    backlog is worked off in parts and no key can fill a task with it."""
-    return (
-        spark.readStream.schema(schema).option("maxBytesPerTrigger", batch_bytes).parquet(path)
-    )
+    backlog is worked off in parts and no key can fill a task with it.
+
+    ``batch_files`` limits it by files instead, as for a folder that
+    :func:`pricetide.streaming.admission.replay_in_slices` has written."""
+    limit = ("maxBytesPerTrigger", batch_bytes) if batch_files is None else ("maxFilesPerTrigger", batch_files)
+    return spark.readStream.schema(schema).option(*limit).parquet(path)
 
 
 MALFORMED = "_malformed"

@@ -291,3 +291,15 @@ def test_a_repeated_batch_is_written_once(spark, folder):
     before = spark.read.parquet(f"{folder}/out").inputFiles()
     sinks.batch_writer(f"{folder}/out", f"{folder}/check")(spark.range(2), 0)
     assert spark.read.parquet(f"{folder}/out").inputFiles() == before
+
+
+def test_a_batch_per_slice_however_many_files(spark, day, folder, monkeypatch):
+    """A backlog in many parts, or of large slices, is not taken in more batches."""
+    monkeypatch.setattr(admission, "FILE_BYTES", 2000)
+    slices, files = admission.replay_in_slices(day.repartition(12), f"{folder}/in", days=1)
+    assert slices == 3 and files > 1
+    stream = sources.stream_table(spark, f"{folder}/in", day.schema, batch_files=files)
+    sinks.run_available(stream, f"{folder}/out", f"{folder}/check")
+    assert rows(sinks.read_batches(spark, f"{folder}/out", day.schema)) == rows(day)
+    batches = spark.read.parquet(f"{folder}/out").select("batch_id", F.to_date("observed_at").alias("d")).distinct()
+    assert batches.count() == 3
