@@ -5,7 +5,9 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,10 +17,9 @@ from pricetide.config import AlertRules, ChangeRules
 from pricetide.operators.changes import ITEM_KEYS, is_valid_change
 from pricetide.streaming.sources import with_event_time
 
-HELD = (
-    "price double, at long, ordinal long, known boolean, "
-    "prices array<double>, ats array<long>, ordinals array<long>, sessions array<string>"
-)
+#: What a row that waits keeps, and what stands for an ordinal that is null.
+WAITING = ["item", "at", "ordinal", "price", "session_id"]
+NO_ORDINAL = -(2**63)
 
 
 def _prices(observations: DataFrame, delay: str) -> DataFrame:
@@ -101,80 +102,94 @@ def stream_changes(
 
 
 def stream_changes_keyed(
-    observations: DataFrame, rules: ChangeRules = ChangeRules(), delay: str = "6 hours"
+    observations: DataFrame,
+    rules: ChangeRules = ChangeRules(),
+    delay: str = "6 hours",
+    buckets: int = 256,
 ) -> DataFrame:
     """The same events by keyed state, which also holds without a greatest gap.
 
     Rows wait until the watermark has passed them and are then paired in the order
-    of their times.  The state of an item is its last price and the rows that wait; it is
-    dropped when no price within the gap can follow.  Python only pairs neighbouring
+    of their times.  Items are hashed into ``buckets``, each one row of state: the last price of
+    every item and the rows that wait, as Arrow data.  A bucket is sorted and paired as a whole,
+    so Python is called per bucket and batch, not per item.  The last price of an item
+    is dropped when none within the gap can follow.  Python only pairs neighbouring
     prices, the change filter runs on Spark.
     """
-    rows = _prices(observations, delay)
-    item_fields = [f for f in rows.schema.fields if f.name in ITEM_KEYS]
-    schema = T.StructType(
-        item_fields
-        + [
-            T.StructField("session_id", rows.schema["session_id"].dataType),
-            T.StructField("ordinal", T.LongType()),
-            T.StructField("at", T.LongType()),
-            T.StructField("price", T.DoubleType()),
-            T.StructField("prev_at", T.LongType()),
-            T.StructField("prev_price", T.DoubleType()),
-        ]
+    priced = _prices(observations, delay)
+    item = T.StructType([f for f in priced.schema.fields if f.name in ITEM_KEYS])
+    # Items as texts and ordinals without nulls: pandas would turn whole numbers with nulls into doubles.
+    rows = priced.where(F.col("at").isNotNull()).select(
+        F.pmod(F.xxhash64(*ITEM_KEYS), F.lit(buckets)).alias("bucket"),
+        F.to_json(F.struct(*ITEM_KEYS)).alias("item"),
+        "at",
+        F.coalesce("ordinal", F.lit(NO_ORDINAL)).alias("ordinal"),
+        "price",
+        F.col("session_id").cast("string").alias("session_id"),
+        "observed_at",
     )
-    names = schema.fieldNames()
+    schema = "item string, session_id string, ordinal long, at long, price double, prev_at long, prev_price double"
     gap = rules.max_gap_seconds
 
     def pair(
         key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        # rows of one item within the delay and one micro-batch, whose size the source limits
-        waiting, last = [], None
+        # rows of one bucket within the delay and one micro-batch, whose size the source limits
+        parts = []
         if state.exists:
-            price, at, ordinal, known, *held = state.get
-            last = (at, ordinal, price) if known else None
-            waiting = list(zip(held[1], held[2], held[0], held[3]))
+            with pa.ipc.open_stream(state.get[0]) as held:
+                parts.append(held.read_pandas())
         if not state.hasTimedOut:
-            for new in batches:
-                part = new[["at", "ordinal", "price", "session_id"]]
-                waiting += list(part.itertuples(index=False, name=None))
-        waiting.sort(key=lambda x: (x[0], x[1] if x[1] == x[1] and x[1] is not None else -1))
+            parts += [new[WAITING].assign(done=False) for new in batches]
+        found = pd.concat(parts, ignore_index=True)
+        items = pd.factorize(found["item"])[0]
+        prices = found["price"].to_numpy(float)
+        first_nulls = np.where(np.isnan(prices), -np.inf, prices)
+        order = np.lexsort((first_nulls, found["ordinal"], found["at"], items))
+        found, items = found.take(order).reset_index(drop=True), items[order]
         passed = state.getCurrentWatermarkMs() * 1000
-        ready = [x for x in waiting if x[0] <= passed]
-        waiting = waiting[len(ready) :]
-        paired = []
-        for at, ordinal, price, session in ready:
-            if last is not None:
-                paired.append((*key, session, ordinal, at, price, last[0], last[2]))
-            last = (at, ordinal, price)
-        ends = None
-        if waiting:
-            ends = waiting[0][0] // 1000
-        elif last is not None and gap is not None:
-            ends = last[0] // 1000 + gap * 1000 + 1
-        if not waiting and (last is None or (ends is not None and ends <= passed // 1000)):
+        at, done = found["at"].to_numpy(), found["done"].to_numpy(bool)
+        ready = at <= passed
+        follows = np.append(False, items[1:] == items[:-1])
+        last = ready & ~np.append(follows[1:] & ready[1:], False)
+        kept = ~ready
+        kept |= last if gap is None else last & (at >= passed - gap * 1_000_000)
+        if not kept.any():
             state.remove()
         else:
-            whole = [None if x[1] != x[1] or x[1] is None else int(x[1]) for x in waiting]
-            state.update(
-                (
-                    *((float(last[2]), int(last[0]), None if last[1] != last[1] else last[1], True) if last else (None, None, None, False)),
-                    [float(x[2]) for x in waiting],
-                    [int(x[0]) for x in waiting],
-                    whole,
-                    [x[3] for x in waiting],
-                )
-            )
+            left = pa.Table.from_pandas(found[kept].assign(done=ready[kept]), preserve_index=False)
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, left.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_table(left)
+            state.update((sink.getvalue().to_pybytes(),))
+            ends = None
+            if not ready.all():
+                ends = int(at[~ready].min()) // 1000
+            elif gap is not None:
+                ends = int(at[kept].max()) // 1000 + gap * 1000 + 1
             if ends is not None:
                 state.setTimeoutTimestamp(max(ends, state.getCurrentWatermarkMs() + 1))
-        if paired:
-            yield pd.DataFrame(paired, columns=names)
+        new = np.flatnonzero(ready & ~done & follows)
+        if len(new):
+            paired = found.loc[new, ["item", "session_id", "ordinal", "at", "price"]].reset_index(drop=True)
+            yield paired.assign(prev_at=at[new - 1], prev_price=found["price"].to_numpy()[new - 1])
 
-    paired = rows.groupBy(*ITEM_KEYS).applyInPandasWithState(
-        pair, schema, HELD, "append", GroupStateTimeout.EventTimeTimeout
+    paired = rows.groupBy("bucket").applyInPandasWithState(
+        pair, schema, "held binary", "append", GroupStateTimeout.EventTimeTimeout
+    )
+    session_type = priced.schema["session_id"].dataType
+    return _events(
+        paired.select(
+            F.from_json("item", item).alias("item"),
+            F.col("session_id").cast(session_type).alias("session_id"),
+            F.nullif("ordinal", F.lit(NO_ORDINAL)).alias("ordinal"),
+            "at",
+            "price",
+            "prev_at",
+            "prev_price",
+        ).select("item.*", "session_id", "ordinal", "at", "price", "prev_at", "prev_price"),
+        rules,
     )
-    return _events(paired, rules)
 
 
 def stream_hourly(

@@ -303,3 +303,20 @@ def test_a_batch_per_slice_however_many_files(spark, day, folder, monkeypatch):
     assert rows(sinks.read_batches(spark, f"{folder}/out", day.schema)) == rows(day)
     batches = spark.read.parquet(f"{folder}/out").select("batch_id", F.to_date("observed_at").alias("d")).distinct()
     assert batches.count() == 3
+
+
+@pytest.mark.parametrize("gap, buckets", [(6 * 3600, 1), (None, 3)])
+def test_keyed_state_of_many_items_in_a_bucket(spark, day, folder, gap, buckets):
+    """Items of one bucket are kept apart; null keys and ordinals beyond 2^53 stay whole."""
+    rules = ChangeRules(None, None, None, gap)
+    day = day.withColumn("ordinal", F.col("ordinal") + 2**60).withColumn(
+        "ordinal", F.when(F.col("ordinal") % 50 == 7, None).otherwise(F.col("ordinal"))
+    )
+    day = day.withColumn("price", F.when(F.col("ordinal") % 31 == 5, None).otherwise(F.col("price")))
+    _, files = admission.replay_in_slices(day, f"{folder}/in", days=1)
+    admission.close(spark, f"{folder}/in", day.schema)
+    stream = sources.stream_table(spark, f"{folder}/in", day.schema, batch_files=files)
+    changes = ops.stream_changes_keyed(stream, rules, "1 day", buckets)
+    sinks.run_available(changes, f"{folder}/out", f"{folder}/check")
+    got = sinks.read_batches(spark, f"{folder}/out", changes.schema)
+    assert rows(got, *COLUMNS) == rows(C.change_events(day, rules), *COLUMNS) and len(rows(got)) > 50
