@@ -11,6 +11,7 @@ are carried to 0 to 1 so that it lies at ``cut``.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -48,14 +49,15 @@ FIGURES = (
 
 @dataclass(frozen=True)
 class QualityRules:
-    """``most_rows`` bounds the labelled rows the model is fitted on, taken evenly by a hash
-    of the id; ``pairs`` is how many preference pairs are drawn from them.
+    """All labelled rows teach.  Rows meet in groups of about ``group_rows`` of the commoner label and
+    at least ``others`` of the other, if there are so many; in a group all pairs count.  ``steps`` is the
+    most Newton steps, ``closeness`` the change of weights that ends them.
     """
 
-    most_rows: int = 20_000
-    pairs: int = 40_000
-    steps: int = 400
-    rate: float = 0.5
+    group_rows: int = 2048
+    others: int = 64
+    steps: int = 40
+    closeness: float = 1e-9
     penalty: float = 1e-4
     cut: float = 0.7
     seed: int = 5
@@ -155,68 +157,172 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(at, -50, 50)))
 
 
-def fit(rows: np.ndarray, labels: np.ndarray, rules: QualityRules) -> QualityModel:
-    """Fit preferences of label 1 over label 0.
+def _wide(rows: np.ndarray, middle: np.ndarray, spread: np.ndarray) -> np.ndarray:
+    scaled = np.clip((rows - middle) / spread, -8, 8)
+    return np.concatenate([scaled, scaled**2 / 8], axis=1)
+
+
+def _matrix(column) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FIGURES))
+
+
+def _total(rows: DataFrame, sums: Callable[[pa.RecordBatch], np.ndarray]) -> np.ndarray:
+    """The sum of an array over all batches; a partial sum per core comes to the driver."""
+
+    @tidy
+    def add(batches):
+        found = None
+        for batch in batches:
+            if batch.num_rows:
+                part = sums(batch)
+                found = part if found is None else found + part
+        if found is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([found], pa.list_(pa.float64()))], names=["sums"])
+
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    parts = rows.coalesce(cores).mapInArrow(add, "sums array<double>").toArrow().column("sums")
+    return np.array(parts.to_pylist(), dtype=float).sum(axis=0)
+
+
+def _groups(labelled: DataFrame, counts: tuple[int, int], rules: QualityRules) -> DataFrame:
+    """``better, worse``: the figures of each group, end to end; every row is in a group.
+
+    Rows of the rarer label are repeated where groups would be left with too few of them.
+    """
+    common = int(counts[1] > counts[0])
+    groups = max(1, -(-counts[common] // rules.group_rows))
+    kinds = min(groups, max(1, counts[1 - common] // rules.others))
+    key = F.xxhash64(F.lit(rules.seed), "doc_id", "figures")
+    of_common = F.array(F.pmod(key, F.lit(groups)))
+    of_rare = F.sequence(F.pmod(key, F.lit(kinds)), F.lit(groups - 1).cast("long"), F.lit(kinds).cast("long"))
+    placed = labelled.select(
+        "quality", "figures", F.explode(F.when(F.col("quality") == common, of_common).otherwise(of_rare)).alias("at")
+    )
+
+    def members(quality: int):
+        # the order is fixed, so that sums are
+        return F.flatten(F.sort_array(F.collect_list(F.when(F.col("quality") == quality, F.col("figures")))))
+
+    return placed.groupBy("at").agg(members(1).alias("better"), members(0).alias("worse"))
+
+
+def _preferences(middle: np.ndarray, spread: np.ndarray, weights: np.ndarray) -> Callable:
+    """Pairs, loss, slope and curvature of a batch of groups, over all their pairs."""
+
+    def sums(batch: pa.RecordBatch) -> np.ndarray:
+        size = len(weights)
+        out = np.zeros(2 + size + size * size)
+        for k in range(batch.num_rows):
+            better, worse = (
+                _wide(np.array(batch.column(c)[k].values).reshape(-1, len(FIGURES)), middle, spread) for c in (0, 1)
+            )
+            apart = np.subtract.outer(better @ weights, worse @ weights)
+            pull = 1 / (1 + np.exp(np.clip(apart, -500, 500)))
+            bend = pull * (1 - pull)
+            across = better.T @ (bend @ worse)
+            curve = (better.T * bend.sum(axis=1)) @ better + (worse.T * bend.sum(axis=0)) @ worse - across - across.T
+            out[0] += apart.size
+            out[1] += np.logaddexp(0, -apart).sum()
+            out[2 : 2 + size] += better.T @ pull.sum(axis=1) - worse.T @ pull.sum(axis=0)
+            out[2 + size :] += curve.ravel()
+        return out
+
+    return sums
+
+
+def _preferred(groups: DataFrame, middle: np.ndarray, spread: np.ndarray, rules: QualityRules) -> np.ndarray:
+    """Weights of the least mean loss with its penalty, by Newton's method; steps that lose are halved."""
+    size = 2 * len(middle)
+    weights, best, step = np.zeros(size), math.inf, np.zeros(size)
+    for _ in range(rules.steps):
+        found = _total(groups, _preferences(middle, spread, weights + step))
+        pairs = found[0]
+        at = weights + step
+        loss = found[1] / pairs + rules.penalty / 2 * (at @ at)
+        if loss > best:
+            step = step / 2
+            if np.abs(step).max() < rules.closeness:
+                break
+            continue
+        weights, best = at, loss
+        slope = found[2 : 2 + size] / pairs - rules.penalty * weights
+        curve = found[2 + size :].reshape(size, size) / pairs + rules.penalty * np.eye(size)
+        step = np.linalg.solve(curve, slope)
+        if np.abs(step).max() < rules.closeness:
+            break
+    return weights
+
+
+def fit(labelled: DataFrame, rules: QualityRules) -> QualityModel:
+    """Fit preferences of label 1 over label 0 on all rows of ``doc_id, quality, figures``.
 
     With labels of one kind only, or none, nothing is preferred and every score is the
     threshold's.
     """
-    size = rows.shape[1] if rows.size else len(FIGURES)
+    size = len(FIGURES)
     flat = QualityModel(np.zeros(size), np.ones(size), np.zeros(2 * size), 0.0, 1.0, rules.cut)
-    better, worse = np.flatnonzero(labels == 1), np.flatnonzero(labels == 0)
-    if not len(better) or not len(worse):
+    known = {r["quality"]: r["count"] for r in labelled.groupBy("quality").count().collect()}
+    counts = (known.get(0, 0), known.get(1, 0))
+    if not min(counts):
         return flat
-    middle, spread = rows.mean(axis=0), np.maximum(rows.std(axis=0), 1e-6)
-    scaled = np.clip((rows - middle) / spread, -8, 8)
-    wide = np.concatenate([scaled, scaled**2 / 8], axis=1)
-    rng = np.random.default_rng(rules.seed)
-    apart = wide[rng.choice(better, rules.pairs)] - wide[rng.choice(worse, rules.pairs)]
-    weights = np.zeros(wide.shape[1])
-    speed = np.zeros_like(weights)
-    for _ in range(rules.steps):
-        ahead = weights + 0.9 * speed
-        pull = 1 / (1 + np.exp(np.clip(np.einsum("ij,j->i", apart, ahead), -30, 30)))
-        slope = np.einsum("ij,i->j", apart, pull) / len(apart) - rules.penalty * ahead
-        speed = 0.9 * speed + rules.rate * slope
-        weights += speed
-    scores = (wide * weights).sum(axis=1)
+    narrow = labelled.select("quality", "figures")
+    middle = _total(narrow, lambda b: _matrix(b.column(1)).sum(axis=0)) / sum(counts)
+    variance = _total(narrow, lambda b: ((_matrix(b.column(1)) - middle) ** 2).sum(axis=0)) / sum(counts)
+    spread = np.maximum(np.sqrt(variance), 1e-6)
+    weights = _preferred(stored(_groups(labelled, counts, rules).drop("at"), "groups"), middle, spread, rules)
+    model = QualityModel(middle, spread, weights, 0.0, 1.0, rules.cut)
+
     # The quantile that divides the labels best, in balanced terms.
-    tries = np.quantile(scores, np.linspace(0, 1, 1001))
-    ones, zeros = np.sort(scores[better]), np.sort(scores[worse])
-    kept = 1 - np.searchsorted(ones, tries) / len(ones)
-    dropped = np.searchsorted(zeros, tries) / len(zeros)
-    best = kept + dropped
+    schema = "quality int, score double"
+
+    @tidy
+    def judge(batches):
+        for batch in batches:
+            if batch.num_rows:
+                scores = pa.array(model.raw(_matrix(batch.column(1))))
+                yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int32()), scores], names=["quality", "score"])
+
+    judged = narrow.mapInArrow(judge, schema)
+    shares = [k / 1000 for k in range(1001)]
+    tries = np.unique(judged.agg(F.percentile_approx("score", shares, 100_000)).first()[0])
+
+    def below(batch: pa.RecordBatch) -> np.ndarray:
+        labels, scores = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+        # scores that are smaller than each of the tries, by label
+        place = np.searchsorted(tries, scores, side="right")
+        return np.concatenate(
+            [np.bincount(place[labels == k], minlength=len(tries) + 1)[:-1].cumsum() for k in (0, 1)]
+        ).astype(float)
+
+    dropped, lost = _total(judged, below).reshape(2, -1)
+    best = dropped / counts[0] - lost / counts[1]
     top = np.flatnonzero(best >= best.max() - 1e-12)
-    threshold = float(tries[top].mean())
-    model = QualityModel(middle, spread, weights, threshold, 1.0, rules.cut)
-    losses = []
+    model.threshold = float(tries[top].mean())
     slopes = np.geomspace(0.05, 20, 40)
-    for slope in slopes:
-        at = np.clip(slope * (scores - threshold) + math.log(rules.cut / (1 - rules.cut)), -50, 50)
-        losses.append(np.log1p(np.exp(np.where(labels == 1, -at, at))).mean())
-    model.slope = float(slopes[int(np.argmin(losses))])
+
+    def losses(batch: pa.RecordBatch) -> np.ndarray:
+        labels, scores = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+        at = np.multiply.outer(slopes, scores - model.threshold) + math.log(rules.cut / (1 - rules.cut))
+        at = np.clip(at, -50, 50)
+        return np.log1p(np.exp(np.where(labels == 1, -at, at))).sum(axis=1)
+
+    model.slope = float(slopes[int(np.argmin(_total(judged, losses)))])
     return model
 
 
 def train(measured: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules()) -> QualityModel:
-    """Learn from figures and the labels ``doc_id, quality`` of rows that are not held out.
+    """Learn from figures and the labels ``doc_id, quality`` of all rows that are not held out.
 
     Documents labelled both 0 and 1, or with a null, teach nothing.
     """
     known = (
         labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-        .agg(F.min("quality").alias("quality"), F.max("quality").alias("other"))
+        .agg(F.min("quality").cast("int").alias("quality"), F.max("quality").cast("int").alias("other"))
         .where((F.col("quality") == F.col("other")) & ~held_out(F.col("doc_id")))
         .drop("other")
     )
-    order = F.xxhash64(F.lit(rules.seed), "doc_id")
-    # At most ``most_rows`` rows come to the driver.
-    drawn = known.join(measured, "doc_id").orderBy(order, "doc_id", "figures").limit(rules.most_rows)
-    sample = drawn.select("quality", "figures").toArrow()
-    rows = sample.column("figures").combine_chunks()
-    values = rows.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FIGURES))
-    return fit(values, sample.column("quality").to_numpy(), rules)
+    return fit(stored(known.join(measured, "doc_id").select("doc_id", "quality", "figures"), "labelled"), rules)
 
 
 def score(measured: DataFrame, model: QualityModel) -> DataFrame:

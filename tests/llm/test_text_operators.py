@@ -177,6 +177,31 @@ def test_quality_tells_junk_on_held_out_rows(spark):
     assert len(held) > 40 and np.mean([r.predicted == int(r.doc_id % 3 > 0) for r in held]) > 0.95
 
 
+def test_quality_is_learnt_from_every_labelled_row(spark):
+    """Groups hold all rows of both labels, also of a rare one, and their sums are those of all pairs."""
+    rng = np.random.default_rng(3)
+    data = [(k, int(k % 9 > 0), rng.normal(size=len(quality.FIGURES)).tolist()) for k in range(200)]
+    labelled = spark.createDataFrame(data, "doc_id long, quality int, figures array<double>")
+    rules = quality.QualityRules(group_rows=16, others=2)
+    groups = quality._groups(labelled, (23, 177), rules).collect()
+    assert len(groups) > 5
+    for name, kind in (("better", 1), ("worse", 0)):
+        held = {tuple(x) for r in groups for x in np.reshape(r[name], (-1, len(quality.FIGURES)))}
+        assert held == {tuple(x[2]) for x in data if x[1] == kind}
+    size = 2 * len(quality.FIGURES)
+    middle, spread = np.zeros(size // 2), np.ones(size // 2)
+    whole = quality._groups(labelled, (23, 177), quality.QualityRules())
+    weights = rng.normal(size=size) / 9
+    found = quality._total(whole.drop("at"), quality._preferences(middle, spread, weights))
+    wide = quality._wide(np.array([x[2] for x in data]), middle, spread)
+    kind = np.array([x[1] for x in data])
+    apart = (wide[kind == 1][:, None] - wide[kind == 0][None]).reshape(-1, size)
+    pull = 1 / (1 + np.exp(apart @ weights))
+    assert found[0] == 23 * 177 == len(apart)
+    assert np.allclose(found[2 : 2 + size], apart.T @ pull)
+    assert np.allclose(found[2 + size :].reshape(size, size), (apart.T * (pull * (1 - pull))) @ apart)
+
+
 def test_quality_without_labels(spark, docs, nothing, rows):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     assert quality.classify(docs, labels).count() == len(rows)
