@@ -256,3 +256,10 @@ def test_weather_payloads(spark):
     got = captures.flatten_weather(frame).orderBy("session_id").collect()
     assert tuple(got[0]) == ("s1", "Town", 27.5, 64, "Drizzle", "light drizzle", 2.1, True)
     assert tuple(got[1])[1:] == (None,) * 7
+
+
+def test_exported_files_are_compressed(spark, folder):
+    written = writers.export_csv({"one": spark.range(1000)}, folder)["one"]
+    files = [f["f"] for f in spark.read.option("header", True).csv(written).selectExpr("input_file_name() AS f").distinct().collect()]
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    assert spark.read.option("header", True).csv(written).count() == 1000
