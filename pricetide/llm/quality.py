@@ -284,7 +284,9 @@ def fit(labelled: DataFrame, rules: QualityRules) -> QualityModel:
 
     judged = narrow.mapInArrow(judge, schema)
     shares = [k / 1000 for k in range(1001)]
-    tries = np.unique(judged.agg(F.percentile_approx("score", shares, 100_000)).first()[0])
+    found = np.unique(judged.agg(F.percentile_approx("score", shares, 100_000)).first()[0])
+    # midway between neighbours, so that no score lies on the threshold
+    tries = np.append(found[0], (found[1:] + found[:-1]) / 2)
 
     def below(batch: pa.RecordBatch) -> np.ndarray:
         labels, scores = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
